@@ -4,6 +4,9 @@ import json
 from datetime import datetime, timedelta
 from decimal import Decimal
 
+import pyarrow as pa
+from pyspark.sql.pandas.types import to_arrow_type
+
 from vitrine.plans.strategy import Tables
 from vitrine.schemas import schema_of
 
@@ -29,8 +32,12 @@ _SKUS = [
 
 
 def frame(spark, table, rows):
+    """A table from dicts; by way of Arrow, so that Spark holds it as a local relation."""
     schema = schema_of(table)
-    return spark.createDataFrame([tuple(r.get(n) for n in schema.names) for r in rows], schema)
+    if not rows:
+        return spark.createDataFrame([], schema)
+    columns = {f.name: pa.array([r.get(f.name) for r in rows], to_arrow_type(f.dataType)) for f in schema}
+    return spark.createDataFrame(pa.table(columns), schema)
 
 
 def sku(id, group, price="1.00", product_type="x", brand="b", is_bundle=False, color="red", category="c", **more):
