@@ -50,35 +50,43 @@ def _frequent_products(baskets: DataFrame, minimum_count: int) -> DataFrame:
     return baskets.join(often, ["account_id", "product_id"], "left_semi")
 
 
-def _blocked(baskets: DataFrame, key: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+def _blocked(rows: DataFrame, key: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
     """Both sides of a self-join, with oversized baskets cut into blocks.
 
     A basket of n rows gets ceil(n / BLOCK_ROWS) blocks. On the left a row sits
     in one block, on the right in all of them, so every pair meets exactly once
     while no join key holds more than about BLOCK_ROWS x n pairs.
     """
-    sizes = baskets.groupBy(*key).agg(F.count(F.lit(1)).alias("size"))
+    sizes = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("size"))
     large = sizes.where(F.col("size") > BLOCK_ROWS).select(
         *key, F.ceil(F.col("size") / BLOCK_ROWS).cast("int").alias("blocks")
     )
-    sized = baskets.join(large, list(key), "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    left = sized.withColumn("block", F.pmod(F.hash("product_id", "fact_time"), F.col("blocks"))).drop("blocks")
+    sized = rows.join(large, list(key), "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    parts = [c for c in ("product_id", "fact_time") if c in rows.columns]
+    left = sized.withColumn("block", F.pmod(F.hash(*parts), F.col("blocks"))).drop("blocks")
     right = sized.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
     return left, right
 
 
-def _joined(baskets: DataFrame, key: tuple[str, ...], condition) -> DataFrame:
-    left, right = _blocked(baskets, key)
-    extra = [c for c in ("fact_time",) if c in baskets.columns]
-    p1 = left.select(*key, "block", *(["account_id"] if "account_id" not in key else []),
-                     F.col("product_id").alias("pid1"), *[F.col(c).alias(f"{c}1") for c in extra])
-    p2 = right.select(*key, "block", F.col("product_id").alias("pid2"), *[F.col(c).alias(f"{c}2") for c in extra])
-    return p1.join(p2, [*key, "block"]).where(condition)
+def _scored(baskets: DataFrame, key: tuple[str, ...], condition: Column, timed: bool, minimum_count: int) -> DataFrame:
+    """Self-join of baskets on `key`, counted per account and directed pair.
 
+    Equal rows of a basket are folded into one with their number first; a pair
+    of folded rows stands for the product of the two numbers.
+    """
+    owner = [] if "account_id" in key else ["account_id"]
+    what = ["product_id", *(["fact_time"] if timed else [])]
+    rows = baskets.groupBy(*key, *owner, *what).agg(F.count(F.lit(1)).alias("times"))
+    left, right = _blocked(rows, key)
+
+    def side(df: DataFrame, n: int, kept: list[str]) -> DataFrame:
+        renamed = [F.col(c).alias(f"{c}{n}") for c in [*what, "times"]]
+        return df.select(*key, "block", *kept, *renamed)
 
-def _counted(pairs: DataFrame, minimum_count: int) -> DataFrame:
-    counts = pairs.groupBy("account_id", "pid1", "pid2").agg(F.count(F.lit(1)).alias("score"))
-    return counts.where(F.col("score") >= minimum_count)
+    joined = side(left, 1, owner).join(side(right, 2, []), [*key, "block"]).where(condition)
+    score = F.sum(F.col("times1") * F.col("times2")).alias("score")
+    counted = joined.groupBy("account_id", F.col("product_id1").alias("pid1"), F.col("product_id2").alias("pid2")).agg(score)
+    return counted.where(F.col("score") >= minimum_count)
 
 
 def _mirrored(half: DataFrame) -> DataFrame:
@@ -94,17 +102,18 @@ def _mirrored(half: DataFrame) -> DataFrame:
 def together(baskets: DataFrame, key: tuple[str, ...], minimum_count: int = 1) -> DataFrame:
     """Directed pairs of different products in one basket, with the number of row pairs.
 
-    The count is symmetric, so only pid1 < pid2 is joined and then mirrored.
+    The count is symmetric, so only the half with pid1 < pid2 is joined and then mirrored.
     """
     frequent = _frequent_products(baskets, minimum_count) if key == DEVICE else baskets
-    return _mirrored(_counted(_joined(frequent, key, F.col("pid1") < F.col("pid2")), minimum_count))
+    ordered = F.col("product_id1") < F.col("product_id2")
+    return _mirrored(_scored(frequent, key, ordered, False, minimum_count))
 
 
 def in_sequence(baskets: DataFrame, key: tuple[str, ...], minimum_count: int = 1) -> DataFrame:
     """Directed pairs where the second product came strictly later."""
-    later: Column = (F.col("pid1") != F.col("pid2")) & (F.col("fact_time1") < F.col("fact_time2"))
     frequent = _frequent_products(baskets, minimum_count) if key == DEVICE else baskets
-    return _counted(_joined(frequent, key, later), minimum_count)
+    later = (F.col("product_id1") != F.col("product_id2")) & (F.col("fact_time1") < F.col("fact_time2"))
+    return _scored(frequent, key, later, True, minimum_count)
 
 
 def merged(online: DataFrame, pos: DataFrame, by: str = "sum") -> DataFrame:
