@@ -1,8 +1,7 @@
 """The logical tables derived from an order-and-event star schema.
 
-Orders and line items become purchase lines (three orders in four) and
-point-of-sale lines (the fourth), view events become product views, parts the
-catalog. Everything is a projection or join of the stored tables, so the work
+Orders of low priority become point-of-sale lines, all others online purchase
+lines; view events become product views, parts the catalog. Everything is a projection or join of the stored tables, so the work
 of any plan grows with them.
 """
 
@@ -56,8 +55,8 @@ class StarSchema:
         )
 
     def _lines(self, point_of_sale: bool) -> DataFrame:
-        share = (F.col("o_orderkey") % 4 == 0) if point_of_sale else (F.col("o_orderkey") % 4 != 0)
-        orders = self.read("orders").where(share).select(
+        in_store = F.col("o_orderpriority") == "5-LOW"
+        orders = self.read("orders").where(in_store if point_of_sale else ~in_store).select(
             "o_orderkey", F.col("o_custkey").alias("device"), F.col("o_orderdate").cast("timestamp").alias("fact_time")
         )
         lines = self.read("lineitem").select(
@@ -65,7 +64,7 @@ class StarSchema:
             "l_linenumber",
             _group_of(F.col("l_partkey")).alias("product_id"),
             F.col("l_quantity").cast("bigint").alias("quantity"),
-            (F.col("l_extendedprice") / F.col("l_quantity")).cast("decimal(18,4)").alias("currency_unit_price"),
+            F.col("l_extendedprice").cast("decimal(18,2)").alias("currency_unit_price"),
             F.element_at(F.array(F.lit("USD"), F.lit("EUR"), F.lit("GBP")), (F.col("l_suppkey") % 3 + 1).cast("int")).alias(
                 "currency"
             ),
@@ -218,6 +217,58 @@ class StarSchema:
             "from_currency_code", "to_currency_code", "effective_date", rate.cast("decimal(18,6)").alias("rate")
         )
 
+    # ---- experience configuration, for the question which strategies are in use
+
+    def strategies(self) -> DataFrame:
+        return self.read("part").select(
+            F.col("p_partkey").alias("id"),
+            (F.col("p_size") == 50).alias("is_component"),
+            F.date_add(F.lit("2001-06-01").cast("date"), F.col("p_size")).cast("timestamp").alias("updated"),
+        )
+
+    def action_inputs(self) -> DataFrame:
+        """Order lines as the leaves of nested sets, the order itself as their parent node."""
+        priority, status = F.col("o_orderpriority"), F.col("o_orderstatus")
+        parents = self.read("orders").select(
+            F.col("o_orderkey").alias("action_id"),
+            F.when(status == "P", F.lit(0)).otherwise(F.lit(1)).alias("lft"),
+            F.lit(1000).alias("rgt"),
+            F.lit(None).cast("bigint").alias("int_value"),
+            F.when(priority == "1-URGENT", "rec_set_ids").when(priority == "2-HIGH", "fallback_rec_set_ids")
+            .otherwise("templated_recommendation").alias("name"),
+        )
+        flag = F.col("l_returnflag")
+        leaves = self.read("lineitem").select(
+            F.col("l_orderkey").alias("action_id"),
+            (F.col("l_linenumber") * 2).alias("lft"),
+            (F.col("l_linenumber") * 2 + 1).alias("rgt"),
+            F.col("l_partkey").alias("int_value"),
+            F.when(flag == "A", "recset_id").when(flag == "R", "strategy_id").otherwise("item").alias("name"),
+        )
+        return parents.unionByName(leaves)
+
+    def actions(self) -> DataFrame:
+        return self.read("orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderkey").alias("where_id"))
+
+    def placements(self) -> DataFrame:
+        return self.read("orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("campaign_id"))
+
+    def campaigns(self) -> DataFrame:
+        return self.read("customer").select(
+            F.col("c_custkey").alias("id"), F.col("c_nationkey").cast("bigint").alias("campaign_group_id")
+        )
+
+    def campaign_groups(self) -> DataFrame:
+        nation = F.col("n_nationkey")
+        return self.read("nation").select(
+            nation.cast("bigint").alias("id"),
+            (F.col("n_regionkey") == 0).cast("int").alias("archived"),
+            F.date_add(F.lit("2001-05-01").cast("date"), nation * 3).cast("timestamp").alias("last_modified_time"),
+            (F.col("n_regionkey") == 1).cast("int").alias("active"),
+            F.when(nation == 6, F.lit(None)).otherwise(F.lit("2000-01-01")).cast("timestamp").alias("end_time"),
+            F.when(nation == 12, "email_exp").otherwise("page").alias("campaign_type"),
+        )
+
     def tables(self, views: bool = False) -> Tables:
         """Everything a plan needs; sessions follow the views or the purchases."""
         return Tables(
