@@ -44,17 +44,17 @@ def metric(strategy: Strategy, tables: Tables, as_of: datetime, pos_history: str
     window = lookback_window(as_of, strategy.lookback_days)
     starts = session_window(window)
     long = lookback_window(as_of, TREND_DAYS)
-    lines, sessions, rates = tables.purchase_lines, tables.sessions, tables.exchange_rates
 
     if strategy.algorithm in ("view", "most_popular"):
-        return metrics.views(tables.product_views, sessions, accounts, window, starts)
+        return metrics.views(tables.product_views, tables.sessions, accounts, window, starts)
 
     online = pos = None
     if strategy.source != "offline":
+        lines, sessions = tables.purchase_lines, tables.sessions
         if strategy.algorithm == "purchase":
             online = metrics.units_online(lines, sessions, accounts, window, starts)
         elif strategy.algorithm == "purchase_value":
-            online = metrics.revenue_online(lines, sessions, accounts, rates, window, starts)
+            online = metrics.revenue_online(lines, sessions, accounts, tables.exchange_rates, window, starts)
         else:
             online = metrics.trend_online(lines, sessions, accounts, window, starts, long, session_window(long))
     if strategy.source != "online":
@@ -65,7 +65,7 @@ def metric(strategy: Strategy, tables: Tables, as_of: datetime, pos_history: str
         if strategy.algorithm == "purchase":
             pos = metrics.units_pos(bought, window)
         elif strategy.algorithm == "purchase_value":
-            pos = metrics.revenue_pos(bought, accounts, rates, window)
+            pos = metrics.revenue_pos(bought, accounts, tables.exchange_rates, window)
         else:
             pos = metrics.trend_pos(bought, starts, session_window(long))
     if online is None:

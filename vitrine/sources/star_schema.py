@@ -8,6 +8,7 @@ of any plan grows with them.
 from __future__ import annotations
 
 from datetime import datetime
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -45,9 +46,13 @@ class StarSchema:
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark, self.folder = spark, folder.rstrip("/")
+        self._stored: dict[str, DataFrame] = {}
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        """A stored table; its footer is read once per instance."""
+        if table not in self._stored:
+            self._stored[table] = self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        return self._stored[table]
 
     def _customers(self) -> DataFrame:
         return self.read("customer").select(
@@ -271,16 +276,26 @@ class StarSchema:
 
     def tables(self, views: bool = False) -> Tables:
         """Everything a plan needs; sessions follow the views or the purchases."""
-        return Tables(
-            catalog=self.catalog(),
-            expiration=self.expiration(),
-            accounts=self.accounts(),
-            product_views=self.product_views(),
-            purchase_lines=self.purchase_lines(),
-            sessions=self.view_sessions() if views else self.purchase_sessions(),
-            pos_lines=self.pos_lines(),
-            exchange_rates=self.exchange_rates(),
-            settings=self.settings(),
-            market_accounts=self.market_accounts(),
-            catalog_fields=CATALOG_FIELDS,
-        )
+        return _StarTables(self, views)
+
+
+class _StarTables(Tables):
+    """Tables that are put together on first use, so a plan pays only for those it reads."""
+
+    def __init__(self, star: StarSchema, views: bool) -> None:
+        object.__setattr__(self, "_star", star)
+        object.__setattr__(self, "_views", views)
+
+    catalog = cached_property(lambda self: self._star.catalog())
+    expiration = cached_property(lambda self: self._star.expiration())
+    accounts = cached_property(lambda self: self._star.accounts())
+    product_views = cached_property(lambda self: self._star.product_views())
+    purchase_lines = cached_property(lambda self: self._star.purchase_lines())
+    sessions = cached_property(
+        lambda self: self._star.view_sessions() if self._views else self._star.purchase_sessions()
+    )
+    pos_lines = cached_property(lambda self: self._star.pos_lines())
+    exchange_rates = cached_property(lambda self: self._star.exchange_rates())
+    settings = cached_property(lambda self: self._star.settings())
+    market_accounts = cached_property(lambda self: self._star.market_accounts())
+    catalog_fields = CATALOG_FIELDS
