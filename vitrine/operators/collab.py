@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from vitrine.functions import filters
+from vitrine.functions import filters, product_types
 from vitrine.functions.filters import Fields, PairFilters
 from vitrine.operators import ranking
 
@@ -23,9 +23,18 @@ def _attributes(catalog: DataFrame, dynamic_fields: list[str], fields: Fields) -
     return [filters.field_column(catalog, f, fields).alias(_attribute(f)) for f in dynamic_fields]
 
 
+def _with_parsed_list(items: DataFrame, dynamic_fields: list[str]) -> DataFrame:
+    """Product types parsed once per item, not once per pair."""
+    if filters.PRODUCT_TYPE not in dynamic_fields:
+        return items
+    parsed = product_types.parse_list(F.col(_attribute(filters.PRODUCT_TYPE)))
+    return items.withColumn(_attribute(filters.PRODUCT_TYPE_LIST), parsed)
+
+
 def context_items(catalog: DataFrame, dynamic_fields: list[str], fields: Fields) -> DataFrame:
     """Distinct attributes of every item group, for the base-item side of dynamic filters."""
-    return catalog.select("item_group_id", *_attributes(catalog, dynamic_fields, fields)).distinct()
+    items = catalog.select("item_group_id", *_attributes(catalog, dynamic_fields, fields)).distinct()
+    return _with_parsed_list(items, dynamic_fields)
 
 
 def recommendable(
@@ -45,7 +54,8 @@ def recommendable(
         .agg(F.max("id").alias("id"))
     )
     order = Window.partitionBy("item_group_id", *names).orderBy(F.col("id").desc())
-    return looks.withColumn("n", F.row_number().over(order)).where(F.col("n") <= cap).drop("n")
+    kept = looks.withColumn("n", F.row_number().over(order)).where(F.col("n") <= cap).drop("n")
+    return _with_parsed_list(kept, dynamic_fields)
 
 
 def dynamic_condition(trees: list[dict]) -> Column:
@@ -54,7 +64,7 @@ def dynamic_condition(trees: list[dict]) -> Column:
     for tree in trees:
         if tree["filters"]:
             condition = condition & filters.compile_tree(
-                tree, lambda f: F.col(f"pair.{_attribute(f)}"), lambda f: F.col(f"base.{_attribute(f)}")
+                tree, lambda f: F.col(f"pair.`{_attribute(f)}`"), lambda f: F.col(f"base.`{_attribute(f)}`")
             )
     return condition
 
@@ -71,7 +81,7 @@ def against_base_item(sku_pairs: DataFrame, contexts: DataFrame, trees: list[dic
 def collapsed(sku_pairs: DataFrame, bucketed: bool, per: tuple[str, ...] = ()) -> DataFrame:
     """Highest SKU among equal looks with equal score under one lookup key."""
     product_type = ["product_type"] if bucketed else []
-    keys = [*per, "lookup_key", "score", "normalized_score", *LOOK, *product_type]
+    keys = [*per, "lookup_key", "score", *LOOK, *product_type]
     return sku_pairs.groupBy(*keys).agg(F.max("id").alias("id"))
 
 
@@ -81,7 +91,7 @@ def sku_lists(sku_pairs: DataFrame, bucketed: bool, per: tuple[str, ...] = ()) -
     partition = [*per, "lookup_key"]
     if bucketed:
         rows, partition = ranking.exploded(rows), [*partition, ranking.BUCKET]
-    return ranking.ranked_pairs(rows, partition).select(*partition, "id", "rank", "score", "normalized_score")
+    return ranking.ranked_pairs(rows, partition).select(*partition, "id", "rank", "score")
 
 
 def explode_pairs(
@@ -92,7 +102,7 @@ def explode_pairs(
     fields: Fields,
     per: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Normalised product pairs to ranked SKU lists, under the strategy's and the account's filters."""
+    """Scored product pairs to ranked SKU lists, under the strategy's and the account's filters."""
     bucketed = strategy_filters.bucketed or global_filters.bucketed
     dynamic_fields = sorted({*strategy_filters.dynamic_fields, *global_filters.dynamic_fields})
     candidates = recommendable(static_part(catalog, strategy_filters, global_filters, fields), dynamic_fields, fields, bucketed)

@@ -76,7 +76,8 @@ def _scored(baskets: DataFrame, key: tuple[str, ...], condition: Column, timed:
     """
     owner = [] if "account_id" in key else ["account_id"]
     what = ["product_id", *(["fact_time"] if timed else [])]
-    rows = baskets.groupBy(*key, *owner, *what).agg(F.count(F.lit(1)).alias("times"))
+    # NULLs never join. Dropping them here gives both sides and the size count one and the same input to share.
+    rows = baskets.dropna(subset=[*key, *what]).groupBy(*key, *owner, *what).agg(F.count(F.lit(1)).alias("times"))
     left, right = _blocked(rows, key)
 
     def side(df: DataFrame, n: int, kept: list[str]) -> DataFrame:

@@ -22,15 +22,19 @@ def scaled(scores: DataFrame, per: tuple[str, ...] = ()) -> DataFrame:
     return scores.withColumn("score", scale_to_max(F.col("score"), top))
 
 
-def normalised(pairs: DataFrame, per: tuple[str, ...] = ()) -> DataFrame:
-    """Pair scores with `normalized_score`, min-max scaled over the whole scope."""
+def score_ends(pairs: DataFrame, per: tuple[str, ...] = ()) -> DataFrame:
+    """Lowest and highest pair score of the whole scope (or of each account)."""
+    return pairs.groupBy(*per).agg(F.min("score").alias("low"), F.max("score").alias("high"))
+
+
+def normalised(rows: DataFrame, ends: DataFrame, per: tuple[str, ...] = ()) -> DataFrame:
+    """Add `normalized_score`. Applied to finished lists, so only kept rows are computed."""
     score = F.col("score")
     if per:
-        ends = pairs.groupBy(*per).agg(F.min("score").alias("low"), F.max("score").alias("high"))
-        joined = pairs.join(ends, list(per))
+        joined = rows.join(ends, list(per))
         return joined.withColumn("normalized_score", normalise(score, F.col("low"), F.col("high"))).drop("low", "high")
-    ends = pairs.agg(F.struct(F.min("score").alias("low"), F.max("score").alias("high"))).scalar()
-    return pairs.withColumn("normalized_score", normalise(score, ends.getField("low"), ends.getField("high")))
+    both = ends.select(F.struct("low", "high")).scalar()
+    return rows.withColumn("normalized_score", normalise(score, both.getField("low"), both.getField("high")))
 
 
 def to_skus(scores: DataFrame, skus: DataFrame) -> DataFrame:

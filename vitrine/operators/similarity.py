@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from vitrine.functions import filters
 from vitrine.functions.filters import Fields, PairFilters
-from vitrine.functions.scores import RATIO_TYPE, normalise, ratio
+from vitrine.functions.scores import RATIO_TYPE, ratio
 from vitrine.operators import collab, ranking
 
 # Fields stored as columns although no filter may use them.
@@ -164,34 +164,25 @@ def _survivors(open_conditions: int) -> int:
     return 1 if open_conditions == 0 else open_conditions * _survivors(open_conditions - 1) + 1
 
 
-def _prune(entries: DataFrame, place: list[str], look: list[str], differ: list[str], limit: int) -> DataFrame:
-    """Apply both bounds of the module text within each `place`."""
-    for size in range(len(differ), -1, -1):
-        for fixed in combinations(differ, size):
-            order = Window.partitionBy(*place, *look, *fixed).orderBy(F.col("id").desc())
-            keep = _survivors(len(differ) - size)
-            entries = entries.withColumn("n", F.row_number().over(order)).where(F.col("n") <= keep)
-    best = F.max("id").over(Window.partitionBy(*place, *look))
-    by_best = Window.partitionBy(*place).orderBy(F.col("best").desc())
-    ranked = entries.withColumn("best", best).withColumn("n", F.dense_rank().over(by_best))
-    return ranked.where(F.col("n") <= 2 * limit).drop("n", "best")
-
-
 def candidates(sets: DataFrame, looks: DataFrame, side: list[str], names: list[str], limit: int) -> DataFrame:
     """Bounded candidate lists per mask, values and `side` (attributes of dynamic filters).
 
-    Pruned first in random shares of each list, so the mask of no attributes,
-    which every SKU belongs to, is never gathered in one task; then as a whole,
-    on at most SALTS times the bound.
+    Every step is a row limit within a window, which Spark applies inside each
+    task before it shuffles. So no task ever gathers the whole of a hot list,
+    such as the one under the mask of no attributes, to which every SKU belongs.
     """
     look = list(collab.LOOK)
-    entries = sets.join(looks, "item_group_id")
-    carry = ["item_group_id", *names, *look, *side, "id"]
-    rows = _by_mask(entries, names, carry).withColumn("share", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
     place = [*_keys(names), *side]
     differ = ["item_group_id", *names]
-    shares = _prune(rows.repartition(*[F.col(c) for c in [*place, "share"]]), [*place, "share"], look, differ, limit)
-    return _prune(shares.drop("share").repartition(*[F.col(c) for c in place]), place, look, differ, limit)
+    rows = _by_mask(sets.join(looks, "item_group_id"), names, [*differ, *look, *side, "id"])
+    for size in range(len(differ), -1, -1):
+        for fixed in combinations(differ, size):
+            order = Window.partitionBy(*place, *look, *fixed).orderBy(F.col("id").desc())
+            keep = _survivors(len(differ) - size)
+            rows = rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= keep)
+    rows = rows.withColumn("best", F.max("id").over(Window.partitionBy(*place, *look)))
+    by_best = Window.partitionBy(*place).orderBy(F.col("best").desc())
+    return rows.withColumn("n", F.dense_rank().over(by_best)).where(F.col("n") <= 2 * limit).drop("n", "best")
 
 
 def _best_per_tuple(tuples: DataFrame, lists: DataFrame, side: list[str], names: list[str], limit: int) -> DataFrame:
@@ -251,11 +242,7 @@ def similar_skus(
 
     lookups = sets.select(F.col("item_group_id").alias("lookup_key"), _tuple_key(names))
     rows = best.join(lookups, "tuple_key").where(F.col("lookup_key") != F.col("item_group_id"))
-    ends = score_range(sets, tuples, weights).select(F.struct("low", "high")).scalar()
-    rows = rows.withColumn(
-        "normalized_score", normalise(F.col("score"), ends.getField("low"), ends.getField("high"))
-    )
     if dynamic_fields:
         contexts = collab.context_items(fresh, dynamic_fields, fields)
         rows = collab.against_base_item(rows, contexts, [strategy_filters.dynamic, global_filters.dynamic])
-    return collab.sku_lists(rows, bucketed)
+    return ranking.normalised(collab.sku_lists(rows, bucketed), score_range(sets, tuples, weights))

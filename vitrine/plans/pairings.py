@@ -62,7 +62,7 @@ def product_pairs(
 
 def ranked_products(scored_pairs: DataFrame, per: tuple[str, ...] = ()) -> DataFrame:
     """Pairs as lookup_key, product_id, score, normalized_score."""
-    return ranking.normalised(pairs.as_lookup(scored_pairs), per)
+    return ranking.normalised(pairs.as_lookup(scored_pairs), ranking.score_ends(scored_pairs, per), per)
 
 
 def _split(strategy: Strategy, settings: AccountSettings, tables: Tables):
@@ -76,15 +76,16 @@ def _split(strategy: Strategy, settings: AccountSettings, tables: Tables):
 def sku_lists(
     strategy: Strategy,
     tables: Tables,
-    normalised_pairs: DataFrame,
+    scored_pairs: DataFrame,
     settings: AccountSettings = AccountSettings(),
     per: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Normalised pairs to ranked SKU lists under the filters of one strategy."""
+    """Scored pairs to ranked SKU lists under the filters of one strategy."""
     own, shared = _split(strategy, settings, tables)
     stock = catalogs.dataset(tables.catalog, strategy.retailer_id, strategy.catalog_id)
     fresh = catalogs.latest(stock, tables.expiration)
-    return collab.explode_pairs(normalised_pairs, fresh, own, shared, tables.catalog_fields, per)
+    lists = collab.explode_pairs(pairs.as_lookup(scored_pairs), fresh, own, shared, tables.catalog_fields, per)
+    return ranking.normalised(lists, ranking.score_ends(scored_pairs, per), per)
 
 
 def similar_products(
@@ -116,4 +117,4 @@ def recommend(
     if strategy.algorithm == "similar_products_v2":
         return similar_products(strategy, tables, settings)
     scored = product_pairs(strategy, tables, as_of, settings, until)
-    return sku_lists(strategy, tables, ranked_products(scored), settings)
+    return sku_lists(strategy, tables, scored, settings)
