@@ -10,6 +10,7 @@ from vitrine.functions.scores import normalise, scale_to_max
 GLOBAL_LIMIT = 1000
 PAIR_LIMIT = 50
 PAIR_FEED_LIMIT = 10_000
+SHARES = 32
 BUCKET = "split_product_type"
 
 
@@ -65,6 +66,18 @@ def ranked_pairs(sku_pairs: DataFrame, partition: list[str], limit: int = PAIR_L
 
 
 def pair_ordinals(pairs: DataFrame, limit: int = PAIR_FEED_LIMIT) -> DataFrame:
-    """Products of every lookup key in order of score, then highest product id."""
-    order = Window.partitionBy("account_id", "lookup_key").orderBy(F.col("score").desc(), F.col("product_id").desc())
-    return pairs.withColumn("ordinal", F.row_number().over(order)).where(F.col("ordinal") <= limit)
+    """Products of every lookup key in order of score, then highest product id.
+
+    The limit is above what Spark prunes by itself before a shuffle, so it is
+    applied to random shares of every key first: no task sorts the whole of a
+    popular key, and the second step meets at most SHARES * limit rows of one.
+    """
+    key = ["account_id", "lookup_key"]
+    best = [F.col("score").desc(), F.col("product_id").desc()]
+
+    def first(df: DataFrame, partition: list[str]) -> DataFrame:
+        order = Window.partitionBy(*partition).orderBy(*best)
+        return df.withColumn("ordinal", F.row_number().over(order)).where(F.col("ordinal") <= limit)
+
+    shares = pairs.withColumn("share", F.pmod(F.hash("product_id"), F.lit(SHARES)))
+    return first(first(shares, [*key, "share"]).drop("share"), key)

@@ -16,7 +16,7 @@ INVALID_PRODUCT_IDS = ("", "null", "NULL")
 
 def in_scope(df: DataFrame, accounts: DataFrame) -> DataFrame:
     """Rows of the accounts in scope. The account list is small but unchecked, so no broadcast is forced."""
-    return df.join(accounts.select("account_id").distinct(), "account_id", "left_semi")
+    return df.join(accounts.select("account_id"), "account_id", "left_semi")
 
 
 def facts_between(facts: DataFrame, accounts: DataFrame, window: Window) -> DataFrame:
