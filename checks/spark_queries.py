@@ -8,11 +8,10 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
-from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vitrine.functions import filters, product_types, sharding
+from vitrine.functions import filters, sharding
 from vitrine.functions.times import lookback_window, session_window
 from vitrine.operators import collab, documents, metrics, pairs, ranking, representatives, scopes, sessions
 from vitrine.plans import pairings, rankings

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -16,6 +17,8 @@ PAIR_FEED = "RECSET_COLLAB_RECS"
 UNIFIED_FEED = "RECSET_RECS"
 PRODUCT_FEED = "RECSET_COLLAB_RECS_PID"
 
+WRITERS = 16
+
 
 def _list(order: str, entry: list[str]) -> Column:
     """Entries of a bucket in rank order. Buckets are bounded by the ranking limits."""
@@ -118,9 +121,11 @@ def product_documents(
 def write(documents: DataFrame, path: str, sent: datetime) -> None:
     """Gzip JSON below date=/shard_low=/strategy_id=, one job for all accounts and strategies.
 
-    Rows are clustered by output folder and spread by key inside it, so a large
-    account is written by several tasks.
+    Rows are gathered by output folder, so folders do not break up into a file
+    per task, and spread over WRITERS shares, so that the strategy with most
+    documents is not written by a single task.
     """
+    folders = ["date", "shard_low", "strategy_id"]
     laid_out = documents.withColumns(
         {
             "date": F.lit(sent.strftime("%Y-%m-%d")),
@@ -128,13 +133,13 @@ def write(documents: DataFrame, path: str, sent: datetime) -> None:
             "strategy_id": F.col("schema.id"),
         }
     )
-    laid_out.write.mode("append").partitionBy("date", "shard_low", "strategy_id").option("compression", "gzip").json(path)
+    share = F.pmod(F.xxhash64("document"), F.lit(WRITERS))
+    spread = laid_out.repartition(*[F.col(c) for c in folders], share)
+    spread.write.mode("append").partitionBy(*folders).option("compression", "gzip").json(path)
 
 
 def file_label(account_id: int, strategy_id: int, sent: datetime, unified: bool = False) -> str:
     """Name under which one account's documents of one strategy are known downstream."""
-    import zlib
-
     shard = zlib.crc32(str(account_id).encode()) % sharding.SHARD_SPACE
     width = sharding.SHARD_SPACE // sharding.SHARD_RANGES
     low = shard // width * width

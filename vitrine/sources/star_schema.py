@@ -10,7 +10,7 @@ from __future__ import annotations
 from datetime import datetime
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vitrine.plans.strategy import Tables
 
@@ -37,10 +37,6 @@ CATALOG_FIELDS = {
 }
 
 
-def _group_of(part_key: Column) -> Column:
-    return F.concat(F.lit("TP-"), F.floor(part_key / 4).cast("string"))
-
-
 class StarSchema:
     """Reads <folder>/<table>.parquet and exposes the logical tables lazily."""
 
@@ -55,36 +51,34 @@ class StarSchema:
         return self._stored[table]
 
     def _customers(self) -> DataFrame:
-        return self.read("customer").select(
-            F.col("c_custkey").alias("device"), (F.col("c_nationkey") % 5).cast("bigint").alias("account_id"), "c_nationkey"
+        return self.read("customer").selectExpr(
+            "c_custkey AS device", "CAST(c_nationkey % 5 AS BIGINT) AS account_id", "c_nationkey"
         )
 
     def _lines(self, point_of_sale: bool) -> DataFrame:
-        in_store = F.col("o_orderpriority") == "5-LOW"
-        orders = self.read("orders").where(in_store if point_of_sale else ~in_store).select(
-            "o_orderkey", F.col("o_custkey").alias("device"), F.col("o_orderdate").cast("timestamp").alias("fact_time")
+        in_store = "o_orderpriority = '5-LOW'"
+        orders = self.read("orders").where(in_store if point_of_sale else f"NOT {in_store}").selectExpr(
+            "o_orderkey", "o_custkey AS device", "CAST(o_orderdate AS TIMESTAMP) AS fact_time"
         )
-        lines = self.read("lineitem").select(
-            F.col("l_orderkey").alias("o_orderkey"),
+        lines = self.read("lineitem").selectExpr(
+            "l_orderkey AS o_orderkey",
             "l_linenumber",
-            _group_of(F.col("l_partkey")).alias("product_id"),
-            F.col("l_quantity").cast("bigint").alias("quantity"),
-            F.col("l_extendedprice").cast("decimal(18,2)").alias("currency_unit_price"),
-            F.element_at(F.array(F.lit("USD"), F.lit("EUR"), F.lit("GBP")), (F.col("l_suppkey") % 3 + 1).cast("int")).alias(
-                "currency"
-            ),
+            "concat('TP-', l_partkey DIV 4) AS product_id",
+            "CAST(l_quantity AS BIGINT) AS quantity",
+            "CAST(l_extendedprice AS DECIMAL(18,2)) AS currency_unit_price",
+            "CASE l_suppkey % 3 WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' ELSE 'GBP' END AS currency",
         )
         return lines.join(orders, "o_orderkey").join(self._customers(), "device")
 
     def purchase_lines(self) -> DataFrame:
-        return self._lines(False).select(
+        return self._lines(False).selectExpr(
             "account_id",
             "fact_time",
-            F.lit(0).cast("bigint").alias("mid_epoch"),
-            F.col("device").alias("mid_ts"),
-            F.lit(0).cast("bigint").alias("mid_rnd"),
-            F.col("o_orderkey").cast("string").alias("purchase_id"),
-            F.col("l_linenumber").alias("line"),
+            "0L AS mid_epoch",
+            "device AS mid_ts",
+            "0L AS mid_rnd",
+            "CAST(o_orderkey AS STRING) AS purchase_id",
+            "l_linenumber AS line",
             "product_id",
             "quantity",
             "currency",
@@ -92,53 +86,53 @@ class StarSchema:
         )
 
     def pos_lines(self) -> DataFrame:
-        return self._lines(True).select(
-            F.lit(RETAILER).cast("bigint").alias("retailer_id"),
-            F.col("account_id").alias("dataset_id"),
-            F.col("device").cast("string").alias("customer_id"),
-            F.col("fact_time").alias("time"),
+        return self._lines(True).selectExpr(
+            f"{RETAILER}L AS retailer_id",
+            "account_id AS dataset_id",
+            "CAST(device AS STRING) AS customer_id",
+            "fact_time AS time",
             "product_id",
             "quantity",
             "currency",
             "currency_unit_price",
-            F.col("fact_time").alias("update_time"),
+            "fact_time AS update_time",
         )
 
     def product_views(self) -> DataFrame:
-        viewed = self.read("events").where(F.col("event_type") == "view").select(
-            F.col("user_id").alias("device"),
-            F.col("ts").cast("timestamp").alias("fact_time"),
-            F.concat(F.lit("TP-"), F.get_json_object("props", "$.k")).alias("product_id"),
+        viewed = self.read("events").where("event_type = 'view'").selectExpr(
+            "user_id AS device",
+            "CAST(ts AS TIMESTAMP) AS fact_time",
+            "concat('TP-', get_json_object(props, '$.k')) AS product_id",
         )
-        return viewed.join(self._customers(), "device").select(
-            F.to_date("fact_time").alias("fact_date"),
+        return viewed.join(self._customers(), "device").selectExpr(
+            "CAST(fact_time AS DATE) AS fact_date",
             "account_id",
             "fact_time",
-            F.lit(0).cast("bigint").alias("mid_epoch"),
-            F.col("device").alias("mid_ts"),
-            F.lit(0).cast("bigint").alias("mid_rnd"),
+            "0L AS mid_epoch",
+            "device AS mid_ts",
+            "0L AS mid_rnd",
             "product_id",
         )
 
     def _sessions(self, facts: DataFrame) -> DataFrame:
         """One session per account, device and day, placed by the customer's nation and region."""
-        places = self._customers().join(
-            self.read("nation").join(self.read("region"), F.col("n_regionkey") == F.col("r_regionkey")),
-            F.col("c_nationkey") == F.col("n_nationkey"),
+        nations = self.read("nation").join(self.read("region"), F.expr("n_regionkey = r_regionkey"))
+        places = self._customers().join(nations, F.expr("c_nationkey = n_nationkey")).selectExpr(
+            "device", "n_name AS country_code", "r_name AS region"
         )
-        days = facts.groupBy("account_id", "mid_ts", F.to_date("fact_time").alias("start_date")).agg(
-            F.min("fact_time").alias("start_time"), F.max("fact_time").alias("end_time")
+        days = facts.groupBy("account_id", "mid_ts", F.expr("CAST(fact_time AS DATE) AS start_date")).agg(
+            F.expr("min(fact_time) AS start_time"), F.expr("max(fact_time) AS end_time")
         )
-        return days.join(places.drop("account_id"), F.col("mid_ts") == F.col("device")).select(
+        return days.join(places, F.expr("mid_ts = device")).selectExpr(
             "start_date",
             "account_id",
             "start_time",
             "end_time",
-            F.lit(0).cast("bigint").alias("mid_epoch"),
-            F.lit(0).cast("bigint").alias("mid_rnd"),
+            "0L AS mid_epoch",
+            "0L AS mid_rnd",
             "mid_ts",
-            F.col("n_name").alias("country_code"),
-            F.col("r_name").alias("region"),
+            "country_code",
+            "region",
         )
 
     def purchase_sessions(self) -> DataFrame:
@@ -148,130 +142,110 @@ class StarSchema:
         return self._sessions(self.product_views())
 
     def catalog(self) -> DataFrame:
-        words = F.split("p_name", " ")
-        group = _group_of(F.col("p_partkey"))
-        return self.read("part").select(
-            F.lit(RETAILER).cast("bigint").alias("retailer_id"),
-            F.lit(CATALOG).cast("bigint").alias("dataset_id"),
-            F.concat(F.lit("SKU-"), F.lpad(F.col("p_partkey").cast("string"), 8, "0")).alias("id"),
-            group.alias("item_group_id"),
-            F.col("p_name").alias("title"),
-            F.concat(F.lit("img/"), F.replace("p_name", F.lit(" "), F.lit("-"))).alias("image_link"),
-            F.col("p_retailprice").cast("decimal(18,4)").alias("price"),
-            F.concat("p_type", F.lit(" > "), words[1], F.lit(", "), words[0]).alias("product_type"),
-            F.col("p_brand").alias("brand"),
-            words[0].alias("color"),
-            (F.col("p_size") % 2 == 0).alias("is_bundle"),
-            F.when(F.col("p_size") % 10 == 0, F.lit("Out of Stock")).otherwise(F.lit("in stock")).alias("availability"),
-            F.date_add(F.lit("2001-08-01").cast("date"), -(F.col("p_size") % 7).cast("int")).cast("timestamp").alias(
-                "update_time"
-            ),
-            F.to_json(
-                F.struct(
-                    F.concat(F.lit("class "), (F.col("p_size") % 5).cast("string")).alias("size_class"),
-                    F.col("p_size").alias("size_value"),
-                )
-            ).alias("custom"),
+        return self.read("part").selectExpr(
+            f"{RETAILER}L AS retailer_id",
+            f"{CATALOG}L AS dataset_id",
+            "concat('SKU-', lpad(CAST(p_partkey AS STRING), 8, '0')) AS id",
+            "concat('TP-', p_partkey DIV 4) AS item_group_id",
+            "p_name AS title",
+            "concat('img/', replace(p_name, ' ', '-')) AS image_link",
+            "CAST(p_retailprice AS DECIMAL(18,4)) AS price",
+            "concat(p_type, ' > ', split_part(p_name, ' ', 2), ', ', split_part(p_name, ' ', 1)) AS product_type",
+            "p_brand AS brand",
+            "split_part(p_name, ' ', 1) AS color",
+            "p_size % 2 = 0 AS is_bundle",
+            "CASE WHEN p_size % 10 = 0 THEN 'Out of Stock' ELSE 'in stock' END AS availability",
+            "CAST(date_sub(DATE '2001-08-01', CAST(p_size % 7 AS INT)) AS TIMESTAMP) AS update_time",
+            "to_json(named_struct('size_class', concat('class ', p_size % 5), 'size_value', p_size)) AS custom",
         )
 
     def expiration(self) -> DataFrame:
         """Cutoffs: five days for the catalog, 400 days for each account's point-of-sale data."""
-        pos = self._customers().select(F.col("account_id").alias("dataset_id")).distinct()
-        pos = pos.withColumn("cutoff_time", F.lit("2000-06-28").cast("timestamp"))
-        catalog = self.read("region").where(F.col("r_regionkey") == 0).select(
-            F.lit(CATALOG).cast("bigint").alias("dataset_id"), F.lit("2001-07-27").cast("timestamp").alias("cutoff_time")
+        pos = self.accounts().selectExpr("account_id AS dataset_id", "TIMESTAMP '2000-06-28' AS cutoff_time")
+        catalog = self.read("region").where("r_regionkey = 0").selectExpr(
+            f"{CATALOG}L AS dataset_id", "TIMESTAMP '2001-07-27' AS cutoff_time"
         )
         return pos.unionByName(catalog)
 
     def accounts(self) -> DataFrame:
         """Nation keys modulo five: five accounts, alternating between two currencies."""
-        account = (F.col("n_nationkey") % 5).cast("bigint")
-        return self.read("nation").select(account.alias("account_id")).distinct().select(
-            "account_id",
-            F.lit(RETAILER).cast("bigint").alias("retailer_id"),
-            F.when(F.col("account_id") % 2 == 0, F.lit("USD")).otherwise(F.lit("EUR")).alias("currency"),
-            F.lit(0).alias("archived"),
-        )
+        return self.read("nation").selectExpr(
+            "CAST(n_nationkey % 5 AS BIGINT) AS account_id",
+            f"{RETAILER}L AS retailer_id",
+            "CASE WHEN n_nationkey % 5 % 2 = 0 THEN 'USD' ELSE 'EUR' END AS currency",
+            "0 AS archived",
+        ).distinct()
 
     def market_accounts(self) -> DataFrame:
         """Market 7 joins the accounts 1 and 3."""
-        return self.accounts().where(F.col("account_id").isin(1, 3)).select(
-            F.lit(7).cast("bigint").alias("market_id"), "account_id"
-        )
+        return self.accounts().where("account_id IN (1, 3)").selectExpr("7L AS market_id", "account_id")
 
     def settings(self) -> DataFrame:
-        return self.accounts().select("account_id", F.col("account_id").alias("pos_dataset_id"))
+        return self.accounts().selectExpr("account_id", "account_id AS pos_dataset_id")
 
     def exchange_rates(self) -> DataFrame:
         """A rate for each order day and currency pair; 29 February has none."""
-        days = self.read("orders").select(F.to_date("o_orderdate").alias("effective_date")).distinct()
-        day_of_month = F.dayofmonth("effective_date")
-        dated = days.where(~((F.month("effective_date") == 2) & (day_of_month == 29)))
-        pairs = F.array(
-            *[
-                F.struct(F.lit(a).alias("from_currency_code"), F.lit(b).alias("to_currency_code"), F.lit(n).alias("step"))
-                for n, (a, b) in enumerate((a, b) for a in ("USD", "EUR", "GBP") for b in ("USD", "EUR"))
-            ]
+        days = self.read("orders").selectExpr("CAST(o_orderdate AS DATE) AS effective_date").distinct()
+        pairs = ", ".join(
+            f"named_struct('source', '{a}', 'target', '{b}', 'step', {n})"
+            for n, (a, b) in enumerate((a, b) for a in ("USD", "EUR", "GBP") for b in ("USD", "EUR"))
         )
-        rows = dated.select("effective_date", F.explode(pairs).alias("pair")).select("effective_date", "pair.*")
-        rate = F.when(F.col("from_currency_code") == F.col("to_currency_code"), F.lit("1").cast("decimal(18,6)")).otherwise(
-            (F.lit(900) + F.col("step") * 100 + F.dayofmonth("effective_date")).cast("decimal(18,6)")
-            * F.lit("0.001").cast("decimal(4,3)")
+        dated = days.where("NOT (month(effective_date) = 2 AND day(effective_date) = 29)").selectExpr(
+            "effective_date", f"explode(array({pairs})) AS pair"
         )
-        return rows.select(
-            "from_currency_code", "to_currency_code", "effective_date", rate.cast("decimal(18,6)").alias("rate")
+        return dated.selectExpr(
+            "pair.source AS from_currency_code",
+            "pair.target AS to_currency_code",
+            "effective_date",
+            "CAST(CASE WHEN pair.source = pair.target THEN 1.000 "
+            "ELSE CAST(900 + pair.step * 100 + day(effective_date) AS DECIMAL(10,0)) * 0.001 END AS DECIMAL(18,6)) AS rate",
         )
 
     # ---- experience configuration, for the question which strategies are in use
 
     def strategies(self) -> DataFrame:
-        return self.read("part").select(
-            F.col("p_partkey").alias("id"),
-            (F.col("p_size") == 50).alias("is_component"),
-            F.date_add(F.lit("2001-06-01").cast("date"), F.col("p_size")).cast("timestamp").alias("updated"),
+        return self.read("part").selectExpr(
+            "p_partkey AS id",
+            "p_size = 50 AS is_component",
+            "CAST(date_add(DATE '2001-06-01', p_size) AS TIMESTAMP) AS updated",
         )
 
     def action_inputs(self) -> DataFrame:
         """Order lines as the leaves of nested sets, the order itself as their parent node."""
-        priority, status = F.col("o_orderpriority"), F.col("o_orderstatus")
-        parents = self.read("orders").select(
-            F.col("o_orderkey").alias("action_id"),
-            F.when(status == "P", F.lit(0)).otherwise(F.lit(1)).alias("lft"),
-            F.lit(1000).alias("rgt"),
-            F.lit(None).cast("bigint").alias("int_value"),
-            F.when(priority == "1-URGENT", "rec_set_ids").when(priority == "2-HIGH", "fallback_rec_set_ids")
-            .otherwise("templated_recommendation").alias("name"),
+        parents = self.read("orders").selectExpr(
+            "o_orderkey AS action_id",
+            "IF(o_orderstatus = 'P', 0, 1) AS lft",
+            "1000 AS rgt",
+            "CAST(NULL AS BIGINT) AS int_value",
+            "CASE o_orderpriority WHEN '1-URGENT' THEN 'rec_set_ids' WHEN '2-HIGH' THEN 'fallback_rec_set_ids' "
+            "ELSE 'templated_recommendation' END AS name",
         )
-        flag = F.col("l_returnflag")
-        leaves = self.read("lineitem").select(
-            F.col("l_orderkey").alias("action_id"),
-            (F.col("l_linenumber") * 2).alias("lft"),
-            (F.col("l_linenumber") * 2 + 1).alias("rgt"),
-            F.col("l_partkey").alias("int_value"),
-            F.when(flag == "A", "recset_id").when(flag == "R", "strategy_id").otherwise("item").alias("name"),
+        leaves = self.read("lineitem").selectExpr(
+            "l_orderkey AS action_id",
+            "l_linenumber * 2 AS lft",
+            "l_linenumber * 2 + 1 AS rgt",
+            "l_partkey AS int_value",
+            "CASE l_returnflag WHEN 'A' THEN 'recset_id' WHEN 'R' THEN 'strategy_id' ELSE 'item' END AS name",
         )
         return parents.unionByName(leaves)
 
     def actions(self) -> DataFrame:
-        return self.read("orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderkey").alias("where_id"))
+        return self.read("orders").selectExpr("o_orderkey AS id", "o_orderkey AS where_id")
 
     def placements(self) -> DataFrame:
-        return self.read("orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("campaign_id"))
+        return self.read("orders").selectExpr("o_orderkey AS id", "o_custkey AS campaign_id")
 
     def campaigns(self) -> DataFrame:
-        return self.read("customer").select(
-            F.col("c_custkey").alias("id"), F.col("c_nationkey").cast("bigint").alias("campaign_group_id")
-        )
+        return self.read("customer").selectExpr("c_custkey AS id", "CAST(c_nationkey AS BIGINT) AS campaign_group_id")
 
     def campaign_groups(self) -> DataFrame:
-        nation = F.col("n_nationkey")
-        return self.read("nation").select(
-            nation.cast("bigint").alias("id"),
-            (F.col("n_regionkey") == 0).cast("int").alias("archived"),
-            F.date_add(F.lit("2001-05-01").cast("date"), nation * 3).cast("timestamp").alias("last_modified_time"),
-            (F.col("n_regionkey") == 1).cast("int").alias("active"),
-            F.when(nation == 6, F.lit(None)).otherwise(F.lit("2000-01-01")).cast("timestamp").alias("end_time"),
-            F.when(nation == 12, "email_exp").otherwise("page").alias("campaign_type"),
+        return self.read("nation").selectExpr(
+            "CAST(n_nationkey AS BIGINT) AS id",
+            "CAST(n_regionkey = 0 AS INT) AS archived",
+            "CAST(date_add(DATE '2001-05-01', n_nationkey * 3) AS TIMESTAMP) AS last_modified_time",
+            "CAST(n_regionkey = 1 AS INT) AS active",
+            "IF(n_nationkey = 6, NULL, TIMESTAMP '2000-01-01') AS end_time",
+            "IF(n_nationkey = 12, 'email_exp', 'page') AS campaign_type",
         )
 
     def tables(self, views: bool = False) -> Tables:
