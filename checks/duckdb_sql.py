@@ -341,6 +341,19 @@ def _rollup(geo: tuple[str, ...]) -> str:
     return sql(f"SELECT {columns}, CAST(score AS DOUBLE) / 100.0 AS score FROM scored", *scaled("purchase_online", geo))
 
 
+# CRC-32 by its definition: the table follows from the polynomial, then one step per byte of the key's text.
+SHARDS = """
+WITH steps AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t),
+hashed AS (
+  SELECT c_custkey, xor(list_reduce(list_transform(string_split(CAST(c_custkey AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT)),
+    lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1]), 4294967295), 4294967295) % 1048576 AS shard_key
+  FROM customer, steps)
+SELECT c_custkey, shard_key, shard_key // 131072 * 131072 AS low, shard_key // 131072 * 131072 + 131072 AS high FROM hashed
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     found = {
         name: sql(f"SELECT id, item_group_id FROM catalog WHERE {test}") for name, test in CATALOG_FILTERS.items()
@@ -465,6 +478,7 @@ def oracle_sql() -> dict[str, str]:
             "FROM pairs QUALIFY ordinal <= 10000)", *pair_ranks(VIEW_PAIRS)
         ),
         "result_count": f"SELECT count(*) AS n FROM ({ranking('view', buckets=True)})",
+        "shard_keys": SHARDS,
         "active_strategies": """
             WITH live_groups AS (
               SELECT n_nationkey AS id FROM nation WHERE n_regionkey <> 0 AND (

@@ -125,3 +125,40 @@ def test_score_range(spark):
     sets = similarity.attribute_sets(catalog(spark, rows), weights, CATALOG_FIELDS)
     low, high = similarity.score_range(sets, similarity.weighted_tuples(sets, weights), weights).first()
     assert (low, high) == (Decimal("0"), Decimal("0.75"))
+
+
+def test_buckets_against_all_pairs(spark):
+    """With product-type buckets every bucket of a lookup key has its own top list."""
+    rng = random.Random(7)
+    rows = [
+        sku(f"SKU-{rng.randrange(10**6):06d}-{n}", "TP-0" if n % 3 == 0 else f"TP-{rng.randrange(1, 9)}",
+            color=rng.choice(["black", "black", "red"]), image_link=rng.choice(["same", f"own-{n}"]),
+            product_type=rng.choice(["a", "a, b", "b"]))
+        for n in range(60)
+    ]
+    cart = leaf("startswith", "product_type", "any_item_in_cart", function=True)
+    stock, limit, weights = catalog(spark, rows), 3, (("color", 0.5),)
+    from vitrine.functions import filters
+
+    got = similarity.similar_skus(
+        stock, stock, weights, filters.split_for_pairs(tree("and", cart), CATALOG_FIELDS),
+        filters.split_for_pairs(tree("and"), CATALOG_FIELDS), CATALOG_FIELDS, limit=limit,
+    )
+    found = {}
+    for r in got.where(f"rank <= {limit}").collect():
+        found.setdefault((r.lookup_key, r.split_product_type), []).append((r["rank"], r.score, r.id))
+    expected = {}
+    for a in rows:
+        for b in rows:
+            if a["item_group_id"] == b["item_group_id"]:
+                continue
+            score = Decimal("0.5") if a["color"] == b["color"] else Decimal(0)
+            for r in rows:
+                if r["item_group_id"] == b["item_group_id"]:
+                    key = (score, r["color"], r["image_link"], r["product_type"])
+                    for bucket in [*r["product_type"].split(", "), ""]:
+                        best = expected.setdefault((a["item_group_id"], bucket), {})
+                        best[key] = max(best.get(key, ""), r["id"])
+    assert {k: [(s, i) for _, s, i in sorted(v)] for k, v in found.items()} == {
+        k: sorted(((key[0], i) for key, i in best.items()), reverse=True)[:limit] for k, best in expected.items()
+    }
