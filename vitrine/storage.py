@@ -7,6 +7,7 @@ column pruning, and gives the planner real sizes to choose join strategies by.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,10 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
+    """The session's `spark.checkpoint.dir`; a temporary one only for a master inside this process."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[[^,]*(,[^,]*)?\])?$", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="vitrine-")
     spark.conf.set("spark.checkpoint.dir", folder)
@@ -30,3 +32,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/shared/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete what `materialise` wrote for `df`, a scan that nothing reads any more."""
+    spark = df.sparkSession
+    own = f"{shared_folder(spark)}/shared/"
+    folders = {file.rpartition("/")[0] for file in df.inputFiles()}
+    for folder in folders:
+        if own.removeprefix("file:").lstrip("/") in folder:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
