@@ -6,9 +6,10 @@ return the columns of documents; `run` chains them through the shared folder.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.llm import exact_dedup, simhash
+from vitrine.llm import decontamination, exact_dedup, sentence_pieces, simhash
 from vitrine.storage import materialise
 
 
@@ -22,9 +23,21 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return simhash.thin(docs, shingle=3, radius=2)
 
 
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Leave the documents that hold no run of ten words of a benchmark item, nor a whole shorter item."""
+    return decontamination.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), window=10)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of the documents left, with digests of the ids and of the text decoded from them."""
+    return sentence_pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 STAGES = [
     ("exact dedup", drop_copies),
     ("simhash near-dedup", drop_near_copies),
+    ("benchmark decontamination", drop_contaminated),
+    ("SentencePiece encoding and decoding", encode),
 ]
 
 #: Fingerprints and merges have no counterpart in SQL; tests hold the pipeline against a brute-force version.

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.llm import exact_dedup, simhash
+from vitrine.llm import decontamination, exact_dedup, sentence_pieces, simhash, token_counts
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,12 +18,26 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_groups(_table(spark, folder, "documents"), shingle=3, radius=2)
 
 
+def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    counts = token_counts.token_counts(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return counts.withColumn("over_limit", counts.n_tokens > 2048)
+
+
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, folder, "documents"), keep="max", fold_case=True)
 
 
+def op8_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return sentence_pieces.encode(_table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontamination.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"), window=10)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", decontamination.items_digest("item_ids").alias("items_sha256"), "contaminated")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op5_exact_dedup)}
+    return {f.__name__: f for f in (op1_simhash, op2_token_counts, op5_exact_dedup, op8_sentence_pieces, op9_decontamination)}
 
 
 FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -34,4 +49,17 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
                    doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
             FROM (SELECT doc_id, {FOLD} AS t FROM documents)""",
+        "op9_decontamination": r"""
+            WITH d AS (SELECT doc_id, string_split(trim(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g')), ' ') AS w FROM documents),
+            doc AS (SELECT doc_id, list_filter(w, x -> x <> '') AS w FROM d),
+            b AS (SELECT item_id, string_split(trim(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g')), ' ') AS w FROM benchmark),
+            item AS (SELECT item_id, w, least(len(w), 10) AS size FROM (SELECT item_id, list_filter(w, x -> x <> '') AS w FROM b) WHERE len(w) > 0),
+            test AS (SELECT DISTINCT item_id, size, array_to_string(w[p:p + size - 1], ' ') AS t FROM (SELECT item_id, w, size, unnest(range(1, len(w) - size + 2)) AS p FROM item)),
+            sizes AS (SELECT DISTINCT size FROM test),
+            place AS (SELECT doc_id, size, p, array_to_string(w[p:p + size - 1], ' ') AS t FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS p FROM doc CROSS JOIN sizes)),
+            hit AS (SELECT doc_id, p, place.size, item_id FROM place JOIN test ON place.size = test.size AND place.t = test.t),
+            words AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + size)) AS q FROM hit) GROUP BY doc_id),
+            items AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM hit GROUP BY doc_id)
+            SELECT doc.doc_id, len(doc.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+            FROM doc LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
     }
