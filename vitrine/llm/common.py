@@ -49,3 +49,15 @@ def local_components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         apart = label[a] != label[b]
         a, b = a[apart], b[apart]
     return label
+
+
+_KEPT: dict[str, object] = {}
+
+
+def per_worker(token: str, make: Callable[[], object]):
+    """`make()` once per Python worker and `token`, so tables and memories outlive a task; the last three are kept."""
+    if token not in _KEPT:
+        while len(_KEPT) >= 3:
+            del _KEPT[next(iter(_KEPT))]
+        _KEPT[token] = make()
+    return _KEPT[token]

@@ -51,9 +51,9 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT doc_id, {FOLD} AS t FROM documents)""",
         "op9_decontamination": r"""
             WITH d AS (SELECT doc_id, string_split(trim(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g')), ' ') AS w FROM documents),
-            doc AS (SELECT doc_id, list_filter(w, x -> x <> '') AS w FROM d),
+            doc AS (SELECT doc_id, list_filter(w, lambda x: x <> '') AS w FROM d),
             b AS (SELECT item_id, string_split(trim(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g')), ' ') AS w FROM benchmark),
-            item AS (SELECT item_id, w, least(len(w), 10) AS size FROM (SELECT item_id, list_filter(w, x -> x <> '') AS w FROM b) WHERE len(w) > 0),
+            item AS (SELECT item_id, w, least(len(w), 10) AS size FROM (SELECT item_id, list_filter(w, lambda x: x <> '') AS w FROM b) WHERE len(w) > 0),
             test AS (SELECT DISTINCT item_id, size, array_to_string(w[p:p + size - 1], ' ') AS t FROM (SELECT item_id, w, size, unnest(range(1, len(w) - size + 2)) AS p FROM item)),
             sizes AS (SELECT DISTINCT size FROM test),
             place AS (SELECT doc_id, size, p, array_to_string(w[p:p + size - 1], ' ') AS t FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS p FROM doc CROSS JOIN sizes)),

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 import unicodedata
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from pathlib import Path
@@ -22,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.llm.bpe import merge
+from vitrine.llm.common import per_worker
 
 REMEMBERED = 400_000
 #: Python parts texts at these, too; the library's pattern takes them for ordinary characters.
@@ -142,9 +144,10 @@ def token_counts(documents: DataFrame, path: str) -> DataFrame:
     as empty: no bytes, no tokens. No rows, no result.
     """
     shared = documents.sparkSession.sparkContext.broadcast(Vocabulary.read(path))
+    token = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(shared.value)
+        counter = per_worker(token, lambda: Counter(shared.value))
         for batch in batches:
             texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
             sizes = batch.column(1).cast(pa.binary()).to_pylist()
