@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.llm import decontamination, exact_dedup, sentence_pieces, simhash, token_counts
+from vitrine.llm import decontamination, exact_dedup, lm_scoring, sentence_pieces, simhash, token_counts
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -36,8 +36,12 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", decontamination.items_digest("item_ids").alias("items_sha256"), "contaminated")
 
 
+def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_scoring.scores(_table(spark, folder, "documents"), modulus=7)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_token_counts, op5_exact_dedup, op8_sentence_pieces, op9_decontamination)}
+    return {f.__name__: f for f in (op1_simhash, op2_token_counts, op5_exact_dedup, op8_sentence_pieces, op9_decontamination, op10_lm_scoring)}
 
 
 FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
