@@ -9,10 +9,15 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.llm import decontamination, exact_dedup, sentence_pieces, simhash
+from vitrine.llm import decontamination, exact_dedup, sentence_pieces, simhash, toxicity
 from vitrine.storage import materialise
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Leave the documents that the classifier scores below 0.3."""
+    return toxicity.clean(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), modulus=4)
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leave one row, that of the largest doc_id, of each group of texts equal but for the case of A-Z."""
     return exact_dedup.dedup(docs, keep="max", fold_case=True)
@@ -34,6 +39,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
     ("exact dedup", drop_copies),
     ("simhash near-dedup", drop_near_copies),
     ("benchmark decontamination", drop_contaminated),
