@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.llm import decontamination, exact_dedup, lm_scoring, sentence_pieces, simhash, token_counts, toxicity
+from vitrine.llm import decontamination, exact_dedup, html_text, lm_scoring, sentence_pieces, simhash, token_counts, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"), modulus=4)
 
 
+def op4_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.main_text(_table(spark, folder, "pages"))
+
+
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, folder, "documents"), keep="max", fold_case=True)
 
@@ -45,7 +49,7 @@ def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_token_counts, op3_toxicity, op5_exact_dedup, op8_sentence_pieces, op9_decontamination, op10_lm_scoring)}
+    return {f.__name__: f for f in (op1_simhash, op2_token_counts, op3_toxicity, op4_html_text, op5_exact_dedup, op8_sentence_pieces, op9_decontamination, op10_lm_scoring)}
 
 
 FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
