@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.llm import decontamination, exact_dedup, html_text, lm_scoring, sentence_pieces, simhash, substring_suffixes, token_counts, toxicity
+from vitrine.llm import decontamination, exact_dedup, html_text, lm_scoring, paragraph_dedup, sentence_pieces, simhash, substring_suffixes, token_counts, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, folder, "documents"), keep="max", fold_case=True)
 
 
+def op6_paragraph_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return paragraph_dedup.remove_near(_table(spark, folder, "documents"), shingle=5, threshold=0.8)
+
+
 def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = substring_suffixes.remove_repeats(_table(spark, folder, "documents"), length=200)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -54,7 +58,7 @@ def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_token_counts, op3_toxicity, op4_html_text, op5_exact_dedup, op7_suffix_dedup, op8_sentence_pieces, op9_decontamination, op10_lm_scoring)}
+    return {f.__name__: f for f in (op1_simhash, op2_token_counts, op3_toxicity, op4_html_text, op5_exact_dedup, op6_paragraph_dedup, op7_suffix_dedup, op8_sentence_pieces, op9_decontamination, op10_lm_scoring)}
 
 
 FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
