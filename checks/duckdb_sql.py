@@ -6,6 +6,8 @@ hundredths, both rounded as the plans round them.
 
 from __future__ import annotations
 
+import zlib
+
 TABLES = """
 customers AS (
   SELECT c_custkey AS device, CAST(c_nationkey % 5 AS BIGINT) AS account_id, c_nationkey FROM customer),
@@ -13,11 +15,12 @@ lines AS (
   SELECT account_id, device, o_orderdate AS fact_time, o_orderpriority = '5-LOW' AS in_store,
          'TP-' || (l_partkey // 4) AS product_id, CAST(l_quantity AS BIGINT) AS quantity,
          CAST(l_extendedprice AS DECIMAL(18,2)) AS price,
-         CASE l_suppkey % 3 WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' ELSE 'GBP' END AS currency
+         CASE l_suppkey % 3 WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' ELSE 'GBP' END AS currency, l_orderkey % 100 >= 10 AS delivered_late
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customers ON o_custkey = device),
 online AS (SELECT * FROM lines WHERE NOT in_store),
 views AS (
-  SELECT account_id, device, ts AS fact_time, 'TP-' || json_extract_string(props, '$.k') AS product_id
+  SELECT account_id, device, ts AS fact_time, CASE WHEN event_id % 97 = 0 THEN 'null' WHEN event_id % 89 = 0 THEN NULL
+         WHEN event_id % 83 = 0 THEN '' ELSE 'TP-' || json_extract_string(props, '$.k') END AS product_id
   FROM events JOIN customers ON user_id = device WHERE event_type = 'view'),
 places AS (
   SELECT device, n_name AS country_code, r_name AS region
@@ -38,7 +41,8 @@ catalog AS (
          p_brand AS brand, split_part(p_name, ' ', 1) AS color, p_size % 2 = 0 AS is_bundle,
          CASE WHEN p_size % 10 = 0 THEN 'Out of Stock' ELSE 'in stock' END AS availability,
          DATE '2001-08-01' - CAST(p_size % 7 AS INTEGER) AS update_time,
-         'class ' || (p_size % 5) AS size_class, CAST(p_size AS DOUBLE) AS size_value
+         'class ' || (p_size % 5) AS size_class, CAST(p_size AS DOUBLE) AS size_value,
+         CASE WHEN p_size % 7 = 0 THEN NULL ELSE 'grade ' || (p_size % 3) END AS grade
   FROM part),
 fresh AS (SELECT * FROM catalog WHERE update_time >= DATE '2001-07-27'),
 accounts AS (
@@ -54,7 +58,7 @@ rates AS (
 pos AS (
   SELECT account_id, account_id AS dataset_id, CAST(device AS VARCHAR) AS customer_id, product_id, quantity, currency,
          price, max(fact_time) AS fact_time
-  FROM lines WHERE in_store AND fact_time >= TIMESTAMP '2000-06-28' GROUP BY ALL)
+  FROM lines WHERE in_store AND delivered_late GROUP BY ALL)
 """
 
 GRAIN = "account_id, product_id, country_code, region"
@@ -116,12 +120,12 @@ METRICS = {
     "trending_offline": f"""SELECT account_id, product_id, '' AS country_code, '' AS region,
         {trend('sum(quantity)', 'sum(quantity)')} AS subtotal FROM (
         SELECT account_id, device, product_id, quantity, currency, price, max(fact_time) AS fact_time
-        FROM lines f WHERE in_store AND {_since(7)} GROUP BY ALL) GROUP BY account_id, product_id""",
+        FROM lines f WHERE in_store AND delivered_late AND {_since(7)} GROUP BY ALL) GROUP BY account_id, product_id""",
     "trending_offline_30d": f"""SELECT account_id, product_id, country_code, region, {trend('recent', 'total')} AS subtotal
         FROM (SELECT account_id, product_id, '' AS country_code, '' AS region,
                sum(CASE WHEN {_since(8)} THEN quantity END) AS recent, sum(quantity) AS total FROM (
           SELECT account_id, device, product_id, quantity, currency, price, max(fact_time) AS fact_time
-          FROM lines f WHERE in_store AND {_since(30)} GROUP BY ALL) f GROUP BY ALL) WHERE recent IS NOT NULL""",
+          FROM lines f WHERE in_store AND delivered_late AND {_since(30)} GROUP BY ALL) f GROUP BY ALL) WHERE recent IS NOT NULL""",
 }
 for _name in ("purchase", "value", "trending"):
     METRICS[f"{_name}_both"] = (
@@ -180,14 +184,13 @@ def ranking(
 def baskets(name: str) -> str:
     return {
         "online": "SELECT account_id, account_id AS dataset_id, CAST(device AS VARCHAR) AS customer_id, product_id, "
-        "max(fact_time) AS fact_time FROM online WHERE fact_time >= TIMESTAMP '2001-08-02' - INTERVAL 365 DAY GROUP BY ALL",
+        "max(fact_time) AS fact_time FROM online GROUP BY ALL",
         "offline": "SELECT account_id, account_id AS dataset_id, CAST(device AS VARCHAR) AS customer_id, product_id, quantity, "
-        "currency, price, max(fact_time) AS fact_time FROM lines WHERE in_store "
-        "AND fact_time >= TIMESTAMP '2001-08-02' - INTERVAL 365 DAY GROUP BY ALL",
+        "currency, price, max(fact_time) AS fact_time FROM lines WHERE in_store AND delivered_late GROUP BY ALL",
         "views": "SELECT account_id, account_id AS dataset_id, CAST(device AS VARCHAR) AS customer_id, product_id, "
-        "min(fact_time) AS fact_time FROM views WHERE fact_time >= TIMESTAMP '2024-01-01' GROUP BY ALL",
+        "min(fact_time) AS fact_time FROM views WHERE fact_time >= TIMESTAMP '2024-01-01' AND product_id LIKE 'TP-%' GROUP BY ALL",
         "views_capped": "SELECT * FROM (SELECT account_id, account_id AS dataset_id, CAST(device AS VARCHAR) AS customer_id, "
-        "product_id, min(fact_time) AS fact_time FROM views WHERE fact_time >= TIMESTAMP '2024-01-01' GROUP BY ALL) "
+        "product_id, min(fact_time) AS fact_time FROM views WHERE fact_time >= TIMESTAMP '2024-01-01' AND product_id LIKE 'TP-%' GROUP BY ALL) "
         "QUALIFY count(*) OVER (PARTITION BY account_id, customer_id) < 14",
     }[name]
 
@@ -263,7 +266,7 @@ def any_pair(test: str) -> str:
 
 def similar(attributes: list[tuple[str, int | None]], dynamic: str | None = None) -> str:
     """Weights in millionths; None is inverse frequency."""
-    stock = "SELECT DISTINCT item_group_id, color, brand, size_class FROM catalog WHERE lower(availability) = 'in stock'"
+    stock = "SELECT DISTINCT item_group_id, color, brand, size_class, grade FROM catalog WHERE lower(availability) = 'in stock'"
     terms = []
     for name, weight in attributes:
         share = (
@@ -291,10 +294,14 @@ def similar(attributes: list[tuple[str, int | None]], dynamic: str | None = None
 # ---------------------------------------------------------------- documents
 
 
-def documents(ranks: str, key: str, feed: str, extra: str = "") -> str:
+SHARD_OF_3 = f"CAST({zlib.crc32(b'3') % (1 << 20)} AS BIGINT)"
+
+
+def documents(ranks: str, key: str, feed: str, extra: str = "", sent: str = "2001-08-02 00:00:00") -> str:
     """`ranks` is a ranking or list query; its score column is renamed for the document."""
     return (
-        f"SELECT {key}CAST(3 AS BIGINT) AS account, '{feed}' AS feed_type, id, rank, normalized_score{extra} FROM ({ranks})"
+        f"SELECT {key}CAST(3 AS BIGINT) AS account, '{feed}' AS feed_type, {SHARD_OF_3} AS shard_key, '{sent}' AS sent_time, "
+        f"CAST(1 AS INTEGER) AS strategy, id, rank, normalized_score{extra} FROM ({ranks})"
     )
 
 
@@ -322,10 +329,13 @@ CATALOG_FILTERS = {
     "filter_eq_list": "brand = 'Brand#3' OR brand = 'Brand#4'",
     "filter_ne_list": "brand <> 'Brand#3' OR brand <> 'Brand#4'",
     "filter_ne": "color <> 'red'",
-    "filter_gt": "price > 1000",
-    "filter_ge": "price >= 1000",
-    "filter_lt": "price < 1000",
-    "filter_le": "price <= 1000",
+    "filter_gt": "price > 950.1",
+    "filter_ge": "price >= 950.1",
+    "filter_lt": "price < 950.1",
+    "filter_le": "price <= 950.1",
+    "filter_not_in_null": "lower(grade) NOT IN ('grade 1')",
+    "filter_not_contains_null": "NOT lower(grade) LIKE '%2%'",
+    "filter_unknown_dropped": "brand = 'Brand#3'",
     "filter_boolean_value": "is_bundle",
     "filter_empty_list": "FALSE",
     "filter_and": "is_bundle AND lower(color) IN ('red') AND price > 950",
@@ -354,6 +364,27 @@ SELECT c_custkey, shard_key, shard_key // 131072 * 131072 AS low, shard_key // 1
 """
 
 
+def _fan_out() -> str:
+    """Documents of accounts 1 and 3 (older feed) and 2 and 4 (both feeds): views for all, pairs bought together."""
+    parts = []
+    for accounts, unified in (("1, 3", False), ("2, 4", False), ("2, 4", True)):
+        whose = f"(SELECT CAST(unnest([{accounts}]) AS BIGINT) AS account)"
+        for strategy, ranks, feed in (
+            (1, _global_as_document(ranking("view")), "RECSET_NONCOLLAB_RECS"),
+            (2, _global_as_document(ranking("purchase_online", early="is_bundle")), "RECSET_NONCOLLAB_RECS"),
+            (3, f"SELECT * EXCLUDE (score) FROM ({collab(VIEW_PAIRS)})", "RECSET_COLLAB_RECS"),
+        ):
+            lookup = "lookup_key" if strategy == 3 else "CASE WHEN {u} THEN '' END"
+            parts.append(
+                f"SELECT account, CAST({strategy} AS INTEGER) AS strategy, '{'RECSET_RECS' if unified else feed}' AS feed_type, "
+                f"{lookup.format(u=unified)} AS lookup_key, id, CAST(rank AS BIGINT) AS rank, normalized_score FROM ({ranks}), {whose}"
+            )
+    return " UNION ALL ".join(f"(SELECT * FROM ({p}))" for p in parts)
+
+
+FAN_OUT = _fan_out()
+
+
 def oracle_sql() -> dict[str, str]:
     found = {
         name: sql(f"SELECT id, item_group_id FROM catalog WHERE {test}") for name, test in CATALOG_FILTERS.items()
@@ -391,7 +422,7 @@ def oracle_sql() -> dict[str, str]:
             f"(SELECT *, array_to_string({TRIMMED}, ',') AS part FROM catalog) GROUP BY item_group_id, image_link, color "
             "HAVING NOT bool_or(part LIKE 'small%' OR part LIKE '%,small%') "
             "AND bool_or(lower(part) LIKE '%ring%' OR lower(part) LIKE '%bolt%')) "
-            "QUALIFY row_number() OVER (PARTITION BY item_group_id ORDER BY id DESC) <= 2"
+            "QUALIFY row_number() OVER (PARTITION BY item_group_id ORDER BY id DESC) <= 50"
         ),
         "product_type_buckets": sql(f"SELECT id, product_type, {BUCKETS} FROM catalog"),
         "rank_view": ranking("view"),
@@ -434,9 +465,23 @@ def oracle_sql() -> dict[str, str]:
         "pair_feed": sql(
             "SELECT account_id, lookup_key, product_id, CAST(score AS BIGINT) AS score, "
             "CAST(hundredths AS DOUBLE) / 100.0 AS normalized_score, CAST(row_number() OVER (PARTITION BY account_id, lookup_key "
-            "ORDER BY score DESC, product_id DESC) AS INTEGER) AS ordinal FROM pairs QUALIFY ordinal <= 1000",
+            "ORDER BY score DESC, product_id DESC) AS INTEGER) AS ordinal FROM pairs QUALIFY ordinal <= 10000",
+            *pair_ranks(VIEW_PAIRS),
+        ),
+        "pair_feed_short": sql(
+            "SELECT account_id, lookup_key, product_id, CAST(score AS BIGINT) AS score, "
+            "CAST(hundredths AS DOUBLE) / 100.0 AS normalized_score, CAST(row_number() OVER (PARTITION BY account_id, lookup_key "
+            "ORDER BY score DESC, product_id DESC) AS INTEGER) AS ordinal FROM pairs QUALIFY ordinal <= 5",
             *pair_ranks(VIEW_PAIRS),
         ),
+        "pairs_together_threshold": sql(pair_counts("online", minimum=3)),
+        "pairs_together_without_pos": sql(pair_counts("online")),
+        "collab_starts_with_base_brand": collab(VIEW_PAIRS, dynamic="c.brand LIKE b.brand || '%'"),
+        "similar_four_attributes": similar([("color", 500000), ("brand", 250000), ("size_class", 125000), ("grade", None)]),
+        "scope_single_account": sql("SELECT account_id FROM accounts WHERE account_id = 3"),
+        "output_accounts": sql("SELECT account_id, account_id % 2 = 0 AS unified FROM accounts WHERE account_id >= 1"),
+        "fan_out_documents": FAN_OUT,
+        "written_documents": FAN_OUT,
         "context_items": sql(
             "SELECT DISTINCT item_group_id, color AS attr_color, size_class AS attr_size_class FROM catalog"
         ),
@@ -464,15 +509,15 @@ def oracle_sql() -> dict[str, str]:
             f"sha1({JSON_COUNTRY}) AS pushdown_filter_hash, '' AS lookup_key, {JSON_COUNTRY} AS pushdown_filter_json, ",
             "RECSET_RECS",
         ),
-        "doc_pairs": documents(view_lists, "lookup_key, ", "RECSET_COLLAB_RECS"),
+        "doc_pairs": documents(view_lists, "lookup_key, ", "RECSET_COLLAB_RECS", sent="2024-01-31 00:00:00"),
         "doc_pairs_unified": documents(
             view_buckets,
             f"sha1({JSON_BUCKET}) AS pushdown_filter_hash, lookup_key, {JSON_BUCKET} AS pushdown_filter_json, ",
-            "RECSET_RECS",
+            "RECSET_RECS", sent="2024-01-31 00:00:00",
         ),
         "doc_products": sql(
-            "SELECT lookup_key, 'RECSET_COLLAB_RECS_PID' AS feed_type, 'view_also_view' AS algorithm, "
-            "CAST(row_number() OVER (PARTITION BY lookup_key ORDER BY ordinal, product_id, hundredths, score) - 1 AS INTEGER) AS at, "
+            "SELECT account_id AS account, lookup_key, 'RECSET_COLLAB_RECS_PID' AS feed_type, 'view_also_view' AS algorithm, "
+            "CAST(ordinal - 1 AS INTEGER) AS at, "
             "product_id, CAST(hundredths AS DOUBLE) / 100.0 AS normalized_score, CAST(score AS BIGINT) AS score FROM ("
             "SELECT *, row_number() OVER (PARTITION BY account_id, lookup_key ORDER BY score DESC, product_id DESC) AS ordinal "
             "FROM pairs QUALIFY ordinal <= 10000)", *pair_ranks(VIEW_PAIRS)

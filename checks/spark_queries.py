@@ -1,12 +1,12 @@
 """One registered query per operator, over the whole stored tables.
 
-Look-back windows are those of the strategies: all order days for the rankings,
-a year for purchase pairs, all event days for views.
+Look-back windows cover all order days and all event days.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -14,14 +14,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from vitrine.functions import filters, sharding
 from vitrine.functions.times import lookback_window, session_window
 from vitrine.operators import collab, documents, metrics, pairs, ranking, representatives, scopes, sessions
-from vitrine.plans import pairings, rankings
+from vitrine.plans import fan_out, pairings, rankings
 from vitrine.plans.strategy import AccountSettings, Strategy
 from vitrine.sources import catalogs, facts
+from vitrine.storage import materialise, shared_folder
 from vitrine.sources.star_schema import CATALOG, CATALOG_FIELDS, EVENTS_AS_OF, ORDERS_AS_OF, RETAILER, StarSchema
 
 Query = Callable[[SparkSession, str], DataFrame]
 BASE = filters.BASE_ITEM
-ALL_ORDER_DAYS, PAIR_DAYS, VIEW_DAYS = 2405, 365, 30
+ALL_ORDER_DAYS, VIEW_DAYS = 2405, 30
 ORDER_WINDOW = lookback_window(ORDERS_AS_OF, ALL_ORDER_DAYS)
 WEEK, MONTH = lookback_window(ORDERS_AS_OF, 7), lookback_window(ORDERS_AS_OF, 30)
 VIEW_WINDOW = lookback_window(EVENTS_AS_OF, VIEW_DAYS)
@@ -55,10 +56,13 @@ CATALOG_FILTERS = {
     "filter_eq_list": tree("and", leaf("==", "brand", ["Brand#3", "Brand#4", None])),
     "filter_ne_list": tree("and", leaf("!=", "brand", ["Brand#3", "Brand#4"])),
     "filter_ne": tree("and", leaf("!=", "color", "red")),
-    "filter_gt": tree("and", leaf(">", "price", 1000)),
-    "filter_ge": tree("and", leaf(">=", "price", 1000)),
-    "filter_lt": tree("and", leaf("<", "price", 1000)),
-    "filter_le": tree("and", leaf("<=", "price", 1000)),
+    "filter_gt": tree("and", leaf(">", "price", 950.1)),
+    "filter_ge": tree("and", leaf(">=", "price", 950.1)),
+    "filter_lt": tree("and", leaf("<", "price", 950.1)),
+    "filter_le": tree("and", leaf("<=", "price", 950.1)),
+    "filter_not_in_null": tree("and", leaf("not in", "grade", ["GRADE 1"])),
+    "filter_not_contains_null": tree("and", leaf("not contains", "grade", [2])),
+    "filter_unknown_dropped": tree("and", leaf("==", "no_such_field", 1), leaf("==", "update_time", "2001-01-01"), leaf("==", "brand", "Brand#3")),
     "filter_boolean_value": tree("and", leaf("==", "is_bundle", True)),
     "filter_empty_list": tree("and", leaf("startswith", "title", [])),
     "filter_and": tree("and", leaf("==", "is_bundle", True), leaf("in", "color", ["red"]), leaf(">", "price", 950)),
@@ -112,13 +116,15 @@ def _ranking(algorithm: str, days: int, filter_json: str = tree("and"), settings
     return query
 
 
-def _pairs(algorithm: str, source: str = "online", merge: str = "source_count", cap: float = 1000) -> Query:
+def _pairs(
+    algorithm: str, source: str = "online", merge: str = "source_count", cap: float = 1000, settings=AccountSettings()
+) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         views = algorithm == "view_also_view"
-        days, as_of = (VIEW_DAYS, EVENTS_AS_OF) if views else (PAIR_DAYS, ORDERS_AS_OF)
+        days, as_of = (VIEW_DAYS, EVENTS_AS_OF) if views else (ALL_ORDER_DAYS, ORDERS_AS_OF)
         tables = StarSchema(spark, folder).tables(views)
         strategy = _strategy(algorithm, days, source=source)
-        found = pairings.product_pairs(strategy, tables, as_of, sequence_merge=merge, monthly_view_cap=cap)
+        found = pairings.product_pairs(strategy, tables, as_of, settings, sequence_merge=merge, monthly_view_cap=cap)
         return found.withColumn("score", F.col("score").cast("bigint"))
 
     return query
@@ -127,7 +133,7 @@ def _pairs(algorithm: str, source: str = "online", merge: str = "source_count",
 def _pairing(algorithm: str, filter_json: str = tree("and"), settings=AccountSettings(), **more) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         views = algorithm == "view_also_view"
-        days, as_of = (VIEW_DAYS, EVENTS_AS_OF) if views else (PAIR_DAYS, ORDERS_AS_OF)
+        days, as_of = (VIEW_DAYS, EVENTS_AS_OF) if views else (ALL_ORDER_DAYS, ORDERS_AS_OF)
         tables = StarSchema(spark, folder).tables(views)
         return _plain(pairings.recommend(_strategy(algorithm, days, filter_json, **more), tables, as_of, settings))
 
@@ -210,7 +216,7 @@ LATE = tree("and", leaf("not startswith", "product_type", ["small"]), leaf("cont
 
 
 def representative_skus(spark: SparkSession, folder: str) -> DataFrame:
-    return representatives.representatives(StarSchema(spark, folder).catalog(), [json.loads(LATE)], cap=2)
+    return representatives.representatives(StarSchema(spark, folder).catalog(), [json.loads(LATE)])
 
 
 def product_type_buckets(spark: SparkSession, folder: str) -> DataFrame:
@@ -230,7 +236,12 @@ def pid_ranks_normalised(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pair_feed(spark: SparkSession, folder: str) -> DataFrame:
-    return _plain(ranking.pair_ordinals(_ranked_products(spark, folder), limit=1000))
+    return _plain(ranking.pair_ordinals(_ranked_products(spark, folder)))
+
+
+def pair_feed_short(spark: SparkSession, folder: str) -> DataFrame:
+    """The feed cut to five products per key, a limit that most keys reach."""
+    return _plain(ranking.pair_ordinals(_ranked_products(spark, folder), limit=5))
 
 
 def result_count(spark: SparkSession, folder: str) -> DataFrame:
@@ -262,9 +273,13 @@ def _unfolded(docs: DataFrame, *fields: str) -> DataFrame:
         *[F.col(f"document.{f}").alias(f) for f in fields],
         F.col("account.id").alias("account"),
         F.col("schema.feed_type").alias("feed_type"),
+        "shard_key",
+        "sent_time",
+        F.col("schema.id").alias("strategy"),
         F.explode("document.data").alias("entry"),
     )
-    return _plain(entries.select(*fields, "account", "feed_type", "entry.id", "entry.rank", "entry.normalized_score"))
+    envelope = ["account", "feed_type", "shard_key", "sent_time", "strategy"]
+    return _plain(entries.select(*fields, *envelope, "entry.id", "entry.rank", "entry.normalized_score"))
 
 
 def doc_global(spark: SparkSession, folder: str) -> DataFrame:
@@ -293,11 +308,69 @@ def doc_products(spark: SparkSession, folder: str) -> DataFrame:
     ordinals = ranking.pair_ordinals(_ranked_products(spark, folder))
     docs = documents.product_documents(ordinals, EVENTS_AS_OF, "view_also_view", VIEW_DAYS, retailer_id=RETAILER)
     entries = docs.select(
-        "document.lookup_key", "schema.feed_type", "schema.algorithm", F.posexplode("document.data").alias("at", "entry")
+        F.col("account.id").alias("account"), "document.lookup_key", "schema.feed_type", "schema.algorithm", F.posexplode("document.data").alias("at", "entry")
     )
-    return _plain(entries.select("lookup_key", "feed_type", "algorithm", "at", "entry.*"))
+    return _plain(entries.select("account", "lookup_key", "feed_type", "algorithm", "at", "entry.*"))
+
+
+def scope_single_account(spark: SparkSession, folder: str) -> DataFrame:
+    star = StarSchema(spark, folder)
+    return scopes.fact_accounts(star.accounts(), star.market_accounts(), account_id=3).select("account_id")
+
+
+def output_accounts(spark: SparkSession, folder: str) -> DataFrame:
+    star = StarSchema(spark, folder)
+    chosen = scopes.output_accounts(star.accounts(), star.features(), fan_out.DOCUMENTS, retailer_id=RETAILER).select("account_id")
+    unified = star.features().where(F.col("feature") == fan_out.UNIFIED).select("account_id", F.lit(True).alias("unified"))
+    return chosen.join(unified, "account_id", "left").select("account_id", F.coalesce("unified", F.lit(False)).alias("unified"))
+
+
+def _run(spark: SparkSession, folder: str) -> DataFrame:
+    """Three strategies over four accounts, selected and rendered in one run; a fourth is not active."""
+    star = StarSchema(spark, folder)
+    everyone = dict(whole_retailer=True)
+    strategies = [
+        Strategy(1, "most_popular", RETAILER, None, VIEW_DAYS, **everyone),
+        Strategy(2, "purchase", RETAILER, CATALOG, ALL_ORDER_DAYS, tree("and", leaf("==", "is_bundle", True)), **everyone),
+        Strategy(3, "view_also_view", RETAILER, CATALOG, VIEW_DAYS, **everyone),
+        Strategy(4, "view", RETAILER, CATALOG, VIEW_DAYS, **everyone),
+    ]
+    outputs = fan_out.select(
+        strategies, star.accounts(), star.features(), active=star.strategies().where("id < 4"),
+        default_catalogs={n: CATALOG for n in range(5)},
+    )
+    views = [o for o in outputs if o.strategy.algorithm != "purchase"]
+    bought = [o for o in outputs if o.strategy.algorithm == "purchase"]
+    sent = ORDERS_AS_OF
+    return fan_out.all_documents(views, star.tables(True), EVENTS_AS_OF, sent).unionByName(
+        fan_out.all_documents(bought, star.tables(), ORDERS_AS_OF, sent), allowMissingColumns=True
+    )
+
+
+def _entries(docs: DataFrame) -> DataFrame:
+    return docs.select(
+        F.col("account.id").alias("account"), F.col("schema.id").cast("int").alias("strategy"),
+        F.col("schema.feed_type").alias("feed_type"), F.col("document.lookup_key").alias("lookup_key"),
+        F.explode("document.data").alias("e"),
+    ).select("account", "strategy", "feed_type", "lookup_key", "e.id", F.col("e.rank").cast("long").alias("rank"), F.col("e.normalized_score").cast("double").alias("normalized_score"))
+
+
+def fan_out_documents(spark: SparkSession, folder: str) -> DataFrame:
+    return _entries(_run(spark, folder))
+
+
+def written_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The same documents written twice for one minute, and read back: the second run replaces the first."""
+    path = f"{shared_folder(spark)}/documents-{uuid.uuid4().hex}"
+    docs = materialise(_run(spark, folder), "documents")
+    documents.write(docs, path, ORDERS_AS_OF)
+    documents.write(docs, path, ORDERS_AS_OF)
+    return _entries(spark.read.json(path))
 
 
+SIMILAR_BY_FOUR = AccountSettings(
+    similarity_weights=(("color", 0.5), ("brand", 0.25), ("size_class", 0.125), ("grade", None))
+)
 SIMILAR = AccountSettings(similarity_weights=(("color", 0.5), ("brand", 0.25)))
 SIMILAR_BY_FREQUENCY = AccountSettings(similarity_weights=(("color", None), ("size_class", None)))
 SAME_COLOUR = tree("and", leaf("in", "color", BASE, function=True))
@@ -360,6 +433,15 @@ def queries() -> dict[str, Query]:
         "pairs_views_capped": _pairs("view_also_view", cap=14),
         "pid_ranks_normalised": pid_ranks_normalised,
         "pair_feed": pair_feed,
+        "pair_feed_short": pair_feed_short,
+        "pairs_together_threshold": _pairs("purchase_also_purchase", settings=AccountSettings(minimum_purchases=3)),
+        "pairs_together_without_pos": _pairs("purchase_also_purchase", "offline", settings=AccountSettings(has_point_of_sale=False)),
+        "collab_starts_with_base_brand": _pairing("view_also_view", tree("and", leaf("startswith", "brand", BASE, function=True))),
+        "similar_four_attributes": _pairing("similar_products_v2", settings=SIMILAR_BY_FOUR),
+        "scope_single_account": scope_single_account,
+        "output_accounts": output_accounts,
+        "fan_out_documents": fan_out_documents,
+        "written_documents": written_documents,
         "context_items": context_items,
         "recommendable_items": recommendable_items,
         "collab_static": _pairing("purchase_also_purchase", STATIC, SHARED),

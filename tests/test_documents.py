@@ -100,7 +100,7 @@ def test_many_strategies_share_their_start(spark, tmp_path):
     bought = back.where("strategy_id = 2 AND document.lookup_key = 'TP-00002'").first()
     assert [e.id for e in bought.document.data] == ["SKU-00001", "SKU-00005"]
     files = list((tmp_path / "out").rglob("*.json.gz"))
-    assert files and all("date=2024-03-15" in str(f) and "shard_low=" in str(f) for f in files)
+    assert files and all("date=2024-03-15/minute=1234" in str(f) and "shard_low=" in str(f) for f in files)
 
 
 def test_nothing_to_render(spark):

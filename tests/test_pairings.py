@@ -105,7 +105,8 @@ def test_minimum_purchases(spark):
 def test_pos_strategy_without_pos_data_runs_online(spark):
     tables = pair_tables(spark, settings=spark.createDataFrame([], "account_id bigint, pos_dataset_id bigint"))
     s = strategy("purchase_also_purchase", 30, source="offline")
-    assert lists(pairings.recommend(s, tables, AS_OF)) == TOGETHER_30
+    settings = AccountSettings(has_point_of_sale=False)
+    assert lists(pairings.recommend(s, tables, AS_OF, settings)) == TOGETHER_30
 
 
 def test_merge_of_sequences(spark):
@@ -127,7 +128,7 @@ def test_large_baskets_are_split_exactly(spark, monkeypatch):
     s = strategy("subsequently_purchased", 30)
     t = strategy("purchase_also_purchase", 30)
     whole = [sorted(pairings.product_pairs(x, pair_tables(spark), AS_OF).collect()) for x in (s, t)]
-    monkeypatch.setattr(pairs, "BLOCK_ROWS", 2)
+    monkeypatch.setattr(pairs, "BASKET_ROWS", 2)
     split = [sorted(pairings.product_pairs(x, pair_tables(spark), AS_OF).collect()) for x in (s, t)]
     assert whole == split
 

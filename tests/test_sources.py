@@ -1,5 +1,6 @@
 """Scans, scopes, sessions, catalog reduction and the strategies in use."""
 
+import re
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
@@ -140,3 +141,25 @@ def test_strategies_in_use(spark):
     )
     used = scopes.active_strategies(strategies, inputs, actions, placements, campaigns, groups, AS_OF)
     assert {r.id for r in used.collect()} == {1, 2, 3, 4}
+
+
+def test_date_partitions_are_pruned(spark, tmp_path):
+    """Time bounds reach the date partitions of views, purchases and sessions."""
+    rows = [(d, f"2024-03-{d:02d} 10:00:00", 1) for d in range(1, 31)]
+    stored = spark.createDataFrame(rows, "n int, at string, account_id bigint").selectExpr(
+        "account_id", "CAST(at AS TIMESTAMP) AS fact_time", "CAST(at AS TIMESTAMP) AS start_time", "CAST(at AS TIMESTAMP) AS end_time",
+        "CAST(at AS DATE) AS fact_date", "CAST(at AS DATE) AS start_date", "'' AS country_code", "'' AS region", "1L AS mid_ts", "1L AS mid_rnd",
+    )
+    accounts = spark.createDataFrame([(1,)], "account_id bigint")
+    window = (datetime(2024, 3, 10), datetime(2024, 3, 12))
+    for day, scan in (
+        ("fact_date", lambda df: facts.facts_between(df, accounts, window)),
+        ("fact_date", lambda df: facts.facts_since(df, accounts, *window)),
+        ("start_date", lambda df: facts.sessions_between(df, accounts, window)),
+    ):
+        path = str(tmp_path / f"{day}-{len(list(tmp_path.iterdir()))}")
+        stored.write.partitionBy(day).parquet(path)
+        found = scan(spark.read.parquet(path))
+        plan = found._jdf.queryExecution().toString()
+        assert re.search(rf"PartitionFilters: \[[^\]]*{day}", plan)
+        assert found.count() == 2

@@ -9,6 +9,7 @@ from vitrine.functions.filters import Fields, PairFilters
 from vitrine.operators import ranking
 
 LOOK = ("color", "image_link")
+SHARES = 8
 
 
 def _attribute(field: str) -> str:
@@ -40,7 +41,7 @@ def context_items(catalog: DataFrame, dynamic_fields: list[str], fields: Fields)
 def recommendable(
     catalog: DataFrame, dynamic_fields: list[str], fields: Fields, bucketed: bool, cap: int = ranking.PAIR_LIMIT
 ) -> DataFrame:
-    """Highest SKU per look and attribute set, at most `cap` of each item group and attribute set.
+    """Highest SKU per look and attribute set, at most `cap`, the length of the lists, of each item group and attribute set.
 
     SKUs of one group with equal attributes share score and filter outcome, so
     those beyond the cap rank behind `cap` others in any list they could enter.
@@ -85,13 +86,24 @@ def collapsed(sku_pairs: DataFrame, bucketed: bool, per: tuple[str, ...] = ()) -
     return sku_pairs.groupBy(*keys).agg(F.max("id").alias("id"))
 
 
-def sku_lists(sku_pairs: DataFrame, bucketed: bool, per: tuple[str, ...] = ()) -> DataFrame:
+def within_reach(sku_pairs: DataFrame, bucketed: bool, per: tuple[str, ...] = (), limit: int = ranking.PAIR_LIMIT) -> DataFrame:
+    """Rows among the `limit` best scores of their lookup key (in buckets: of each product type under it).
+
+    Exact: each better score fills at least one place of every list that a row could enter. Spark prunes the window
+    inside each task, so most rows of a long list go before the first shuffle.
+    """
+    place = [*per, "lookup_key", *(["product_type"] if bucketed else [])]
+    by_score = Window.partitionBy(*place).orderBy(F.col("score").desc())
+    return sku_pairs.withColumn("nth", F.dense_rank().over(by_score)).where(F.col("nth") <= limit).drop("nth")
+
+
+def sku_lists(sku_pairs: DataFrame, bucketed: bool, per: tuple[str, ...] = (), limit: int = ranking.PAIR_LIMIT) -> DataFrame:
     """Top SKUs per lookup key (and product-type bucket)."""
-    rows = collapsed(sku_pairs, bucketed, per)
+    rows = collapsed(within_reach(sku_pairs, bucketed, per, limit), bucketed, per)
     partition = [*per, "lookup_key"]
     if bucketed:
         rows, partition = ranking.exploded(rows), [*partition, ranking.BUCKET]
-    return ranking.ranked_pairs(rows, partition).select(*partition, "id", "rank", "score")
+    return ranking.ranked_pairs(rows, partition, limit).select(*partition, "id", "rank", "score")
 
 
 def explode_pairs(
@@ -101,16 +113,22 @@ def explode_pairs(
     global_filters: PairFilters,
     fields: Fields,
     per: tuple[str, ...] = (),
+    limit: int = ranking.PAIR_LIMIT,
 ) -> DataFrame:
-    """Scored product pairs to ranked SKU lists, under the strategy's and the account's filters."""
+    """Scored product pairs to ranked SKU lists of `limit` places, under the strategy's and the account's filters.
+
+    A best-seller stands in most lists; its pairs are dealt over SHARES keys, and its SKUs copied to each.
+    """
     bucketed = strategy_filters.bucketed or global_filters.bucketed
     dynamic_fields = sorted({*strategy_filters.dynamic_fields, *global_filters.dynamic_fields})
-    candidates = recommendable(static_part(catalog, strategy_filters, global_filters, fields), dynamic_fields, fields, bucketed)
-    rows = pairs.join(candidates.withColumnRenamed("item_group_id", "product_id"), "product_id")
+    candidates = recommendable(static_part(catalog, strategy_filters, global_filters, fields), dynamic_fields, fields, bucketed, limit)
+    dealt = pairs.withColumn("share", F.pmod(F.xxhash64("lookup_key"), F.lit(SHARES)).cast("int"))
+    copies = candidates.withColumnRenamed("item_group_id", "product_id").withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
+    rows = dealt.join(copies, ["product_id", "share"]).drop("share")
     if dynamic_fields:
         contexts = context_items(catalog, dynamic_fields, fields)
         rows = against_base_item(rows, contexts, [strategy_filters.dynamic, global_filters.dynamic])
-    return sku_lists(rows, bucketed, per)
+    return sku_lists(rows, bucketed, per, limit)
 
 
 def static_part(catalog: DataFrame, first: PairFilters, second: PairFilters, fields: Fields) -> DataFrame:

@@ -17,8 +17,6 @@ PAIR_FEED = "RECSET_COLLAB_RECS"
 UNIFIED_FEED = "RECSET_RECS"
 PRODUCT_FEED = "RECSET_COLLAB_RECS_PID"
 
-WRITERS = 16
-
 
 def _list(order: str, entry: list[str]) -> Column:
     """Entries of a bucket in rank order. Buckets are bounded by the ranking limits."""
@@ -40,34 +38,44 @@ def _envelope(document: Column, account: Column, strategy_id: int, feed: str, se
     ]
 
 
-def _account(ranks: DataFrame, account_id: int | None) -> tuple[Column, list[str]]:
-    """A fixed output account, or the account column of a run over many accounts."""
+Accounts = int | tuple[int, ...] | None
+
+
+def _account(account_id: Accounts) -> list[str]:
+    """Grouping column of a run whose rows name their account."""
+    return ["account_id"] if account_id is None else []
+
+
+def _addressed(lists: DataFrame, account_id: Accounts) -> tuple[DataFrame, Column]:
+    """Finished lists with the account each goes to: the rows' own, a fixed one, or every one of several."""
     if account_id is None:
-        return F.col("account_id"), ["account_id"]
-    return F.lit(account_id).cast("bigint"), []
+        return lists, F.col("account_id")
+    if isinstance(account_id, int):
+        return lists, F.lit(account_id).cast("bigint")
+    each = F.explode(F.array(*[F.lit(a).cast("bigint") for a in account_id]))
+    return lists.withColumn("account_id", each), F.col("account_id")
 
 
 def global_documents(
-    ranks: DataFrame, geo: tuple[str, ...], account_id: int | None, strategy_id: int, sent: datetime
+    ranks: DataFrame, geo: tuple[str, ...], account_id: Accounts, strategy_id: int, sent: datetime
 ) -> DataFrame:
     """Older feed of a global ranking: buckets are named by a hash alone."""
-    account, keys = _account(ranks, account_id)
-    keys += [*geo, *([BUCKET] if BUCKET in ranks.columns else [])]
+    keys = _account(account_id) + [*geo, *([BUCKET] if BUCKET in ranks.columns else [])]
     entries = ranks.withColumnRenamed("score", "normalized_score")
     lists = entries.groupBy(*keys).agg(_list("rank", ["id", "normalized_score", "rank"]).alias("data"))
     document = F.struct(
         F.sha1(sharding.slash_filter_text(_bucket(ranks), geo)).alias("pushdown_filter_hash"), F.col("data")
     )
-    return lists.where(F.size("data") > 0).select(*_envelope(document, account, strategy_id, GLOBAL_FEED, sent))
+    lists, account = _addressed(lists.where(F.size("data") > 0), account_id)
+    return lists.select(*_envelope(document, account, strategy_id, GLOBAL_FEED, sent))
 
 
 def unified_documents(
-    ranks: DataFrame, geo: tuple[str, ...], account_id: int | None, strategy_id: int, sent: datetime
+    ranks: DataFrame, geo: tuple[str, ...], account_id: Accounts, strategy_id: int, sent: datetime
 ) -> DataFrame:
     """Unified feed, for global rankings (lookup key '') and item-to-item lists alike."""
-    account, keys = _account(ranks, account_id)
     paired = "lookup_key" in ranks.columns
-    keys += [*(["lookup_key"] if paired else []), *geo, *([BUCKET] if BUCKET in ranks.columns else [])]
+    keys = _account(account_id) + [*(["lookup_key"] if paired else []), *geo, *([BUCKET] if BUCKET in ranks.columns else [])]
     entries = ranks if paired else ranks.withColumnRenamed("score", "normalized_score")
     lists = entries.groupBy(*keys).agg(_list("rank", ["id", "normalized_score", "rank"]).alias("data"))
     text = sharding.json_filter_text(_bucket(ranks), geo)
@@ -77,14 +85,17 @@ def unified_documents(
         text.alias("pushdown_filter_json"),
         F.col("data"),
     )
-    return lists.where(F.size("data") > 0).select(*_envelope(document, account, strategy_id, UNIFIED_FEED, sent))
+    lists, account = _addressed(lists.where(F.size("data") > 0), account_id)
+    return lists.select(*_envelope(document, account, strategy_id, UNIFIED_FEED, sent))
 
 
-def pair_documents(ranks: DataFrame, account_id: int | None, strategy_id: int, sent: datetime) -> DataFrame:
+def pair_documents(ranks: DataFrame, account_id: Accounts, strategy_id: int, sent: datetime) -> DataFrame:
     """Older feed of an item-to-item list: one document per lookup key."""
-    account, keys = _account(ranks, account_id)
-    lists = ranks.groupBy(*keys, "lookup_key").agg(_list("rank", ["id", "normalized_score", "rank"]).alias("data"))
+    if BUCKET in ranks.columns:
+        raise ValueError("this feed has no buckets: a key's array would hold one list per bucket")
+    lists = ranks.groupBy(*_account(account_id), "lookup_key").agg(_list("rank", ["id", "normalized_score", "rank"]).alias("data"))
     document = F.struct("lookup_key", "data")
+    lists, account = _addressed(lists, account_id)
     return lists.select(*_envelope(document, account, strategy_id, PAIR_FEED, sent))
 
 
@@ -97,14 +108,15 @@ def product_documents(
     market_id: int | None = None,
     retailer_id: int | None = None,
 ) -> DataFrame:
-    """Product-to-product feed; `ordinals` comes from ranking.pair_ordinals."""
+    """Product-to-product feed, one document per account and key; `ordinals` comes from ranking.pair_ordinals."""
     entry = ["product_id", "normalized_score", "score"]
     gathered = F.array_sort(F.collect_list(F.struct("ordinal", *entry)))
-    lists = ordinals.groupBy("lookup_key").agg(
+    lists = ordinals.groupBy("account_id", "lookup_key").agg(
         F.transform(gathered, lambda e: F.struct(*[e[c].alias(c) for c in entry])).alias("data")
     )
     schema = F.struct(
         F.lit(PRODUCT_FEED).alias("feed_type"),
+        F.lit(None).cast("int").alias("id"),
         F.lit(account_id).cast("bigint").alias("account_id"),
         F.lit(market_id).cast("bigint").alias("market_id"),
         F.lit(retailer_id).cast("bigint").alias("retailer_id"),
@@ -112,30 +124,36 @@ def product_documents(
         F.lit(lookback_days).alias("lookback_days"),
     )
     return lists.select(
+        sharding.shard_key(F.col("account_id")).alias("shard_key"),
         F.struct("lookup_key", "data").alias("document"),
+        F.struct(F.col("account_id").alias("id")).alias("account"),
         F.date_format(sharding.minute_bucket(stamp(sent)), "yyyy-MM-dd HH:mm:ss").alias("sent_time"),
         schema.alias("schema"),
     )
 
 
+LAYOUT = ("feed", "date", "minute", "shard_low", "account_id", "strategy_id")
+
+
 def write(documents: DataFrame, path: str, sent: datetime) -> None:
-    """Gzip JSON below date=/shard_low=/strategy_id=, one job for all accounts and strategies.
+    """Gzip JSON below LAYOUT, one job for all accounts and strategies.
 
-    Rows are gathered by output folder, so folders do not break up into a file
-    per task, and spread over WRITERS shares, so that the strategy with most
-    documents is not written by a single task.
+    A run replaces what an earlier one wrote for the same feed, minute, account and strategy, so it can be repeated.
+    Rows are gathered by folder; AQE splits a folder with many rows over several tasks and joins small ones.
     """
-    folders = ["date", "shard_low", "strategy_id"]
     laid_out = documents.withColumns(
         {
+            "feed": F.col("schema.feed_type"),
             "date": F.lit(sent.strftime("%Y-%m-%d")),
+            "minute": F.lit(sent.strftime("%H%M")),
             "shard_low": sharding.shard_low(F.col("shard_key")),
-            "strategy_id": F.col("schema.id"),
+            "account_id": F.col("account.id"),
+            "strategy_id": F.coalesce("schema.id", F.lit(0)),
         }
     )
-    share = F.pmod(F.xxhash64("document"), F.lit(WRITERS))
-    spread = laid_out.repartition(*[F.col(c) for c in folders], share)
-    spread.write.mode("append").partitionBy(*folders).option("compression", "gzip").json(path)
+    spread = laid_out.hint("rebalance", *LAYOUT)
+    writer = spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*LAYOUT)
+    writer.option("compression", "gzip").json(path)
 
 
 def file_label(account_id: int, strategy_id: int, sent: datetime, unified: bool = False) -> str:

@@ -1,7 +1,8 @@
 """Product pairs that share a device or a customer.
 
 Baskets are reduced to one row per basket and product before pairs are formed.
-Large baskets are split: see `_blocked`.
+Pairs of an ordinary basket are formed inside one row; large baskets are cut into
+blocks on both sides of a join.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 DEVICE = ("account_id", "mid_epoch", "mid_ts", "mid_rnd")
 CUSTOMER = ("dataset_id", "customer_id")
-BLOCK_ROWS = 1000
+BASKET_ROWS = 256
 
 
 def last_purchases(lines: DataFrame) -> DataFrame:
@@ -50,43 +51,58 @@ def _frequent_products(baskets: DataFrame, minimum_count: int) -> DataFrame:
     return baskets.join(often, ["account_id", "product_id"], "left_semi")
 
 
-def _blocked(rows: DataFrame, key: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
-    """Both sides of a self-join, with oversized baskets cut into blocks.
+def _pairs_of_small(rows: DataFrame, key: tuple[str, ...], item: list[str], condition: Column) -> DataFrame:
+    """All fitting pairs of baskets of at most BASKET_ROWS rows: one shuffle, then pairs are formed where a basket lies."""
+    baskets = rows.groupBy(*key).agg(F.collect_list(F.struct(*item)).alias("items"))
+    left = baskets.select(F.explode("items").alias("one"), "items")
+    both = left.select("one", F.explode("items").alias("two"))
+    named = [F.col(f"{side}.{c}").alias(f"{c}{n}") for n, side in ((1, "one"), (2, "two")) for c in item]
+    return both.select(*named).where(condition)
 
-    A basket of n rows gets ceil(n / BLOCK_ROWS) blocks. On the left a row sits
-    in one block, on the right in all of them, so every pair meets exactly once
-    while no join key holds more than about BLOCK_ROWS x n pairs.
+
+def _pairs_of_large(rows: DataFrame, key: tuple[str, ...], item: list[str], condition: Column) -> DataFrame:
+    """The same for larger baskets, whose rows carry `blocks`, the number of blocks they are cut into.
+
+    Block i of the left side meets block j of the right side under a key of its own, so no key holds more than about
+    BASKET_ROWS x BASKET_ROWS pairs and a row is copied once per block of its basket.
     """
-    sizes = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("size"))
-    large = sizes.where(F.col("size") > BLOCK_ROWS).select(
-        *key, F.ceil(F.col("size") / BLOCK_ROWS).cast("int").alias("blocks")
-    )
-    sized = rows.join(large, list(key), "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    parts = [c for c in ("product_id", "fact_time") if c in rows.columns]
-    left = sized.withColumn("block", F.pmod(F.hash(*parts), F.col("blocks"))).drop("blocks")
-    right = sized.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
-    return left, right
+    own = F.pmod(F.xxhash64(*[c for c in item if c != "times"]), F.col("blocks")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+
+    def side(n: int, i: Column, j: Column) -> DataFrame:
+        return rows.select(*key, i.alias("i"), j.alias("j"), *[F.col(c).alias(f"{c}{n}") for c in item])
+
+    return side(1, own, every).join(side(2, every, own), [*key, "i", "j"]).where(condition)
 
 
 def _scored(baskets: DataFrame, key: tuple[str, ...], condition: Column, timed: bool, minimum_count: int) -> DataFrame:
-    """Self-join of baskets on `key`, counted per account and directed pair.
+    """Pairs of the rows of each basket, counted per account and directed pair.
 
     Equal rows of a basket are folded into one with their number first; a pair
-    of folded rows stands for the product of the two numbers.
+    of folded rows stands for the product of the two numbers. Basket sizes come
+    from a grouped count, never from a window over a whole basket.
     """
     owner = [] if "account_id" in key else ["account_id"]
     what = ["product_id", *(["fact_time"] if timed else [])]
-    # NULLs never join. Dropping them here gives both sides and the size count one and the same input to share.
+    # NULLs never pair.
     rows = baskets.dropna(subset=[*key, *what]).groupBy(*key, *owner, *what).agg(F.count(F.lit(1)).alias("times"))
-    left, right = _blocked(rows, key)
-
-    def side(df: DataFrame, n: int, kept: list[str]) -> DataFrame:
-        renamed = [F.col(c).alias(f"{c}{n}") for c in [*what, "times"]]
-        return df.select(*key, "block", *kept, *renamed)
-
-    joined = side(left, 1, owner).join(side(right, 2, []), [*key, "block"]).where(condition)
-    score = F.sum(F.col("times1") * F.col("times2")).alias("score")
-    counted = joined.groupBy("account_id", F.col("product_id1").alias("pid1"), F.col("product_id2").alias("pid2")).agg(score)
+    sizes = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("size"))
+    large = sizes.where(F.col("size") > BASKET_ROWS).select(*key, F.ceil(F.col("size") / BASKET_ROWS).cast("int").alias("blocks"))
+    item = ["account_id", *what, "times"]
+    small = rows.join(large, list(key), "left_anti")
+    renamed = {c: f"_{c}" for c in key}
+
+    def keyed(df: DataFrame) -> DataFrame:
+        return df.withColumns({new: F.col(old) for old, new in renamed.items()})
+
+    keys = tuple(renamed.values())
+    found = _pairs_of_small(keyed(small), keys, item, condition).select("account_id1", "product_id1", "product_id2", "times1", "times2")
+    big = _pairs_of_large(keyed(rows.join(large, list(key))), keys, item, condition).select(found.columns)
+    counted = (
+        found.unionByName(big)
+        .groupBy(F.col("account_id1").alias("account_id"), F.col("product_id1").alias("pid1"), F.col("product_id2").alias("pid2"))
+        .agg(F.sum(F.col("times1") * F.col("times2")).alias("score"))
+    )
     return counted.where(F.col("score") >= minimum_count)
 
 

@@ -16,7 +16,8 @@ candidates can ever reach a top list, whatever the size of the catalog:
   every list they could enter (an item group holds at most `limit` looks, so
   leaving out the base item's own group costs no more than that).
 
-The second point needs weights that are not negative.
+The second point needs weights that are not negative; negative ones are refused,
+and so are more than MOST_ATTRIBUTES attributes.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ DATED_FIELDS = frozenset(
     {"availability_date", "sale_price_effective_date_begin", "sale_price_effective_date_end"}
 )
 SALTS = 64
+# With more, row limits exceed what Spark prunes before a shuffle (`_survivors` of six conditions is 1957).
+MOST_ATTRIBUTES = 4
 
 Weights = tuple[tuple[str, float | None], ...]
 
@@ -44,6 +47,8 @@ def usable_weights(weights: Weights, fields: Fields) -> Weights:
     usable = tuple((name, weight or None) for name, weight in weights if name in fields)
     if not usable:
         raise ValueError("no attribute weight applies to this catalog")
+    if len(usable) > MOST_ATTRIBUTES:
+        raise ValueError(f"similarity takes {MOST_ATTRIBUTES} attributes at most, {len(usable)} are weighted: the work doubles with each")
     if any(weight is not None and weight < 0 for _, weight in usable):
         raise ValueError("attribute weights must not be negative")
     return usable

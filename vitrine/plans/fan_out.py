@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from dataclasses import dataclass
+from collections.abc import Iterable, Mapping
+from dataclasses import dataclass, replace
 from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame
 
 from vitrine.functions.sharding import geo_columns
-from vitrine.operators import documents
+from vitrine.operators import documents, scopes
+from vitrine.operators.ranking import BUCKET
 from vitrine.plans import pairings, rankings
 from vitrine.plans.strategy import RANKINGS, AccountSettings, Strategy, Tables
 from vitrine.storage import materialise
 
-# bought_together differs from it by a filter only, so both use the same pairs.
-_SAME_PAIRS = {"bought_together": "purchase_also_purchase"}
+# Algorithms that start from the same pairs (and differ by a filter) or from the same metric.
+_SAME_START = {"bought_together": "purchase_also_purchase", "most_popular": "view"}
+
+# Features of accounts that get documents, and of those that get the unified feed, too.
+DOCUMENTS, UNIFIED = "recommendations", "unified_feed"
 
 
 @dataclass(frozen=True)
@@ -34,16 +38,51 @@ def shared_key(output: Output) -> tuple:
     s = output.strategy
     minimum = 1 if s.algorithm in RANKINGS else output.settings.minimum_purchases
     return (
-        _SAME_PAIRS.get(s.algorithm, s.algorithm),
+        _SAME_START.get(s.algorithm, s.algorithm),
         s.lookback_days,
         s.source,
         s.account_id,
         s.market_id,
         s.retailer_id if s.whole_retailer else None,
         minimum,
+        output.settings.has_point_of_sale,
     )
 
 
+def select(
+    strategies: Iterable[Strategy],
+    accounts: DataFrame,
+    features: DataFrame,
+    active: DataFrame | None = None,
+    settings: Mapping[int, AccountSettings] = {},
+    default_catalogs: Mapping[int, int] = {},
+) -> list[Output]:
+    """Outputs of a run: each active strategy for each account it writes for.
+
+    `active` holds the ids in use (see scopes.active_strategies); without it all count. A strategy that names no catalog
+    uses the account's default one, and has no output for an account without. Only configuration is collected: the
+    strategies' own ids, and accounts with their features.
+    """
+    strategies = list(strategies)
+    if active is not None:
+        used = {r.id for r in active.where(active["id"].isin([s.id for s in strategies])).select("id").distinct().collect()}
+        strategies = [s for s in strategies if s.id in used]
+    unified = {r.account_id for r in features.where(features["feature"] == UNIFIED).select("account_id").collect()}
+    writes: dict[tuple, list[int]] = {}
+    outputs = []
+    for strategy in strategies:
+        scope = (strategy.account_id, strategy.retailer_id)
+        if scope not in writes:
+            chosen = scopes.output_accounts(accounts, features, DOCUMENTS, *scope)
+            writes[scope] = sorted(r.account_id for r in chosen.select("account_id").distinct().collect())
+        for account in writes[scope]:
+            catalog = strategy.catalog_id if strategy.catalog_id is not None else default_catalogs.get(account)
+            if catalog is not None:
+                own = settings.get(account, AccountSettings())
+                outputs.append(Output(replace(strategy, catalog_id=catalog), account, own, account in unified))
+    return outputs
+
+
 def _start(output: Output, tables: Tables, as_of: datetime) -> DataFrame | None:
     strategy = output.strategy
     if strategy.algorithm in RANKINGS:
@@ -62,35 +101,41 @@ def ranks(output: Output, tables: Tables, start: DataFrame | None) -> DataFrame:
     return pairings.sku_lists(strategy, tables, start, settings)
 
 
-def _render(output: Output, rows: DataFrame, sent: datetime) -> list[DataFrame]:
-    strategy, account = output.strategy, output.account_id
+def _render(strategy: Strategy, rows: DataFrame, accounts: tuple[int, ...], unified: tuple[int, ...], sent: datetime) -> list[DataFrame]:
     geo = geo_columns(strategy.geo_target) if strategy.algorithm in RANKINGS else ()
     if strategy.algorithm in RANKINGS:
-        rendered = [documents.global_documents(rows, geo, account, strategy.id, sent)]
+        rendered = [documents.global_documents(rows, geo, accounts, strategy.id, sent)]
+    elif BUCKET in rows.columns:
+        rendered = []  # lists by product type exist in the unified feed only
     else:
-        rendered = [documents.pair_documents(rows, account, strategy.id, sent)]
-    if output.unified:
-        rendered.append(documents.unified_documents(rows, geo, account, strategy.id, sent))
+        rendered = [documents.pair_documents(rows, accounts, strategy.id, sent)]
+    if unified:
+        rendered.append(documents.unified_documents(rows, geo, unified, strategy.id, sent))
     return rendered
 
 
 def all_documents(outputs: Iterable[Output], tables: Tables, as_of: datetime, sent: datetime) -> DataFrame:
     """Documents of all outputs as one DataFrame, ready for `documents.write`.
 
-    A table that several outputs start from is written to the shared folder once;
-    one that a single output uses stays part of its plan. The ranked lists are
-    bounded per bucket, so rendering a second feed from them may recompute them.
+    Outputs that start from the same metric or pairs share them; accounts under the same strategy and settings share
+    one ranking and one set of lists, which are addressed to each at the end. What is used more than once is written to
+    the shared folder.
     """
-    groups: dict[tuple, list[Output]] = {}
+    groups: dict[tuple, dict[tuple, list[Output]]] = {}
     for output in outputs:
-        groups.setdefault(shared_key(output), []).append(output)
+        groups.setdefault(shared_key(output), {}).setdefault((output.strategy, output.settings), []).append(output)
     rendered: list[DataFrame] = []
-    for number, members in enumerate(groups.values()):
-        start = _start(members[0], tables, as_of)
-        if start is not None and len(members) > 1:
+    for number, lists in enumerate(groups.values()):
+        first = next(iter(lists.values()))[0]
+        start = _start(first, tables, as_of)
+        if start is not None and len(lists) > 1 and first.strategy.algorithm in RANKINGS:
             start = materialise(start, f"start-{number}")
-        for output in members:
-            rendered += _render(output, ranks(output, tables, start), sent)
+        for (strategy, _), members in lists.items():
+            rows = ranks(members[0], tables, start)
+            unified = tuple(o.account_id for o in members if o.unified)
+            if unified:
+                rows = materialise(rows, f"ranks-{strategy.id}")
+            rendered += _render(strategy, rows, tuple(o.account_id for o in members), unified, sent)
     if not rendered:
         raise ValueError("nothing to render")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rendered)

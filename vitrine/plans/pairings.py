@@ -12,17 +12,16 @@ from vitrine.operators import collab, pairs, ranking, similarity
 from vitrine.plans.rankings import scope_of
 from vitrine.plans.strategy import AccountSettings, Strategy, Tables
 from vitrine.sources import catalogs, facts
+from vitrine.storage import materialise
 
 # Fixed value: purchases a pair needs when an account asks for a threshold.
 MINIMUM_PURCHASES = 3
 MINIMUM_VIEWS = 2
 
 
-def effective_source(source: str, account_datasets: DataFrame | None) -> str:
+def effective_source(source: str, has_point_of_sale: bool) -> str:
     """Without point-of-sale data sets an item-to-item strategy runs on online data."""
-    if source != "online" and (account_datasets is None or account_datasets.isEmpty()):
-        return "online"
-    return source
+    return source if has_point_of_sale else "online"
 
 
 def product_pairs(
@@ -34,30 +33,36 @@ def product_pairs(
     sequence_merge: str = "source_count",
     monthly_view_cap: float = 1000,
 ) -> DataFrame:
-    """Scored product pairs (account_id, pid1, pid2, score) of a purchase or view algorithm."""
+    """Scored product pairs (account_id, pid1, pid2, score) of a purchase or view algorithm.
+
+    Baskets and scored pairs are written to the shared folder: facts are read once, and the range of scores and the
+    lists start from the same pairs.
+    """
     accounts = scope_of(strategy, tables)
     begin, _ = lookback_window(as_of, strategy.lookback_days)
 
     if strategy.algorithm == "view_also_view":
         views = facts.with_valid_product(facts.facts_since(tables.product_views, accounts, begin, until))
-        usual = pairs.without_outliers(pairs.earliest_views(views), strategy.lookback_days, monthly_view_cap)
-        return pairs.together(usual, pairs.DEVICE, MINIMUM_VIEWS)
+        first = materialise(pairs.earliest_views(views), "first-views")
+        usual = pairs.without_outliers(first, strategy.lookback_days, monthly_view_cap)
+        return materialise(pairs.together(usual, pairs.DEVICE, MINIMUM_VIEWS), "pairs")
 
     form = pairs.in_sequence if strategy.algorithm == "subsequently_purchased" else pairs.together
     merge = sequence_merge if strategy.algorithm == "subsequently_purchased" else "sum"
     datasets = facts.account_datasets(tables.settings, accounts) if tables.settings is not None else None
-    source = effective_source(strategy.source, datasets)
+    source = effective_source(strategy.source, settings.has_point_of_sale and datasets is not None)
 
     online = bought = None
     if source != "offline":
         lines = facts.with_valid_product(facts.facts_since(tables.purchase_lines, accounts, begin, until))
-        online = form(pairs.last_purchases(lines), pairs.DEVICE, settings.minimum_purchases)
+        last = materialise(pairs.last_purchases(lines), "last-purchases")
+        online = form(last, pairs.DEVICE, settings.minimum_purchases)
     if source != "online":
-        pos = facts.point_of_sale(tables.pos_lines, datasets, tables.expiration, begin, until)
+        pos = materialise(facts.point_of_sale(tables.pos_lines, datasets, tables.expiration, begin, until), "pos-purchases")
         bought = form(pos, pairs.CUSTOMER, settings.minimum_purchases)
-    if online is None:
-        return bought
-    return online if bought is None else pairs.merged(online, bought, merge)
+    if online is not None and bought is not None:
+        return materialise(pairs.merged(online, bought, merge), "pairs")
+    return materialise(bought if online is None else online, "pairs")
 
 
 def ranked_products(scored_pairs: DataFrame, per: tuple[str, ...] = ()) -> DataFrame:

@@ -23,7 +23,7 @@ class Strategy:
     id: int
     algorithm: str
     retailer_id: int
-    catalog_id: int
+    catalog_id: int | None  # None: the default catalog of the output account
     lookback_days: int = 30
     filter_json: str = '{"type": "and", "filters": []}'
     geo_target: str = "none"
@@ -46,6 +46,7 @@ class AccountSettings:
     filter_json: str = '{"type": "or", "filters": []}'
     similarity_weights: tuple[tuple[str, float | None], ...] | None = None
     minimum_purchases: int = 1
+    has_point_of_sale: bool = True
 
 
 @dataclass(frozen=True)

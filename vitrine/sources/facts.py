@@ -19,13 +19,26 @@ def in_scope(df: DataFrame, accounts: DataFrame) -> DataFrame:
     return df.join(accounts.select("account_id"), "account_id", "left_semi")
 
 
+def _dated(df: DataFrame, column: str, begin: datetime, end: datetime | None) -> DataFrame:
+    """Bounds on the date column, where a table has one: tables partitioned by date are then read only where needed.
+
+    Rows without a date stay; their time decides.
+    """
+    if column not in df.columns:
+        return df
+    day = F.col(column)
+    dated = df.where(day.isNull() | (day >= F.lit(begin.date())))
+    return dated if end is None else dated.where(day.isNull() | (day <= F.lit(end.date())))
+
+
 def facts_between(facts: DataFrame, accounts: DataFrame, window: Window) -> DataFrame:
-    return in_scope(facts.where(within(F.col("fact_time"), window)), accounts)
+    inside = _dated(facts, "fact_date", *window).where(within(F.col("fact_time"), window))
+    return in_scope(inside, accounts)
 
 
 def facts_since(facts: DataFrame, accounts: DataFrame, begin: datetime, until: datetime | None = None) -> DataFrame:
     """Facts from `begin` on; `until` makes a re-run on later data repeatable."""
-    recent = facts.where(F.col("fact_time") >= stamp(begin))
+    recent = _dated(facts, "fact_date", begin, until).where(F.col("fact_time") >= stamp(begin))
     if until is not None:
         recent = recent.where(F.col("fact_time") < stamp(until))
     return in_scope(recent, accounts)
@@ -41,7 +54,8 @@ def with_valid_product(facts: DataFrame) -> DataFrame:
 
 def sessions_between(sessions: DataFrame, accounts: DataFrame, window: Window) -> DataFrame:
     """Sessions that start in the window, with NULL geography as ''."""
-    return in_scope(sessions.where(within(F.col("start_time"), window)), accounts).select(
+    inside = _dated(sessions, "start_date", *window).where(within(F.col("start_time"), window))
+    return in_scope(inside, accounts).select(
         "account_id",
         "mid_ts",
         "mid_rnd",

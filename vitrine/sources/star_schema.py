@@ -34,6 +34,7 @@ CATALOG_FIELDS = {
     "update_time": "DATETIME",
     "size_class": "STRING",
     "size_value": "NUMBER",
+    "grade": "STRING",
 }
 
 
@@ -67,6 +68,7 @@ class StarSchema:
             "CAST(l_quantity AS BIGINT) AS quantity",
             "CAST(l_extendedprice AS DECIMAL(18,2)) AS currency_unit_price",
             "CASE l_suppkey % 3 WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' ELSE 'GBP' END AS currency",
+            "date_add(DATE '1995-01-01', CAST(l_orderkey % 100 AS INT)) AS delivered",
         )
         return lines.join(orders, "o_orderkey").join(self._customers(), "device")
 
@@ -95,14 +97,15 @@ class StarSchema:
             "quantity",
             "currency",
             "currency_unit_price",
-            "fact_time AS update_time",
+            "CAST(delivered AS TIMESTAMP) AS update_time",
         )
 
     def product_views(self) -> DataFrame:
         viewed = self.read("events").where("event_type = 'view'").selectExpr(
             "user_id AS device",
             "CAST(ts AS TIMESTAMP) AS fact_time",
-            "concat('TP-', get_json_object(props, '$.k')) AS product_id",
+            "CASE WHEN event_id % 97 = 0 THEN 'null' WHEN event_id % 89 = 0 THEN NULL WHEN event_id % 83 = 0 THEN '' "
+            "ELSE concat('TP-', get_json_object(props, '$.k')) END AS product_id",
         )
         return viewed.join(self._customers(), "device").selectExpr(
             "CAST(fact_time AS DATE) AS fact_date",
@@ -156,12 +159,13 @@ class StarSchema:
             "p_size % 2 = 0 AS is_bundle",
             "CASE WHEN p_size % 10 = 0 THEN 'Out of Stock' ELSE 'in stock' END AS availability",
             "CAST(date_sub(DATE '2001-08-01', CAST(p_size % 7 AS INT)) AS TIMESTAMP) AS update_time",
-            "to_json(named_struct('size_class', concat('class ', p_size % 5), 'size_value', p_size)) AS custom",
+            "to_json(named_struct('size_class', concat('class ', p_size % 5), 'size_value', p_size, "
+            "'grade', IF(p_size % 7 = 0, NULL, concat('grade ', p_size % 3)))) AS custom",
         )
 
     def expiration(self) -> DataFrame:
-        """Cutoffs: five days for the catalog, 400 days for each account's point-of-sale data."""
-        pos = self.accounts().selectExpr("account_id AS dataset_id", "TIMESTAMP '2000-06-28' AS cutoff_time")
+        """Cutoffs: five days for the catalog; point-of-sale deliveries of the first ten days are out of date."""
+        pos = self.accounts().selectExpr("account_id AS dataset_id", "TIMESTAMP '1995-01-11' AS cutoff_time")
         catalog = self.read("region").where("r_regionkey = 0").selectExpr(
             f"{CATALOG}L AS dataset_id", "TIMESTAMP '2001-07-27' AS cutoff_time"
         )
@@ -180,6 +184,13 @@ class StarSchema:
         """Market 7 joins the accounts 1 and 3."""
         return self.accounts().where("account_id IN (1, 3)").selectExpr("7L AS market_id", "account_id")
 
+    def features(self) -> DataFrame:
+        """Accounts 1 to 4 get documents; of these, the even ones get the unified feed, too."""
+        live = self.accounts().where("account_id >= 1")
+        return live.selectExpr("account_id", "'recommendations' AS feature").unionByName(
+            live.where("account_id % 2 = 0").selectExpr("account_id", "'unified_feed' AS feature")
+        )
+
     def settings(self) -> DataFrame:
         return self.accounts().selectExpr("account_id", "account_id AS pos_dataset_id")
 

@@ -26,10 +26,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/shared/{spark.sparkContext.applicationId}"
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared folder and return a scan of it."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/shared/{name}-{uuid.uuid4().hex}"
+    path = f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -37,9 +41,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 def discard(df: DataFrame) -> None:
     """Delete what `materialise` wrote for `df`, a scan that nothing reads any more."""
     spark = df.sparkSession
-    own = f"{shared_folder(spark)}/shared/"
+    own = f"{_own_folder(spark)}/"
     folders = {file.rpartition("/")[0] for file in df.inputFiles()}
     for folder in folders:
         if own.removeprefix("file:").lstrip("/") in folder:
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            _delete(spark, folder)
+
+
+def sweep(spark: SparkSession) -> None:
+    """Delete all that this application has materialised; call it when the results of a run are written."""
+    _delete(spark, _own_folder(spark))
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
