@@ -90,10 +90,9 @@ def unified_documents(
 
 
 def pair_documents(ranks: DataFrame, account_id: Accounts, strategy_id: int, sent: datetime) -> DataFrame:
-    """Older feed of an item-to-item list: one document per lookup key."""
-    if BUCKET in ranks.columns:
-        raise ValueError("this feed has no buckets: a key's array would hold one list per bucket")
-    lists = ranks.groupBy(*_account(account_id), "lookup_key").agg(_list("rank", ["id", "normalized_score", "rank"]).alias("data"))
+    """Older feed of an item-to-item list: one document per lookup key (and bucket, so that no array grows with their number)."""
+    keys = _account(account_id) + ["lookup_key", *([BUCKET] if BUCKET in ranks.columns else [])]
+    lists = ranks.groupBy(*keys).agg(_list("rank", ["id", "normalized_score", "rank"]).alias("data"))
     document = F.struct("lookup_key", "data")
     lists, account = _addressed(lists, account_id)
     return lists.select(*_envelope(document, account, strategy_id, PAIR_FEED, sent))

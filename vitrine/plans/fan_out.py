@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 
 from vitrine.functions.sharding import geo_columns
 from vitrine.operators import documents, scopes
-from vitrine.operators.ranking import BUCKET
 from vitrine.plans import pairings, rankings
 from vitrine.plans.strategy import RANKINGS, AccountSettings, Strategy, Tables
 from vitrine.storage import materialise
@@ -105,8 +104,6 @@ def _render(strategy: Strategy, rows: DataFrame, accounts: tuple[int, ...], unif
     geo = geo_columns(strategy.geo_target) if strategy.algorithm in RANKINGS else ()
     if strategy.algorithm in RANKINGS:
         rendered = [documents.global_documents(rows, geo, accounts, strategy.id, sent)]
-    elif BUCKET in rows.columns:
-        rendered = []  # lists by product type exist in the unified feed only
     else:
         rendered = [documents.pair_documents(rows, accounts, strategy.id, sent)]
     if unified:

@@ -34,7 +34,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared folder and return a scan of it."""
     spark = df.sparkSession
     path = f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
