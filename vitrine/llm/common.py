@@ -55,9 +55,8 @@ _KEPT: dict[str, object] = {}
 
 
 def per_worker(token: str, make: Callable[[], object]):
-    """`make()` once per Python worker and `token`, so tables and memories outlive a task; the last three are kept."""
+    """`make()` once per Python worker and `token`, so tables and memories outlive a task; only the last is kept."""
     if token not in _KEPT:
-        while len(_KEPT) >= 3:
-            del _KEPT[next(iter(_KEPT))]
+        _KEPT.clear()
         _KEPT[token] = make()
     return _KEPT[token]

@@ -105,15 +105,15 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = [t.lower() for t in as_bytes(batch.column(0))]
         for text in texts:
             words.update(text.split())
-        if len(words) > 600_000:
+        if len(words) > 300_000:
             yield table(list(words.keys()), none, list(words.values()))
             words.clear()
         for _, grams, _ in pieces(texts):
             keys, counts = np.unique(grams, return_counts=True)
             held.append((keys, counts))
-            if sum(len(k) for k, _ in held) > 3_000_000:
+            if sum(len(k) for k, _ in held) > 2_000_000:
                 held[:] = [joined()]
-                if len(held[0][0]) > 1_500_000:
+                if len(held[0][0]) > 1_000_000:
                     yield table([], *held.pop())
     yield table(list(words.keys()), none, list(words.values()))
     yield table([], *joined())
@@ -124,15 +124,13 @@ class Level:
 
     def __init__(self, keys: np.ndarray, counts: np.ndarray, below: Level | None):
         self.keys, self.counts = keys, counts
-        self.contexts, starts, inverse = np.unique(keys >> EIGHT, return_index=True, return_inverse=True)
-        self.inverse = inverse
+        self.contexts, starts = np.unique(keys >> EIGHT, return_index=True)
         self.total = np.add.reduceat(counts, starts) if len(keys) else counts
         self.kinds = np.diff(np.append(starts, len(keys)))
-        if below is None:
-            self.excluded = np.zeros(len(self.contexts), np.int64)
-        else:
+        self.excluded = np.zeros(len(self.contexts), np.int64)
+        if below is not None and len(keys):
             at, found = _search(below.keys, keys & np.uint64((1 << (8 * below.width)) - 1))
-            self.excluded = np.bincount(inverse, np.where(found, below.counts[at], 0), len(self.contexts)).astype(np.int64)
+            self.excluded = np.add.reduceat(np.where(found, below.counts[at], 0), starts)
 
     width = 1
 
@@ -166,7 +164,7 @@ class Trie:
         self.shift, self.mask = np.uint64(64 - bits), np.int64((1 << bits) - 1)
         self.slots = np.full(1 << bits, EMPTY)
         self.logs = np.zeros(1 << bits, np.float32)
-        value = np.log10(top.counts / (top.total + top.kinds)[top.inverse]) if len(top.keys) else np.zeros(0)
+        value = np.log10(top.counts / np.repeat(top.total + top.kinds, top.kinds))
         self._fill(top.keys, value.astype(np.float32))
 
     def _home(self, keys: np.ndarray) -> np.ndarray:
@@ -315,7 +313,7 @@ def _score(table: DataFrame, model, frequent, number: int, rounds: int) -> DataF
         trie = per_worker(token, lambda: Trie(*deep, shallow))
         common = frequent.value
         part, row = uuid.uuid4().hex, 0
-        for batch in batches:
+        for batch in (whole.slice(low, 500) for whole in batches for low in range(0, max(whole.num_rows, 1), 500)):
             x = {name: batch.column(name) for name in batch.schema.names}
             texts = [t.lower() for t in as_bytes(x["text"])]
             sums = np.zeros(len(texts))
