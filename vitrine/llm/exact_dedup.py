@@ -253,7 +253,9 @@ def dedup(documents: DataFrame, *, keep: str = "min", fold_case: bool = True) ->
     text = F.coalesce("text", F.lit(""))
     if fold_case:
         text = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    kept = exact_groups(documents, keep=keep, fold_case=fold_case).where("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha")).distinct()
-    marked = documents.withColumn("_sha", F.sha2(text.cast("binary"), 256))
-    found = marked.join(kept, marked["doc_id"].cast("long").eqNullSafe(kept["_kept_id"]) & (marked["_sha"] == kept["_kept_sha"]), "left_semi")
-    return found.dropDuplicates(["doc_id", "_sha"]).select(*documents.columns)
+    # One text key, so that finding the rows kept and leaving one of repeated rows share a shuffle.
+    name = lambda doc_id, sha: F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("none")), F.lit(" "), sha)
+    groups = exact_groups(documents, keep=keep, fold_case=fold_case)
+    kept = groups.where("kept").select(name("doc_id", F.col("text_sha256")).alias("_kept")).distinct()
+    marked = documents.withColumn("_kept", name("doc_id", F.sha2(text.cast("binary"), 256)))
+    return marked.join(kept, "_kept", "left_semi").dropDuplicates(["_kept"]).select(*documents.columns)
