@@ -72,7 +72,7 @@ def text_id(text: bytes) -> tuple[int, int]:
     return (whole >> 64) - (1 << 63), whole & ((1 << 64 - PLACE_BITS) - 1)
 
 
-PLACE = "anchor long, window long, text_a long, text_b long"
+PLACE = "anchor long, window long, text_a long, text_b long, reach long"
 
 
 def _places(length: int):
@@ -80,7 +80,7 @@ def _places(length: int):
         seen: dict[tuple[int, int], int] = {}
         left = length - ANCHOR
         for batch in batches:
-            columns: list[list[np.ndarray]] = [[], [], [], []]
+            columns: list[list[np.ndarray]] = [[], [], [], [], []]
             for text in as_bytes(batch.column(0)):
                 if len(text) < length:
                     continue
@@ -92,18 +92,43 @@ def _places(length: int):
                     seen.clear()
                 where, hashes = anchors(text, length)
                 windows = [xxhash.xxh3_64_intdigest(text[max(p - left, 0) : p + length], max(left - p, 0)) for p in where.tolist()]
-                columns[0].append(hashes)
-                columns[1].append(np.array(windows, np.uint64))
+                kept, reach = chains(where, windows, length)
+                where = where[kept]
+                columns[0].append(hashes[kept])
+                columns[1].append(np.array(windows, np.uint64)[kept])
                 columns[2].append(np.full(len(where), a, np.int64))
                 columns[3].append(np.uint64(b << PLACE_BITS) | where.astype(np.uint64))
+                columns[4].append(reach)
                 if sum(map(len, columns[0])) > 200_000:
                     yield _columns(columns)
-                    columns = [[], [], [], []]
+                    columns = [[], [], [], [], []]
             yield _columns(columns)
 
     return run
 
 
+def chains(where: np.ndarray, windows: list[int], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places that begin a run of overlapping equal windows of one text, and how far beyond each its last one lies.
+
+    Periodic text has the same window again and again; all of it repeats, so its ends say enough.
+    """
+    n = len(where)
+    if len(set(windows)) == n:
+        return np.arange(n), np.zeros(n, np.int64)
+    begun: dict[int, int] = {}
+    kept, last = [], {}
+    for i, (p, w) in enumerate(zip(where.tolist(), windows, strict=True)):
+        j = begun.get(w)
+        if j is not None and p - last[j] <= length:
+            last[j] = p
+        else:
+            begun[w] = i
+            kept.append(i)
+            last[i] = p
+    index = np.array(kept)
+    return index, np.array([last[i] for i in kept]) - where[index]
+
+
 def _columns(columns: list[list[np.ndarray]]) -> pa.RecordBatch:
     arrays = [np.concatenate(c).view(np.int64) if c else np.zeros(0, np.int64) for c in columns]
     return pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=[f.split()[0] for f in PLACE.split(", ")])
@@ -112,9 +137,9 @@ def _columns(columns: list[list[np.ndarray]]) -> pa.RecordBatch:
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows in order of anchor, window, place: those whose anchor occurs at another row too, each place once.
 
-    first: of its window; many: the window has more rows. Looks one row ahead, so a group of any size streams through.
+    first: of its window; many: the window occurs again. Looks one row ahead, so a group of any size streams through.
     """
-    names = ["anchor", "window", "text_a", "text_b"]
+    names = ["anchor", "window", "text_a", "text_b", "reach"]
     before, waiting = None, None
 
     def judge(rows: np.ndarray, before: np.ndarray | None, after: np.ndarray | None) -> pa.RecordBatch:
@@ -122,8 +147,9 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         down = np.concatenate([rows[:, 1:], after[:, None] if after is not None else ~rows[:, -1:]], axis=1)
         same = [(rows[:k] == up[:k]).all(axis=0) for k in (1, 2, 4)]
         next_same = [(rows[:k] == down[:k]).all(axis=0) for k in (1, 2)]
-        keep = (same[0] | next_same[0]) & ~same[2]
-        columns = [pa.array(c[keep]) for c in rows] + [pa.array(~same[1][keep]), pa.array((same[1] | next_same[1])[keep])]
+        again = rows[4] > 0
+        keep = (same[0] | next_same[0] | again) & ~same[2]
+        columns = [pa.array(c[keep]) for c in rows] + [pa.array(~same[1][keep]), pa.array((same[1] | next_same[1] | again)[keep])]
         return pa.RecordBatch.from_arrays(columns, names=[*names, "first", "many"])
 
     for batch in batches:
@@ -353,6 +379,6 @@ def remove_repeats(documents: DataFrame, *, length: int = 200) -> DataFrame:
     one = packed.select("text_a", "text_c", "packed").dropDuplicates(["text_a", "text_c"])
     windows = one.join(asked, ["text_a", "text_c"]).select("packed", "places").mapInArrow(_cut(length), WINDOW)
     found = windows.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_judge(length), FOUND)
-    spans = places.join(found, ["anchor", "window"]).select("text_a", name.alias("text_c"), F.struct((place + F.col("low")).cast("long").alias("start"), (place + F.col("high")).cast("long").alias("end")).alias("s"))
+    spans = places.join(found, ["anchor", "window"]).select("text_a", name.alias("text_c"), F.struct((place + F.col("low")).cast("long").alias("start"), (place + F.col("reach") + F.col("high")).cast("long").alias("end")).alias("s"))
     by_text = spans.groupBy("text_a", "text_c").agg(F.collect_list("s").alias("found"))
     return packed.join(by_text, ["text_a", "text_c"], "left").select("doc_id", "packed", "found").mapInArrow(_remove, RESULT)
