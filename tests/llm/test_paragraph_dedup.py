@@ -113,3 +113,36 @@ def test_rows_that_repeat_or_have_no_id(spark):
 def test_empty_table(spark):
     assert remove_near(frame(spark, [])).count() == 0
     assert paragraph_dedup.remove_near(frame(spark, [(1, "no other line is like this one", "en", "s", 1)])).first().n_removed == 0
+
+
+def test_passages_inside_other_lines(spark):
+    """Repeated runs within longer lines, over line ends and in texts that repeat themselves, against all runs."""
+    draw = random.Random(8)
+    fresh = lambda k: [f"w{draw.randrange(10**6)}" for _ in range(k)]
+    shared = [fresh(k) for k in (31, 32, 33, 57, 90)]
+    rows = []
+    for i in range(40):
+        words = fresh(draw.randrange(60, 90))
+        for _ in range(draw.randrange(3)):
+            words += [w.upper() if draw.random() < 0.1 else w for w in draw.choice(shared)] + fresh(draw.randrange(60, 90))
+        text = "".join(w + draw.choice([" "] * 60 + ["  ", "\n"]) for w in words)
+        rows.append((i, text, "en", "s", 1))
+    rows.append((40, "ha " * 200, "en", "s", 1))
+    size = 32
+    got = {r.doc_id: r for r in remove_near(frame(spark, rows).repartition(3), miss=1e-7, passage_words=size, with_text=True).collect()}
+    lines = {r.doc_id: r for r in remove_near(frame(spark, rows).repartition(3), miss=1e-7).collect()}
+    assert all((got[i].removed, got[i].first_docs) == (lines[i].removed, lines[i].first_docs) for i in lines)
+    firsts, found = {}, 0
+    for i, text, *_ in rows:
+        words = text.lower().split()
+        gone = set()
+        for p in range(len(words) - size + 1):
+            first = firsts.setdefault(tuple(words[p : p + size]), (i, p))
+            if first[0] != i or p - first[1] >= size:
+                gone.update(range(p, p + size))
+        cut = {k for k, m in enumerate(paragraph_dedup.WORD.finditer(text.encode())) if any(s.start <= m.start() < s.end for s in got[i].spans)}
+        assert cut == gone
+        at = [text[: m.start()].count("\n") for m in paragraph_dedup.WORD.finditer(text.encode())]
+        assert got[i].kept.split() == [w for k, w in enumerate(text.split()) if k not in gone and at[k] not in got[i].removed]
+        found += bool(gone)
+    assert found > 15
