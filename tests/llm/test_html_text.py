@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -83,6 +84,17 @@ def test_pages_label_alike_alone_and_together(network):
     assert all(np.allclose(a, b) for a, b in zip(alone, probabilities(network, pages), strict=True))
 
 
+def test_a_long_page_does_not_pad_the_others(network):
+    row = rows_of(blocks_of("<p>some words</p>")[0])
+    pages = [[row]] * 127 + [[row] * 3000]
+    tracemalloc.start()
+    found = probabilities(network, pages)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50e6
+    assert all(np.allclose(a, probabilities(network, [p])[0]) for a, p in ((found[0], pages[0]), (found[-1], pages[-1])))
+
+
 def test_labels_of_held_out_pages(network):
     """Pages with the article's tag, with another design, and composed ones of other seeds."""
     for shape in (0, 1, 2):

@@ -215,8 +215,11 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def _run(lstm: dict, x: np.ndarray) -> tuple[np.ndarray, list]:
-    """Outputs (time, page, HIDDEN) of an LSTM over x (time, page, INPUT), and what its gradient needs."""
+STEPS = 50_000  # padded blocks (pages x longest) that are scored at once
+
+
+def _run(lstm: dict, x: np.ndarray, keep: bool = True) -> tuple[np.ndarray, list]:
+    """Outputs (time, page, HIDDEN) of an LSTM over x (time, page, INPUT), and, with `keep`, what its gradient needs."""
     steps, pages, _ = x.shape
     h, c, out, kept = np.zeros((pages, HIDDEN)), np.zeros((pages, HIDDEN)), np.empty((steps, pages, HIDDEN)), []
     entry = x @ lstm["x"] + lstm["b"]
@@ -224,10 +227,12 @@ def _run(lstm: dict, x: np.ndarray) -> tuple[np.ndarray, list]:
         z = entry[t] + h @ lstm["h"]
         i, f, o = _sigmoid(z[:, :HIDDEN]), _sigmoid(z[:, HIDDEN : 2 * HIDDEN]), _sigmoid(z[:, 2 * HIDDEN : 3 * HIDDEN])
         g = np.tanh(z[:, 3 * HIDDEN :])
-        kept.append((h, c, i, f, o, g))
+        before = h, c
         c = f * c + i * g
-        h = out[t] = o * np.tanh(c)
-        kept[-1] += (np.tanh(c),)
+        tc = np.tanh(c)
+        h = out[t] = o * tc
+        if keep:
+            kept.append((*before, i, f, o, g, tc))
     return out, kept
 
 
@@ -258,25 +263,32 @@ def _pad(sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
     return ahead, mirror
 
 
-def _pass(network: Network, x: np.ndarray, sizes: list[int]):
+def _pass(network: Network, x: np.ndarray, sizes: list[int], keep: bool = True):
     """Both LSTMs over pages of `sizes` blocks whose inputs follow each other in x: the joined outputs by block."""
     padded = np.concatenate([x, np.zeros((1, INPUT))])
     joined, kept = np.zeros((len(x) + 1, 2 * HIDDEN)), []
     for k, (lstm, rows) in enumerate(zip((network.forward, network.backward), _pad(sizes), strict=True)):
-        out, memory = _run(lstm, padded[rows])
+        own = padded[rows]
+        out, memory = _run(lstm, own, keep)
         joined[rows, k * HIDDEN : (k + 1) * HIDDEN] = out
-        kept.append((rows, padded[rows], memory))
+        if keep:
+            kept.append((rows, own, memory))
     return joined[:-1], kept
 
 
 def probabilities(network: Network, pages: list[list[tuple]]) -> list[np.ndarray]:
-    """Probability of each block of each page to belong to the article; pages of like length run together."""
+    """Probability of each block of each page to belong to the article; pages of like length run together,
+    at most 128 and `STEPS` padded blocks (or one page)."""
     out: list = [np.zeros(0)] * len(pages)
     order = sorted((i for i in range(len(pages)) if pages[i]), key=lambda i: len(pages[i]))
-    for low in range(0, len(order), 128):
-        some = order[low : low + 128]
+    groups: list[list[int]] = []
+    for i in order:  # the longest so far
+        if not groups or len(groups[-1]) == 128 or (len(groups[-1]) + 1) * len(pages[i]) > STEPS:
+            groups.append([])
+        groups[-1].append(i)
+    for some in groups:
         sizes = [len(pages[i]) for i in some]
-        hidden, _ = _pass(network, network.inputs([b for i in some for b in pages[i]]), sizes)
+        hidden, _ = _pass(network, network.inputs([b for i in some for b in pages[i]]), sizes, keep=False)
         p = _sigmoid(hidden @ network.out[:-1] + network.out[-1])
         for i, part in zip(some, np.split(p, np.cumsum(sizes)[:-1]), strict=True):
             out[i] = part
