@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.llm import decontamination, exact_dedup, html_text, lm_scoring, paragraph_dedup, sentence_pieces, simhash, substring_suffixes, token_counts, toxicity
+from vitrine.llm import bottom_k, decontamination, exact_dedup, html_text, lm_scoring, paragraph_dedup, sentence_pieces, simhash, substring_suffixes, token_counts, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -57,13 +57,32 @@ def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return lm_scoring.scores(_table(spark, folder, "documents"), modulus=7)
 
 
+def op13_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return bottom_k.fingerprints(_table(spark, folder, "documents"), k=128, shingle=5)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_token_counts, op3_toxicity, op4_html_text, op5_exact_dedup, op6_paragraph_dedup, op7_suffix_dedup, op8_sentence_pieces, op9_decontamination, op10_lm_scoring)}
+    return {f.__name__: f for f in (op1_simhash, op2_token_counts, op3_toxicity, op4_html_text, op5_exact_dedup, op6_paragraph_dedup, op7_suffix_dedup, op8_sentence_pieces, op9_decontamination, op10_lm_scoring, op13_fingerprints)}
 
 
 FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+def _sketch(text: str) -> str:
+    words = rf"list_filter(string_split_regex({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+    starts = "CASE WHEN len(w) = 0 THEN [] ELSE range(1, greatest(len(w) - 4, 1) + 1) END"
+    hashes = f"list_distinct(list_transform({starts}, lambda i: substr(md5(array_to_string(w[i:i + 4], ' ')), 1, 12)))"
+    return f"(SELECT list_sort({hashes})[1:128] FROM (SELECT {words} AS w))"
+
+
+def _near(a: str, b: str, of: str) -> str:
+    common = f"len(list_intersect(u, list_intersect({a}, {b})))"
+    if of == "resemblance":
+        return f"(SELECT CASE WHEN len(u) = 0 THEN 1.0::DOUBLE ELSE {common}::DOUBLE / len(u) END FROM (SELECT list_sort(list_distinct(list_concat({a}, {b})))[1:128] AS u))"
+    own = f"len(list_intersect(u, {a}))"
+    return f"(SELECT CASE WHEN len({a}) = 0 THEN 1.0::DOUBLE WHEN {own} = 0 THEN 0.0::DOUBLE ELSE {common}::DOUBLE / {own} END FROM (SELECT list_sort(list_distinct(list_concat({a}, {b})))[1:128] AS u))"
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op5_exact_dedup": f"""
@@ -83,4 +102,14 @@ def oracle_sql() -> dict[str, str]:
             items AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM hit GROUP BY doc_id)
             SELECT doc.doc_id, len(doc.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
             FROM doc LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+        "op13_fingerprints": f"""
+            WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+            n AS (SELECT doc_id, t, coalesce(lead(t) OVER w, first_value(t) OVER w) AS nt FROM d WINDOW w AS (ORDER BY doc_id DESC NULLS LAST, t)),
+            e AS (SELECT doc_id, t, nt, concat(substr(t, 1, length(t) - length(t) // 3), substr(nt, 1, length(t) // 3)) AS et FROM n),
+            s AS MATERIALIZED (SELECT doc_id, length(t) AS n_chars, sha256(et) AS edited_sha256, {_sketch("t")} AS a, {_sketch("et")} AS b, {_sketch("nt")} AS c FROM e)
+            SELECT doc_id, n_chars, edited_sha256, array_to_string(a, '') AS fingerprint, array_to_string(b, '') AS edited_fingerprint,
+                   {_near("a", "b", "resemblance")} AS near_edited, {_near("a", "c", "resemblance")} AS near_next,
+                   CASE WHEN len(a) < 128 THEN len(a)::DOUBLE ELSE 127 / (('0x' || a[128])::BIGINT::DOUBLE / 281474976710656.0::DOUBLE) END AS n_shingles,
+                   {_near("a", "b", "containment")} AS in_edited
+            FROM s""",
     }
