@@ -52,7 +52,7 @@ def test_one_row_no_ids_and_no_rows(spark):
 def test_long_texts_and_equal_texts(spark):
     draw = random.Random(3)
     long = " ".join(f"w{draw.randrange(9000)}" for _ in range(40_000))
-    rows = [(i, t, None, None, None) for i, t in enumerate([long, long + " tail", "short text", long, "    é😀" * 20])]
+    rows = [(i, t, None, None, None) for i, t in enumerate([long, long + " tail", "short text", long, "x" * 300_000, "one " + "y" * 200_000, "    é😀" * 20])]
     assert _found(bottom_k.fingerprints(frame(spark, rows, DOCS))) == _expected(rows, 128)
 
 
@@ -66,7 +66,7 @@ def test_sketches_of_parts_merge_and_estimate(spark):
     assert groups["hot"] == _sketch(texts[2], 256) == groups[None]
     pair = own.alias("a").join(own.alias("b"), F.col("a.doc_id") < F.col("b.doc_id"))
     a, b = F.col("a.sketch"), F.col("b.sketch")
-    for r in pair.select(F.col("a.doc_id").alias("i"), F.col("b.doc_id").alias("j"), bottom_k.resemblance(a, b, 256).alias("near"), bottom_k.containment(a, b, 256).alias("part"), bottom_k.distinct_shingles(bottom_k.merged(a, b, 256), 256).alias("n")).collect():
+    for r in pair.select(F.col("a.doc_id").alias("i"), F.col("b.doc_id").alias("j"), bottom_k.likeness(a, b, 256)["resemblance"].alias("near"), bottom_k.likeness(a, b, 256)["containment"].alias("part"), bottom_k.distinct_shingles(bottom_k.merged(a, b, 256), 256).alias("n")).collect():
         x, y = _shingles(texts[r.i]), _shingles(texts[r.j])
         assert abs(r.near - len(x & y) / len(x | y)) < 0.12
         assert abs(r.part - len(x & y) / len(x)) < 0.17

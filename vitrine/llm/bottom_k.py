@@ -24,15 +24,20 @@ def _words(text: Column) -> Column:
     return F.array_remove(F.split(text, BLANKS), "")
 
 
+def _least(joined: Column, k: int, shingle: int, short: Column) -> Column:
+    """The k smallest hashes of the shingles of words joined by blanks; all of them are one shingle where `short` holds."""
+    # One pass of a possessive pattern; cutting runs out of an array of words one by one takes twice the time.
+    pattern = rf"(?=([^ ]++(?: [^ ]++){{{shingle - 1}}}))[^ ]++" if shingle > 1 else r"([^ ]++)"
+    shingles = F.when(short, F.array(joined)).otherwise(F.regexp_extract_all(joined, F.lit(pattern), F.lit(1)))
+    hashes = F.transform(shingles, lambda s: F.substring(F.md5(s.cast("binary")), 1, DIGITS))
+    return F.slice(F.sort_array(F.array_distinct(hashes)), 1, k)
+
+
 def with_sketch(df: DataFrame, text: str, into: str, *, k: int = 128, shingle: int = 5) -> DataFrame:
     """`df` with the sketch of column `text` (no nulls) in column `into`."""
-    words, number = f"__{into}_words", f"__{into}_number"
-    cut = df.withColumn(words, _words(F.col(text)))
-    # Both columns are read more than once below, so Catalyst leaves them as columns and splits a text only once.
-    cut = cut.withColumn(number, F.when(F.size(words) == 0, F.lit(0)).otherwise(F.greatest(F.size(words) - (shingle - 1), F.lit(1))))
-    starts = F.when(F.col(number) > 0, F.sequence(F.lit(1), F.col(number))).otherwise(F.array().cast("array<int>"))
-    hashes = F.transform(starts, lambda i: F.substring(F.md5(F.array_join(F.slice(F.col(words), i, shingle), " ")), 1, DIGITS))
-    return cut.withColumn(into, F.slice(F.sort_array(F.array_distinct(hashes)), 1, k)).drop(words, number)
+    words, joined = f"__{into}_words", f"__{into}_joined"  # read more than once, so Catalyst leaves them columns
+    cut = df.withColumn(words, _words(F.col(text))).withColumn(joined, F.array_join(words, " "))
+    return cut.withColumn(into, _least(F.col(joined), k, shingle, F.size(words).between(1, shingle - 1))).drop(words, joined)
 
 
 def merged(a: Column, b: Column, k: int = 128) -> Column:
@@ -54,18 +59,19 @@ def merge_groups(sketches: DataFrame, key: str, sketch: str, *, k: int = 128, sa
     return grouped.select(F.col("key").alias(key), F.col("sketch").alias(sketch))
 
 
-def resemblance(a: Column, b: Column, k: int = 128) -> Column:
-    """Estimated share of common shingles among all of two texts: 1 if neither has any."""
-    union = merged(a, b, k)
-    common = F.size(F.array_intersect(union, F.array_intersect(a, b)))
-    return F.when(F.size(union) == 0, F.lit(1.0)).otherwise(common / F.size(union))
+def likeness(a: Column, b: Column, k: int = 128) -> Column:
+    """Struct of estimates: resemblance (share of common shingles among all of both texts) and containment (share of the
+    shingles of `a` that are also in `b`). Without any shingle in the base of a share it is 1."""
+    largest = F.element_at(merged(a, b, k), -1)
 
+    def shares(x: Column) -> Column:  # x.common: hashes of both; x.largest: end of the sketch of both together
+        common = F.size(F.filter(x["common"], lambda h: h <= x["largest"])).cast("double")
+        own, other = F.size(F.filter(a, lambda h: h <= x["largest"])), F.size(F.filter(b, lambda h: h <= x["largest"]))
+        return F.struct((common / (own + other - common)).alias("resemblance"), F.when(own > 0, common / own).otherwise(F.lit(0.0)).alias("containment"))
 
-def containment(a: Column, b: Column, k: int = 128) -> Column:
-    """Estimated share of the shingles of `a` that are also in `b`: 1 if `a` has none."""
-    union = merged(a, b, k)
-    own, common = F.array_intersect(union, a), F.array_intersect(union, F.array_intersect(a, b))
-    return F.when(F.size(a) == 0, F.lit(1.0)).when(F.size(own) == 0, F.lit(0.0)).otherwise(F.size(common) / F.size(own))
+    some = F.transform(F.array(F.struct(F.array_intersect(a, b).alias("common"), largest.alias("largest"))), shares)[0]
+    fixed = lambda r, c: F.struct(F.lit(r).alias("resemblance"), F.lit(c).alias("containment"))
+    return F.when((F.size(a) == 0) & (F.size(b) == 0), fixed(1.0, 1.0)).when(F.size(a) == 0, fixed(0.0, 1.0)).when(F.arrays_overlap(a, b), some).otherwise(fixed(0.0, 0.0))
 
 
 def distinct_shingles(sketch: Column, k: int = 128) -> Column:
@@ -106,30 +112,42 @@ def fingerprints(documents: DataFrame, *, k: int = 128, shingle: int = 5) -> Dat
     their texts, rows without doc_id come after all others. The edited text is the text less its last floor(n_chars / 3)
     code points and then as many of the next text's first, or all it has. One document alone is next to itself.
 
-    Texts pass one shuffle, by ranges of doc_id; four ranges to a partition keep their sizes even.
+    Texts pass one shuffle, by ranges of doc_id; four ranges to a partition keep their sizes even. The part that a text
+    and its edited text share is sketched once and merged with the sketch of either rest.
     """
     rows = documents.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     partitions = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = _in_ranges(rows, min(4 * partitions, 4000)).repartition("range")
-    own = with_sketch(dealt, "text", "sketch", k=k, shingle=shingle)
+    # The text and its edited text share all before the cut, less the word that may go on there.
+    cut = dealt.withColumn("third", F.floor(F.length("text") / 3).cast("int")).withColumn("before", F.substring("text", F.lit(1), F.length("text") - F.col("third")))
+    cut = cut.withColumn("at", F.length(F.regexp_extract("before", "(?s)^.*[\\x20\\x09-\\x0D]", 0)))
+    shared = cut.withColumn("words", _words(F.substring("text", F.lit(1), F.col("at")))).withColumn("n_shared", F.size("words"))
+    shared = shared.withColumn("start", _least(F.array_join("words", " "), k, shingle, F.lit(False)))
+    # The rest begins with the last words shared, so that every shingle is in one part or the other.
+    shared = shared.withColumn("lead_in", F.slice("words", F.greatest(F.col("n_shared") - (shingle - 2), F.lit(1)), shingle - 1))
+
+    def rest(df: DataFrame, text: Column, into: str) -> DataFrame:
+        told = df.withColumn("rest", F.concat("lead_in", _words(text))).withColumn("joined", F.array_join("rest", " "))
+        return told.withColumn(into, merged(F.col("start"), _least(F.col("joined"), k, shingle, (F.size("start") == 0) & F.size("rest").between(1, shingle - 1)), k)).drop("rest", "joined")
+
+    own = rest(shared, F.expr("substring(text, at + 1)"), "sketch")
     order = Window.partitionBy("range").orderBy("guest", F.col("doc_id").desc_nulls_last(), "text")
     # Without any doc_id there is no guest; the first row of the one range is next to its last.
     following = own.select(
-        "guest", "doc_id", "text", "sketch",
+        "guest", "doc_id", "text", "third", "before", "at", "lead_in", "start", "sketch",
         F.coalesce(F.lead("text").over(order), F.first("text").over(order)).alias("next_text"),
         F.coalesce(F.lead("sketch").over(order), F.first("sketch").over(order)).alias("next_sketch"),
     ).where("not guest")
-    third = F.floor(F.length("text") / 3).cast("int")
-    edited = following.withColumn("n_chars", F.length("text").cast("long")).withColumn("edited", F.concat(F.substring("text", F.lit(1), F.length("text") - third), F.substring("next_text", F.lit(1), third)))
-    both = with_sketch(edited, "edited", "edited_sketch", k=k, shingle=shingle)
+    edited = following.withColumn("n_chars", F.length("text").cast("long")).withColumn("edited", F.concat("before", F.substring("next_text", F.lit(1), F.col("third"))))
+    both = rest(edited, F.expr("substring(edited, at + 1)"), "edited_sketch").withColumn("like", likeness(F.col("sketch"), F.col("edited_sketch"), k))
     return both.select(
         "doc_id",
         "n_chars",
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         as_text(F.col("sketch")).alias("fingerprint"),
         as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
-        resemblance(F.col("sketch"), F.col("edited_sketch"), k).alias("near_edited"),
-        resemblance(F.col("sketch"), F.col("next_sketch"), k).alias("near_next"),
+        F.col("like.resemblance").alias("near_edited"),
+        likeness(F.col("sketch"), F.col("next_sketch"), k)["resemblance"].alias("near_next"),
         distinct_shingles(F.col("sketch"), k).alias("n_shingles"),
-        containment(F.col("sketch"), F.col("edited_sketch"), k).alias("in_edited"),
+        F.col("like.containment").alias("in_edited"),
     )
