@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from helpers import AWKWARD, frame, with_extras
 
+from vitrine.llm import substring_suffixes
 from vitrine.llm.substring_suffixes import anchors, joined, remove_repeats, repeats
 from vitrine.llm.suffix_array import common_prefixes, suffix_array
 
@@ -73,8 +74,10 @@ def _result(df):
     return sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in df.collect())
 
 
-@pytest.mark.parametrize("length", [200, 64])
-def test_query_rows_against_all_strings(spark, length):
+@pytest.mark.parametrize(("length", "hot", "giant"), [(200, 1000, 20_000), (64, 1000, 20_000), (200, 1, 1000), (200, 2, 6), (64, 0, 0)])
+def test_query_rows_against_all_strings(spark, monkeypatch, length, hot, giant):
+    monkeypatch.setattr(substring_suffixes, "HOT", hot)
+    monkeypatch.setattr(substring_suffixes, "GIANT", giant)
     rows = [(i, t, "en", "s", 1) for i, t in enumerate(_corpus(length, 150))] + [*AWKWARD, (7001, "zq" * 400, "en", "s", 1), (7002, "m" * 1000, "en", "s", 1), (7003, "m" * 201, "en", "s", 1)]
     got = remove_repeats(with_extras(frame(spark, rows)).repartition(3), length=length)
     expected = _brute([(r[1] or "").encode() for r in rows], length)
@@ -82,6 +85,27 @@ def test_query_rows_against_all_strings(spark, length):
     assert all(len(r.kept) == r.n_bytes - r.n_removed == r.n_bytes - sum(s.end - s.start for s in r.spans) for r in got.collect())
 
 
+@pytest.mark.parametrize(("hot", "giant"), [(20, 1000), (20, 30)])
+def test_one_line_and_one_passage_in_every_text(spark, monkeypatch, hot, giant):
+    monkeypatch.setattr(substring_suffixes, "HOT", hot)
+    monkeypatch.setattr(substring_suffixes, "GIANT", giant)
+    draw = random.Random(8)
+    fresh = lambda k: "".join(draw.choice("abcdefghij klmnop") for _ in range(k))
+    line, passage = fresh(120), fresh(330)
+    texts = [fresh(300 + i % 7) + line + fresh(250) + (passage if i % 3 else passage[i % 90 :]) + fresh(i % 40) for i in range(120)]
+    texts += [texts[5] + "tail", texts[6][3:], fresh(20_000) + passage[:230] + fresh(9000)]
+    got = remove_repeats(frame(spark, [(i, t, None, None, None) for i, t in enumerate(texts)]).repartition(3), length=200)
+    assert _result(got) == sorted((str(i), *e) for i, e in enumerate(_brute([t.encode() for t in texts], 200)))
+
+
+def test_runs_name_each_string_once():
+    draw = np.random.default_rng(3)
+    content = bytes(draw.integers(97, 123, 368, dtype=np.uint8))
+    for before, cut in ((168, content), (40, content[128:]), (168, content[:300])):
+        starts = [at - back for _, at, low, high, around in substring_suffixes.runs_around(cut, before, 200) for back, s in substring_suffixes.strings_around(low, high, around, 24) if len(s) == 24]
+        assert sorted(starts) == list(range(-before, len(cut) - before - 200 + 1))
+
+
 def test_windows_of_one_anchor():
     draw = np.random.default_rng(1)
     anchor, a, b, c = (bytes(draw.integers(97, 123, n, dtype=np.uint8)) for n in (32, 168, 168, 168))

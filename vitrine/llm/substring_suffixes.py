@@ -4,11 +4,17 @@
    string. It depends on the string alone, so two equal strings have the same anchor at the same place, and only places
    whose anchor occurs again can be repeated (exact, nothing is sampled away).
 2. Windows. Around each place of a repeated anchor, the bytes of all strings that it anchors are cut out, once for each
-   different content. An anchor's windows meet in one task.
-3. Suffix array. The windows of an anchor, as blocks of `BLOCK` bytes named once by content, are sorted by suffix
-   (`suffix_array`, linear grouping). Neighbours that share as many blocks as every repeated string must contain mark
-   the places where one can lie; the bytes of these places are then compared as they are.
-4. Spans. What repeats goes back to all places with that window, spans are joined by text and cut out of it.
+   different content.
+3. Suffix array. The windows of an anchor meet in one task, up to `HOT` of them. As blocks of `BLOCK` bytes named once by
+   content, they are sorted by suffix (`suffix_array`, linear grouping). Neighbours that share as many blocks as every
+   repeated string must contain mark the places where one can lie; the bytes of these places are then compared as they
+   are.
+4. Hot anchors. A very common line has its anchor in as many windows as there are texts with that line. A repeated
+   string holds a run of whole blocks at a fixed distance from the anchor, so windows of such anchors meet by (anchor,
+   hash of a run) instead, each with only the few bytes around the run: windows that share nothing but the line never
+   meet. Beyond `GIANT` windows of an anchor nothing is gathered at all: runs, and then the strings around runs that
+   occur twice, are counted by hash with partial sums before the shuffle.
+5. Spans. What repeats goes back to all places with that window, spans are joined by text and cut out of it.
 
 Places are named by a 97-bit hash of the whole text, so equal texts do all of this once, and texts travel compressed. A
 task sends the places of equal texts twice at most, which is enough to know that they repeat.
@@ -33,6 +39,7 @@ from vitrine.storage import materialise
 ANCHOR = 32  # bytes hashed; a power of two
 BLOCK = 16
 PLACE_BITS = 31
+HOT, GIANT = 1000, 20_000  # windows of an anchor that are sorted together, and that meet by runs
 
 
 def _sliding(values: np.ndarray, width: int, choose) -> np.ndarray:
@@ -176,11 +183,12 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-WINDOW = "anchor long, window long, many boolean, before int, content binary"
+WINDOW = "anchor long, key long, window long, many boolean, before int, size int, at int, low int, high int, content binary"
+KINDS = tuple({"long": pa.int64(), "boolean": pa.bool_(), "int": pa.int32(), "binary": pa.binary()}[f.split()[1]] for f in WINDOW.split(", "))
 
 
 def _cut(length: int):
-    """Windows of the places listed beside each text (its first row of several equal texts)."""
+    """Windows of the places listed beside each text (its first row of several equal texts); of hot anchors, their runs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         expand = zstandard.ZstdDecompressor()
@@ -191,19 +199,52 @@ def _cut(length: int):
                 text = expand.decompress(packed) if packed else b""
                 for x in places:
                     at = x["place"]
-                    rows.append((x["anchor"], x["window"], x["many"], min(at, left), text[max(at - left, 0) : at + length]))
-                if len(rows) > 20_000:
-                    yield _window_batch(rows)
-                    rows = []
+                    before, content = min(at, left), text[max(at - left, 0) : at + length]
+                    if x["hot"]:
+                        rows += [(x["anchor"], key, x["window"], x["many"], before, len(content), *rest) for key, *rest in runs_around(content, before, length)]
+                    else:
+                        rows.append((x["anchor"], 0, x["window"], x["many"], before, len(content), 0, 0, 0, content))
+                    if len(rows) > 20_000:
+                        yield _window_batch(rows)
+                        rows = []
             yield _window_batch(rows)
 
     return run
 
 
 def _window_batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
-    kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[f.split()[0] for f in WINDOW.split(", ")])
+    columns = list(zip(*rows, strict=True)) if rows else [[]] * len(KINDS)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, KINDS, strict=True)], names=[f.split()[0] for f in WINDOW.split(", ")])
+
+
+def _leftmost(content: bytes, before: int) -> int:
+    """Least distance from the anchor at which a string may begin: one that holds its anchor several times counts at the
+    leftmost only, else it would meet itself."""
+    return max(content.rfind(content[before : before + ANCHOR], 0, before + ANCHOR - 1) + 1, 0) - before
+
+
+def runs_around(content: bytes, before: int, length: int) -> list[tuple[int, int, int, int, bytes]]:
+    """(key, at, low, high, around) of each run of whole blocks in a window that a string of `length` bytes can hold.
+
+    `at` is the distance of the run from the anchor and the key its content and distance; strings begin `low` to `high`
+    bytes before the run (0 to BLOCK - 1, each string with one run only), and `around` is what they hold besides it:
+    the `high` bytes before and the bytes after the run.
+    """
+    size = (length - BLOCK + 1) // BLOCK * BLOCK
+    least, out = _leftmost(content, before), []
+    for off in range(before % BLOCK, len(content) - size + 1, BLOCK):
+        at = off - before
+        low, high = max(0, at, off + length - len(content)), min(BLOCK - 1, off, at - least)
+        if low <= high:
+            key = xxhash.xxh3_64_intdigest(content[off : off + size], seed=off - before + (1 << 20)) | 1
+            out.append((key - (1 << 63), at, low, high, content[off - high : off] + content[off + size : off + length - low]))
+    return out
+
+
+def strings_around(low: int, high: int, around: bytes, rest: int) -> Iterator[tuple[int, bytes]]:
+    """(bytes before the run, the string less the run) of each string of a row of `runs_around`; `rest` its size."""
+    for back in range(low, high + 1):
+        yield back, around[high - back : high - back + rest]
 
 
 def repeats(windows: list[tuple[bytes, int, bool]], length: int) -> list[list[tuple[int, int]]]:
@@ -250,11 +291,7 @@ def repeats(windows: list[tuple[bytes, int, bool]], length: int) -> list[list[tu
     order = suffix_array(text)
     shared = common_prefixes(text, order)
     shared.append(0)
-    # A string that holds its anchor several times counts at the leftmost only, else it would meet itself.
-    first_start = []
-    for content, before, _ in windows:
-        again = content.rfind(content[before : before + ANCHOR], 0, before + ANCHOR - 1)
-        first_start.append(max(again + 1, 0) - before)
+    first_start = [_leftmost(content, before) for content, before, _ in windows]
     group: list[tuple[int, int]] = []
     for k, i in enumerate(order):
         group.append(origin[i])
@@ -300,26 +337,43 @@ def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 FOUND = "anchor long, window long, low int, high int"
 
 
+def shared_strings(rows: list[tuple[int, int, int, int, bytes]], length: int) -> list[tuple[int, int, int]]:
+    """(window, start, end) of what repeats among rows (window, at, low, high, around) of one key, by distance from the anchor."""
+    rest = length - (length - BLOCK + 1) // BLOCK * BLOCK
+    uses: dict[tuple[int, bytes], int] = {}
+    for _, _, low, high, around in rows:
+        for string in strings_around(low, high, around, rest):
+            uses[string] = uses.get(string, 0) + 1
+    out = []
+    for window, at, low, high, around in rows:
+        spans = joined([(at - string[0], at - string[0] + length) for string in strings_around(low, high, around, rest) if uses[string] > 1])
+        out += [(window, *span) for span in spans]
+    return out
+
+
 def _judge(length: int):
-    """Windows in order of anchor: spans of each, group by group."""
+    """Windows in order of anchor and key: spans of each, group by group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        anchor, held, out = None, {}, []
+        key, held, out = (None, 0), {}, []
 
         def close() -> None:
-            windows = list(held.items())
-            if windows:
-                for (window, _), spans in zip(windows, repeats([x for _, x in windows], length), strict=True):
-                    out.extend((anchor, window, low, high) for low, high in joined(spans))
+            if held and not key[1]:
+                for window, spans in zip(held, repeats([(x[-1], x[1], x[0]) for x in held.values()], length), strict=True):
+                    out.extend((key[0], window, low, high) for low, high in joined(spans))
+            elif held:
+                out.extend((key[0], w, -x[1], x[2] - x[1]) for w, x in held.items() if x[0])
+                if len(held) > 1:
+                    out.extend((key[0], *found) for found in shared_strings([(w, *x[3:]) for w, x in held.items()], length))
             held.clear()
 
         for batch in batches:
             x = batch.to_pydict()
-            for a, window, many, before, content in zip(x["anchor"], x["window"], x["many"], x["before"], x["content"], strict=True):
-                if a != anchor:
+            for anchor, part, window, *rest in zip(*x.values(), strict=True):
+                if (anchor, part) != key:
                     close()
-                    anchor = a
-                held[window] = (content, before, many or window in held)
+                    key = anchor, part
+                held[window] = rest
             if len(out) > 20_000:
                 yield _found_batch(out)
                 out.clear()
@@ -329,6 +383,29 @@ def _judge(length: int):
     return run
 
 
+STRING = "anchor long, window long, start int, string long"
+
+
+def _strings(length: int):
+    """Every string around the runs of giant anchors, by hash."""
+    rest = length - (length - BLOCK + 1) // BLOCK * BLOCK
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, 2000):
+                some = batch.slice(low, 2000).to_pydict()
+                rows = [
+                    (anchor, window, at - back, xxhash.xxh3_64_intdigest(string, seed=key & 0xFFFFFFFFFFFFFFFF) - (1 << 63))
+                    for anchor, key, window, at, a, b, around in zip(*(some[c] for c in ("anchor", "key", "window", "at", "low", "high", "content")), strict=True)
+                    for back, string in strings_around(a, b, around, rest)
+                ]
+                columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
+                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[f.split()[0] for f in STRING.split(", ")])
+
+    return run
+
+
 def _found_batch(rows: list[tuple]) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
     kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
@@ -357,6 +434,21 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "spans"])
 
 
+def _of_giants(windows: DataFrame, length: int) -> DataFrame:
+    """Spans of windows of giant anchors: runs that occur twice, then strings around them that do, all by counts."""
+    runs = materialise(windows, "giant-runs")
+    twice = runs.groupBy("anchor", "key").count().where("count > 1").select("anchor", "key")
+    strings = materialise(runs.join(twice, ["anchor", "key"]).mapInArrow(_strings(length), STRING), "giant-strings")
+    again = strings.groupBy("anchor", "start", "string").count().where("count > 1").select("anchor", "start", "string")
+    # Starts next to each other are one span.
+    starts = strings.join(again, ["anchor", "start", "string"]).groupBy("anchor", "window").agg(F.array_sort(F.collect_set("start")).alias("starts"))
+    breaks = F.filter("starts", lambda x, i: (i == 0) | (F.element_at("starts", F.greatest(i, F.lit(1))) < x - 1))
+    ends = F.filter("starts", lambda x, i: (i == F.size("starts") - 1) | (F.element_at("starts", F.least(i + 2, F.size("starts"))) > x + 1))
+    spans = starts.select("anchor", "window", F.inline(F.arrays_zip(breaks.alias("low"), ends.alias("end")))).select("anchor", "window", "low", (F.col("end") + length).alias("high"))
+    whole = runs.where("many").select("anchor", "window", (-F.col("before")).alias("low"), (F.col("size") - F.col("before")).alias("high")).distinct()
+    return spans.unionByName(whole)
+
+
 def remove_repeats(documents: DataFrame, *, length: int = 200) -> DataFrame:
     """Cut every byte out of texts that a `length`-byte string covers which also starts anywhere else.
 
@@ -374,11 +466,22 @@ def remove_repeats(documents: DataFrame, *, length: int = 200) -> DataFrame:
     name = F.shiftrightunsigned("text_b", PLACE_BITS)
 
     packed = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_packed, "doc_id long, text_a long, text_c long, packed binary")
-    asked = places.where("first").select("text_a", name.alias("text_c"), F.struct("anchor", "window", "many", place.alias("place")).alias("x")).groupBy("text_a", "text_c").agg(F.collect_list("x").alias("places"))
     # Equal texts would each answer: only one row of a text is asked.
     one = packed.select("text_a", "text_c", "packed").dropDuplicates(["text_a", "text_c"])
-    windows = one.join(asked, ["text_a", "text_c"]).select("packed", "places").mapInArrow(_cut(length), WINDOW)
-    found = windows.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_judge(length), FOUND)
+    first = places.where("first").select("text_a", name.alias("text_c"), place.alias("place"), "anchor", "window", "many")
+    crowds = materialise(first.groupBy("anchor").count().where(F.col("count") > HOT), "hot-anchors")
+    hot, giant = crowds.agg(F.count("*"), F.count(F.when(F.col("count") > GIANT, 1))).first()
+    marked = first.join(crowds, "anchor", "left") if hot else first.withColumn("count", F.lit(None).cast("long"))
+
+    def windows(asked: DataFrame) -> DataFrame:
+        x = F.struct("anchor", "window", "many", "place", F.col("count").isNotNull().alias("hot"))
+        listed = asked.groupBy("text_a", "text_c").agg(F.collect_list(x).alias("places"))
+        return one.join(listed, ["text_a", "text_c"]).select("packed", "places").mapInArrow(_cut(length), WINDOW)
+
+    met = windows(marked.where(F.coalesce("count", F.lit(0)) <= GIANT)).repartition("anchor", "key").sortWithinPartitions("anchor", "key")
+    found = met.mapInArrow(_judge(length), FOUND)
+    if giant:
+        found = found.unionByName(_of_giants(windows(marked.where(F.col("count") > GIANT)), length))
     spans = places.join(found, ["anchor", "window"]).select("text_a", name.alias("text_c"), F.struct((place + F.col("low")).cast("long").alias("start"), (place + F.col("reach") + F.col("high")).cast("long").alias("end")).alias("s"))
     by_text = spans.groupBy("text_a", "text_c").agg(F.collect_list("s").alias("found"))
     return packed.join(by_text, ["text_a", "text_c"], "left").select("doc_id", "packed", "found").mapInArrow(_remove, RESULT)
