@@ -115,34 +115,71 @@ def test_empty_table(spark):
     assert paragraph_dedup.remove_near(frame(spark, [(1, "no other line is like this one", "en", "s", 1)])).first().n_removed == 0
 
 
+def test_pieces_do_not_depend_on_what_is_around():
+    draw = random.Random(9)
+    fresh = lambda k: [b"w%d" % draw.randrange(10**6) for _ in range(k)]
+    for _ in range(40):
+        passage, before, after = fresh(60), fresh(draw.randrange(40)), fresh(draw.randrange(40))
+        alone = {(a, b) for a, b in paragraph_dedup.pieces(passage, 6) if a > 7 and b < 53}
+        inside = {(a - len(before), b - len(before)) for a, b in paragraph_dedup.pieces(before + passage + after, 6)}
+        assert alone <= inside
+        ranges = paragraph_dedup.pieces(before + passage, 6)
+        assert [x for r in ranges for x in range(*r)] == list(range(len(before) + 60))
+    assert paragraph_dedup.pieces([], 6) == []
+    assert paragraph_dedup.pieces([b"ha"] * 120, 6)[-2:] == [(51, 101), (101, 120)]  # the first word has none before it
+
+
 def test_passages_inside_other_lines(spark):
-    """Repeated runs within longer lines, over line ends and in texts that repeat themselves, against all runs."""
+    """Repeated passages within longer lines, over line ends and in texts that repeat themselves, against all pieces."""
     draw = random.Random(8)
     fresh = lambda k: [f"w{draw.randrange(10**6)}" for _ in range(k)]
-    shared = [fresh(k) for k in (31, 32, 33, 57, 90)]
-    rows = []
-    for i in range(40):
-        words = fresh(draw.randrange(60, 90))
+    shared = [fresh(k) for k in (57, 64, 90, 200)]
+    whole = " ".join(fresh(9))
+    rows, planted = [], []
+    for i in range(60):
+        words, at = fresh(draw.randrange(60, 90)), []
         for _ in range(draw.randrange(3)):
-            words += [w.upper() if draw.random() < 0.1 else w for w in draw.choice(shared)] + fresh(draw.randrange(60, 90))
-        text = "".join(w + draw.choice([" "] * 60 + ["  ", "\n"]) for w in words)
-        rows.append((i, text, "en", "s", 1))
-    rows.append((40, "ha " * 200, "en", "s", 1))
-    size = 32
-    got = {r.doc_id: r for r in remove_near(frame(spark, rows).repartition(3), miss=1e-7, passage_words=size, with_text=True).collect()}
+            k = draw.randrange(len(shared))
+            at.append((k, len(words), len(words) + len(shared[k])))
+            words += [w.upper() if draw.random() < 0.1 else w for w in shared[k]] + fresh(draw.randrange(60, 90))
+        text = "".join(w + draw.choice([" "] * 60 + ["  ", "\n", "\n\n"]) for w in words)
+        planted.append(at)
+        rows.append((i, text.replace("\n\n", f"\n{whole}\n") if i % 4 == 0 else text, "en", "s", 1))
+    rows.append((60, "ha " * 200, "en", "s", 1))
+    reach = 6
+    got = {r.doc_id: r for r in remove_near(frame(spark, rows).repartition(3), miss=1e-7, passage_miss=1e-7, passage_reach=reach, with_text=True).collect()}
     lines = {r.doc_id: r for r in remove_near(frame(spark, rows).repartition(3), miss=1e-7).collect()}
     assert all((got[i].removed, got[i].first_docs) == (lines[i].removed, lines[i].first_docs) for i in lines)
-    firsts, found = {}, 0
+    units, cut = [], {}
+    for i, text, *_ in rows:
+        words, _, ranges = cut[i] = paragraph_dedup.pieces_left(text.encode(), got[i].removed, reach)
+        units += [(i, a, b, _shingles(words[a:b])) for a, b in ranges if b - a > reach]
+    label = list(range(len(units)))
+    for x in range(len(units)):
+        for y in range(x):
+            if len(units[x][3] & units[y][3]) >= 0.8 * len(units[x][3] | units[y][3]) and label[x] != label[y]:
+                old, new = max(label[x], label[y]), min(label[x], label[y])
+                label = [new if k == old else k for k in label]
+    caught, later, before = 0, 0, set()
     for i, text, *_ in rows:
-        words = text.lower().split()
-        gone = set()
-        for p in range(len(words) - size + 1):
-            first = firsts.setdefault(tuple(words[p : p + size]), (i, p))
-            if first[0] != i or p - first[1] >= size:
-                gone.update(range(p, p + size))
-        cut = {k for k, m in enumerate(paragraph_dedup.WORD.finditer(text.encode())) if any(s.start <= m.start() < s.end for s in got[i].spans)}
-        assert cut == gone
-        at = [text[: m.start()].count("\n") for m in paragraph_dedup.WORD.finditer(text.encode())]
-        assert got[i].kept.split() == [w for k, w in enumerate(text.split()) if k not in gone and at[k] not in got[i].removed]
-        found += bool(gone)
-    assert found > 15
+        words = cut[i][0]
+        gone = {k for n, (j, a, b, _) in enumerate(units) if j == i and label[n] != n for k in range(a, b)}
+        kept_lines = [m for m in paragraph_dedup.WORD.finditer(text.encode()) if text.encode()[: m.start()].count(b"\n") not in got[i].removed]
+        assert {k for k, m in enumerate(kept_lines) if any(s.start <= m.start() < s.end for s in got[i].spans)} == gone
+        assert got[i].kept.lower().split() == [w.decode() for k, w in enumerate(words) if k not in gone]
+        for k, *_ in planted[i] if i < 60 and i % 4 else []:
+            later += k in before
+            caught += k in before and bool(gone)
+        before.update(k for k, *_ in (planted[i] if i < 60 else []))
+    assert later > 20
+    assert caught >= 0.95 * later
+
+
+def test_one_line_and_one_passage_in_every_text(spark):
+    draw = random.Random(10)
+    fresh = lambda k: " ".join(f"w{draw.randrange(10**6)}" for _ in range(k))
+    line, passage = fresh(12), fresh(70)
+    rows = [(i, f"{fresh(25)}\n{line}\n{fresh(20)} {passage} {fresh(15)}", "en", "s", 1) for i in range(150)]
+    got = {r.doc_id: r for r in remove_near(frame(spark, rows).repartition(3), passage_reach=6, tile_rows=40).collect()}
+    assert [got[i].removed for i in range(150)] == [[]] + [[1]] * 149
+    assert [bool(got[i].spans) for i in range(150)] == [False] + [True] * 149

@@ -12,9 +12,9 @@ threshold is missed with a probability below `miss`.
    counted against all, no link between clusters can be missed. Only a spanning forest of the links leaves the task.
 4. Components of these links and equal paragraphs form the clusters. The first occurrence (smallest doc_id, then place)
    stays, all others are removed.
-5. Passages (`passage_words`): a run of so many words or more that occurs word for word elsewhere goes too, wherever it
-   begins and ends in its lines. In each run of that length the smallest hash of `KEY` words is an anchor; the run alone
-   decides it, so equal runs share it and only runs around an anchor that occurs again are compared (exact, all found).
+5. Passages (`passage_reach`): what is left of a text is cut into pieces wherever the hash of two words is the smallest
+   of all within so many words on either side. The words alone decide that, across line ends, so a passage repeated
+   inside other lines falls into the same pieces. They go through steps 1 to 4 like lines, and their spans go.
 """
 
 from __future__ import annotations
@@ -33,22 +33,22 @@ from pyspark.sql import functions as F
 
 from vitrine.llm.common import as_bytes
 from vitrine.llm.components import components
-from vitrine.llm.substring_suffixes import MIX, _sliding, joined
+from vitrine.llm.substring_suffixes import MIX, joined
 from vitrine.storage import discard, materialise
 
 TILE_ROWS = 5000
-KEY = 16  # words of an anchor; a power of two
+LONGEST = 50  # words of a piece
 WORD = re.compile(rb"\S+")
 
 
-def tuned(threshold: float, miss: float, most: int = 16) -> tuple[int, int]:
-    """(bands, rows): the most rows a band may have so that `most` bands or fewer miss a pair at `threshold` with a
-    probability of `miss` at most."""
+def tuned(threshold: float, miss: float, most: int = 10) -> tuple[int, int]:
+    """(bands, rows): the most rows a band may have so that `most` bands or fewer (twice as many and so on, if none do)
+    miss a pair at `threshold` with a probability of `miss` at most."""
     for rows in range(8, 0, -1):
         for bands in range(1, most + 1):
             if (1 - threshold**rows) ** bands <= miss:
                 return bands, rows
-    raise ValueError("no number of bands reaches this recall")
+    return tuned(threshold, miss, 2 * most)
 
 
 def shingle_sets(paragraphs: list[list[bytes]], size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -270,18 +270,14 @@ def _verify(threshold: float):
     return run
 
 
-RESULT = "doc_id long, n_paragraphs long, n_removed long, removed array<int>, first_docs array<long>, kept_sha256 string, kept string"
-
-
-def near_paragraphs(documents: DataFrame, *, shingle: int = 5, threshold: float = 0.8, miss: float = 0.001, least_words: int = 5, tile_rows: int = TILE_ROWS) -> tuple[DataFrame, DataFrame]:
-    """The rows read (part, number, doc_id, packed text, names of paragraphs), and what `remove_near` needs of them: for
-    each row with a paragraph that occurs again, the places to remove, those among them that are not the very words of
-    the paragraph that stays (varied), and the first documents of its clusters."""
+def near_units(read: DataFrame, *, shingle: int, threshold: float, miss: float, least_words: int, tile_rows: int) -> DataFrame:
+    """(part, number, removed, first_docs) of each row of `read` (`ROWS`; a unit a line) with a unit that occurs again:
+    the places to remove, and the first documents of its clusters. Of a cluster the first unit stays, in order of
+    doc_id (rows without come last), row and place."""
     bands, rows = tuned(threshold, miss)
-    read = materialise(documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_read(least_words), ROWS), "paragraph-names")
     keyed = read.select("packed").mapInArrow(_bands(shingle, bands, rows, least_words), "key long, name long")
     members = keyed.repartition("key").sortWithinPartitions("key", "name").mapInArrow(_buckets(tile_rows), MEMBER)
-    members = materialise(members.distinct(), "paragraph-buckets")
+    members = materialise(members.distinct(), "unit-buckets")
 
     occurrences = read.select("part", "number", "doc_id", F.posexplode("names").alias("place", "name")).where("name is not null")
     wanted = members.select("name").distinct()
@@ -290,150 +286,131 @@ def near_paragraphs(documents: DataFrame, *, shingle: int = 5, threshold: float
     sets = read.select("part", "number", "packed").join(asked, ["part", "number"]).select("packed", "places").mapInArrow(_fetch(shingle), "name long, shingles binary")
     tiles = members.join(sets, "name").repartition("bucket", "tile_a", "tile_b").sortWithinPartitions("bucket", "tile_a", "tile_b")
     links = tiles.select("bucket", "tile_a", "tile_b", "name", "shingles").mapInArrow(_verify(threshold), "a long, b long")
-    clusters = components(links).select(F.col("node").alias("name"), F.col("component").alias("cluster"))
+    clusters = materialise(components(links).select(F.col("node").alias("name"), F.col("component").alias("cluster")), "unit-clusters")
+    discard(members)
 
-    placed = occurrences.join(clusters, "name", "left").select("part", "number", "doc_id", "place", "name", F.coalesce("cluster", "name").alias("cluster"))
-    # Rows without doc_id come after all others.
-    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.coalesce("doc_id", F.lit(0)).alias("doc"), "part", "number", "place", "name")
+    # Most units occur once and are like no other; only the rest is dealt out by cluster.
+    again = occurrences.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
+    shared = materialise(again.join(clusters, "name", "full").select("name", F.coalesce("cluster", "name").alias("cluster")), "shared-units")
+    placed = materialise(occurrences.join(shared, "name"), "shared-places")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.coalesce("doc_id", F.lit(0)).alias("doc"), "part", "number", "place")
     firsts = placed.groupBy("cluster").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1").select("cluster", "first")
     stays = (F.col("part") == F.col("first.part")) & (F.col("number") == F.col("first.number")) & (F.col("place") == F.col("first.place"))
-    marked = placed.join(firsts, "cluster").select("part", "number", F.when(~stays, F.col("place")).alias("gone"), F.when(~stays & (F.col("name") != F.col("first.name")), F.col("place")).alias("differs"), F.when(~F.col("first.unnamed"), F.col("first.doc")).alias("doc"))
-    decided = marked.groupBy("part", "number").agg(F.sort_array(F.collect_list("gone")).alias("removed"), F.collect_list("differs").alias("varied"), F.sort_array(F.collect_set("doc")).alias("first_docs"))
-    return read, decided
-
-
-def word_anchors(words: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the `KEY`-word runs that are smallest in some `length`-word run (ties all count)."""
-    if len(words) < length:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    h = (np.fromiter(map(zlib.crc32, words), np.uint64, len(words)) + np.uint64(1)) * MIX[0]
-    size = 1
-    for m in MIX[: KEY.bit_length() - 1]:
-        h = (h[:-size] * m) ^ (h[size:] + (h[:-size] >> np.uint64(29)))
-        size *= 2
-    h *= MIX[0]
+    marked = placed.join(firsts, "cluster").select("part", "number", F.when(~stays, F.col("place")).alias("gone"), F.when(~F.col("first.unnamed"), F.col("first.doc")).alias("doc"))
+    return marked.groupBy("part", "number").agg(F.sort_array(F.collect_list("gone")).alias("removed"), F.sort_array(F.collect_set("doc")).alias("first_docs"))
+
+
+def pieces(words: list[bytes], reach: int) -> list[tuple[int, int]]:
+    """Ranges of words between places that are least in their surroundings of `reach` words; at most `LONGEST` words each.
+
+    At such a place the hash of its word and the one before is below all `reach` hashes before it and not above those
+    after it. Places `reach` + 1 words or more inside a passage are the same wherever the passage occurs.
+    """
+    n = len(words)
+    if not n:
+        return []
+    h = (np.fromiter(map(zlib.crc32, words), np.uint64, n) + np.uint64(1)) * MIX[0]
+    h[1:] ^= h[:-1] * MIX[1]
+    h ^= h >> np.uint64(29)
+    h *= MIX[2]
     h ^= h >> np.uint64(32)
-    width = length - KEY + 1
-    pad = np.zeros(width - 1, np.uint64)
-    chosen = np.flatnonzero(h == _sliding(np.concatenate([pad, _sliding(h, width, np.minimum), pad]), width, np.maximum))
-    return chosen, h[chosen]
+    padded = np.concatenate([np.full(reach, np.iinfo(np.uint64).max), h, np.full(reach, np.iinfo(np.uint64).max)])
+    around = np.lib.stride_tricks.sliding_window_view(padded, reach)
+    least = (h < around[:n].min(axis=1)) & (h <= around[reach + 1 : reach + 1 + n].min(axis=1))
+    cuts = np.flatnonzero(least)
+    out, start = [], 0
+    for cut in [*cuts[cuts > 0].tolist(), n]:
+        while cut - start > LONGEST:
+            out.append((start, start + LONGEST))
+            start += LONGEST
+        out.append((start, cut))
+        start = cut
+    return out
+
 
+def pieces_left(text: bytes, removed: list[int], reach: int) -> tuple[list[bytes], np.ndarray, list[tuple[int, int]]]:
+    """Lowered words of the lines of `text` that stay, the line of each, and the ranges of the pieces."""
+    gone, words, lines = set(removed), [], []
+    for i, paragraph in enumerate(paragraphs_of(text)):
+        if i not in gone:
+            words += paragraph
+            lines += [i] * len(paragraph)
+    return words, np.array(lines, np.int64), pieces(words, reach)
 
-def _anchors(length: int):
-    """Anchors of each text, each with the lines that a run around it can meet."""
+
+def _read_pieces(reach: int):
+    """The pieces of what is left of each text, one a line, in the columns of `ROWS`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        expand = zstandard.ZstdDecompressor()
+        expand, press = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            found, lines = [], []
-            for packed in batch.column(2).to_pylist():
-                paragraphs = paragraphs_of(expand.decompress(packed))
-                where, hashes = word_anchors([w for p in paragraphs for w in p], length)
-                line = np.repeat(np.arange(len(paragraphs)), [len(p) for p in paragraphs])
-                found.append((where, hashes))
-                for a in where.tolist():
-                    near = line[max(a - length + KEY, 0) : a + length]
-                    lines.append([int(near[0])] if near[0] == near[-1] else np.unique(near).tolist())
-            sizes = [len(where) for where, _ in found]
-            owner = pa.array(np.repeat(np.arange(len(found)), sizes))
-            where, hashes = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(owner), batch.column(1).take(owner), pa.array(where.astype(np.int32)), pa.array(hashes.view(np.int64)), pa.array(lines, pa.list_(pa.int32()))], names=["part", "number", "place", "anchor", "lines"])
+            packed, names = [], []
+            for text, removed in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
+                words, _, ranges = pieces_left(expand.decompress(text), removed or [], reach)
+                cut = [b" ".join(words[a:b]) for a, b in ranges]
+                names.append([xxhash.xxh3_64_intdigest(c) - (1 << 63) if b - a > reach else None for c, (a, b) in zip(cut, ranges, strict=True)])
+                packed.append(press.compress(b"\n".join(cut)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(packed, pa.binary()), pa.array(names, pa.list_(pa.int64()))], names=[f.split()[0] for f in ROWS.split(", ")])
 
     return run
 
 
-RUN = "part string, number long, doc_id long, place int, run long, whole boolean, start int, end int"
-
-
-def _runs(length: int):
-    """The `length`-word runs around the anchors listed beside each text: name, whether no varied line is in it, bytes.
-
-    A run with no word outside removed lines is gone with them and is left out.
-    """
+def _spans(reach: int):
+    """Bytes of the pieces to remove of each text, broken where lines are removed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         expand = zstandard.ZstdDecompressor()
         for batch in batches:
-            x, rows = batch.to_pydict(), []
-            for part, number, doc_id, packed, anchored, removed, varied in zip(*x.values(), strict=True):
+            out = []
+            for packed, removed, chosen in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
                 text = expand.decompress(packed)
+                _, lines, ranges = pieces_left(text, removed or [], reach)
+                gone = set(removed or [])
                 places = [m.span() for m in WORD.finditer(text)]
-                words = text.lower().split()
                 breaks = np.flatnonzero(np.frombuffer(text, np.uint8) == 10)
-                line = np.searchsorted(breaks, [a for a, _ in places])
-                differs = np.concatenate(([0], np.cumsum(np.isin(line, varied or []))))
-                stays = np.concatenate(([0], np.cumsum(~np.isin(line, removed or []))))
-                starts = np.unique(np.array(anchored)[:, None] - np.arange(length - KEY + 1))
-                for p in starts[(starts >= 0) & (starts + length <= len(words))].tolist():
-                    end = p + length
-                    if stays[p] == stays[end]:
-                        continue
-                    rows.append((part, number, doc_id, p, _name(words[p:end]), bool(differs[p] == differs[end]), places[p][0], places[end - 1][1]))
-                if len(rows) > 20_000:
-                    yield _run_batch(rows)
-                    rows = []
-            yield _run_batch(rows)
+                places = [x for x, i in zip(places, np.searchsorted(breaks, [a for a, _ in places]).tolist(), strict=True) if i not in gone]
+                spans = []
+                for a, b in (ranges[i] for i in chosen):
+                    # A jump over removed lines parts a span; lines without words do not.
+                    jumps = [k for k in range(a + 1, b) if any(line in gone for line in range(int(lines[k - 1]) + 1, int(lines[k])))]
+                    for low, high in zip([a, *jumps], [*jumps, b], strict=True):
+                        spans.append((places[low][0], places[high - 1][1]))
+                out.append([{"start": a, "end": b} for a, b in joined(spans)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))], names=["part", "number", "spans"])
 
     return run
 
 
-def _run_batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) if rows else [[]] * 8
-    kinds = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.int32(), pa.int32())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[f.split()[0] for f in RUN.split(", ")])
-
-
-def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        spans = [[{"start": a, "end": b} for a, b in joined([(s["start"], s["end"]) for s in found])] for found in batch.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))], names=["part", "number", "spans"])
-
-
-def repeated_passages(read: DataFrame, decided: DataFrame, length: int) -> DataFrame:
-    """(part, number, spans) of each row with a run of `length` words to remove, from what `near_paragraphs` returns.
-
-    Of equal runs the first stays (order of `near_paragraphs`), counted among those without a varied line: so each word
-    that goes is left in an earlier place. A run that overlaps the first one in its own text stays too.
-    """
-    if length < KEY:
-        raise ValueError(f"passages must be {KEY} words or more")
-    anchors = materialise(read.select("part", "number", "packed").mapInArrow(_anchors(length), "part string, number long, place int, anchor long, lines array<int>"), "passage-anchors")
-    again = lambda x: x.join(x.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "anchor")
-    # Most anchors that occur again do so in removed lines only.
-    lines = decided.select("part", "number", "removed", "varied")
-    beside = again(anchors).join(lines.select("part", "number", "removed"), ["part", "number"], "left").where("removed is null or size(array_except(lines, removed)) > 0")
-    left = materialise(beside.select("part", "number", "place", "anchor"), "passage-anchors")
-    discard(anchors)
-    anchored = again(left).groupBy("part", "number").agg(F.collect_list("place").alias("anchored"))
-    around = read.select("part", "number", "doc_id", "packed").join(anchored, ["part", "number"]).join(lines, ["part", "number"], "left")
-    runs = materialise(around.select("part", "number", "doc_id", "packed", "anchored", "removed", "varied").mapInArrow(_runs(length), RUN), "passages")
-    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.coalesce("doc_id", F.lit(0)).alias("doc"), "part", "number", "place")
-    firsts = runs.groupBy("run").agg(F.min(F.when(F.col("whole"), order)).alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null").select("run", "first")
-    own = (F.col("part") == F.col("first.part")) & (F.col("number") == F.col("first.number")) & (F.col("place") < F.col("first.place") + length)
-    gone = runs.join(firsts, "run").where((order > F.col("first")) & ~own)
-    return gone.groupBy("part", "number").agg(F.collect_list(F.struct("start", "end")).alias("found")).mapInArrow(_spans, "part string, number long, spans array<struct<start: int, end: int>>")
-
-
-def remove_near(documents: DataFrame, *, with_text: bool = False, passage_words: int | None = None, **options) -> DataFrame:
+def remove_near(
+    documents: DataFrame, *, with_text: bool = False, passage_reach: int | None = None, shingle: int = 5, threshold: float = 0.8, miss: float = 0.001, passage_miss: float = 0.06, least_words: int = 5, tile_rows: int = TILE_ROWS
+) -> DataFrame:
     """One row per row of `documents` (doc_id, text): doc_id, n_paragraphs (lines), n_removed, removed (their places,
     from 0), first_docs (doc_ids whose paragraph stays for each cluster with a paragraph of this row, its own included);
-    with `passage_words` also spans (bytes from start to end, in order, that repeated runs of so many words cover; they
-    may reach into removed lines); with `with_text` also kept (the text without the removed lines and spans).
+    with `passage_reach` also spans (bytes from start to end, in order, of pieces that occur before, in what the lines
+    left); with `with_text` also kept (the text without the removed lines and spans).
 
-    Paragraphs of fewer than `least_words` words are never removed. Of equal places, the row that stays is the one of
-    the smallest doc_id; rows without doc_id come last. Null texts are empty: one line, no words. No rows, no result.
+    Paragraphs of fewer than `least_words` words are never removed, nor pieces of `passage_reach` words or fewer. Of
+    equal places, the row that stays is the one of the smallest doc_id; rows without doc_id come last. Null texts are
+    empty: one line, no words. No rows, no result. Pairs just at the threshold are missed with a probability of `miss`
+    (lines) and `passage_miss` (pieces) at most; equal ones never.
     """
-    read, decided = near_paragraphs(documents, **options)
-    if passage_words is not None:
-        decided = materialise(decided, "paragraphs-removed")
+    options = {"shingle": shingle, "threshold": threshold, "tile_rows": tile_rows}
+    read = materialise(documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_read(least_words), ROWS), "paragraph-names")
+    decided = near_units(read, miss=miss, least_words=least_words, **options)
     columns = ["part", "number", "doc_id", F.size("names").cast("long").alias("n_paragraphs")] + ["packed"] * with_text
     none = lambda kind: F.expr(f"cast(array() as array<{kind}>)")
     removed = F.coalesce("removed", none("int"))
     passages = []
-    rows = read.select(*columns).join(decided, ["part", "number"], "left")
-    if passage_words is not None:
-        rows = rows.join(repeated_passages(read, decided, passage_words), ["part", "number"], "left")
+    if passage_reach is not None:
+        decided = materialise(decided, "paragraphs-removed")
+        left = read.join(decided, ["part", "number"], "left").select("part", "number", "doc_id", "packed", "removed")
+        cut = materialise(left.mapInArrow(_read_pieces(passage_reach), ROWS), "pieces")
+        chosen = near_units(cut, miss=passage_miss, least_words=passage_reach + 1, **options).where("size(removed) > 0").select("part", "number", F.col("removed").alias("chosen"))
+        spans = left.join(chosen, ["part", "number"]).select("part", "number", "packed", "removed", "chosen").mapInArrow(_spans(passage_reach), "part string, number long, spans array<struct<start: int, end: int>>")
         passages = [F.coalesce("spans", none("struct<start: int, end: int>")).alias("spans")]
+    rows = read.select(*columns).join(decided, ["part", "number"], "left")
+    if passage_reach is not None:
+        rows = rows.join(spans, ["part", "number"], "left")
     out = rows.select("doc_id", "n_paragraphs", F.size(removed).cast("long").alias("n_removed"), removed.alias("removed"), F.coalesce("first_docs", none("bigint")).alias("first_docs"), *passages, *["packed"] * with_text)
     return out.mapInArrow(_keep, ", ".join(f"{c} {kind}" for c, kind in out.dtypes if c != "packed") + ", kept string") if with_text else out
 

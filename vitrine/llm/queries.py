@@ -37,7 +37,7 @@ def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_paragraph_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return paragraph_dedup.remove_near(_table(spark, folder, "documents"), shingle=5, threshold=0.8, passage_words=32)
+    return paragraph_dedup.remove_near(_table(spark, folder, "documents"), shingle=5, threshold=0.8, passage_reach=6)
 
 
 def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
