@@ -1,4 +1,5 @@
 import random
+import time
 import tracemalloc
 
 import numpy as np
@@ -43,6 +44,49 @@ def test_blocks():
     assert blocks_of("<div" * 50_000) == []
 
 
+def _texts(page):
+    return [b.text for b in blocks_of(page)]
+
+
+def test_no_text_is_lost_but_that_of_scripts_styles_titles_and_text_areas():
+    assert _texts('<p>before</p><svg viewBox="0"/><p>after</p>') == ["before", "after"]
+    assert _texts("<p>one</p><svg><g><path d='M0'/><circle r=1 /><text>label</text></g></svg><p>two</p>") == ["one", "label", "two"]
+    assert _texts("<p>one<noscript><p>two<p>three") == ["one", "two", "three"]
+    assert _texts("<p>if <math><mi>x</mi><mo>=</mo><mn>2</mn></math> then</p>") == ["if x=2 then"]
+    for name in ("object", "canvas", "iframe", "template", "noscript"):
+        assert _texts(f"<p>one</p><{name}>two</{name}><p>three") == ["one", "two", "three"]
+        assert _texts(f"<p>one</p><{name}>two<p>three") == ["one", "two", "three"]
+    for name in ("script", "style", "title", "textarea"):
+        assert _texts(f"<p>one</p><{name}>two</{name} ><p>three") == ["one", "three"]
+        assert _texts(f"<p>one</p><{name}>two<p>three") == ["one"]
+    assert _texts("<p title=it's>Hello</p><p title=it's>you</p>") == ["Hello", "you"]
+    assert _texts("<p title='it > \"x\"' a = \"b>c\">Hello</p><i a=\"unclosed>x</i>") == ["Hello", "x"]
+    assert _texts("<ul><li>a<ul><li>b<li>c</ul>d<li>e</ul><table><tr><td>f<td>g<tr><td>h</table>") == ["a", "b", "c", "d", "e", "f", "g", "h"]
+
+
+def test_all_names_of_a_path_count(network):
+    words = " ".join(f"w{i}" for i in range(60))
+    assert "aside" in blocks_of(f'<aside><div class="{words}"><p>text</p></div></aside>')[0].path
+    opening = "<aside>" + f'<div class="{words}">' * 9
+    block = blocks_of(opening + "<p>text</p>")[0]
+    names = list(block.path)
+    assert len(names) == 1 + 9 * 61 + 1 and names[0] == "aside" and stated_label(block.path) == 0
+    assert list(reversed(block.path)) == names[::-1]
+    flat = np.mean([network.names[html_text._row(n)] for n in names], axis=0)
+    other = blocks_of("<p>x</p>")[0]
+    assert np.allclose(network.inputs([rows_of(other), rows_of(block), rows_of(block)])[1:, : html_text.VECTOR], flat)
+
+
+def test_junk_is_read_in_linear_time(network):
+    n = 40_000
+    pages = ["<i>a</b>" * n, "<i>" * n + "<div></div>" * n, "<div>" * n + "<li></li>" * n, "<li><ul>" + "<div>" * n + "<li></li>" * n, "<div>x" * n, "<svg><a>" * n + "x", "<p a='" * n, "</p>" * n]
+    began = time.process_time()
+    found = [blocks_of(p) for p in pages]
+    assert time.process_time() - began < 30
+    assert [len(f) for f in found[:2]] == [1, 0] and len(found[4]) == n
+    assert len(probabilities(network, [[rows_of(b) for b in found[4]]])[0]) == n
+
+
 def test_stated_labels():
     assert stated_label(("html", "article", "p")) == 1
     assert stated_label(("article", "aside", "p")) == stated_label(("div", ".comments", "article", ".comment", "p")) == stated_label(("header", "h1")) == 0

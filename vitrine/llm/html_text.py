@@ -12,6 +12,7 @@ is mixed in, so that the network learns what surrounds an article and not only i
 
 from __future__ import annotations
 
+import bisect
 import html
 import random
 import re
@@ -30,8 +31,9 @@ from vitrine.llm.common import per_worker
 
 #: HTML elements by the way they part text.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = set("script style noscript template iframe textarea title svg math object canvas".split())
-BLOCKS = set("address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table tbody td tfoot th thead tr ul".split())
+SILENT = set("script style textarea title".split())
+FOREIGN = {"svg", "math"}
+BLOCKS = set("address article aside blockquote body button canvas caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html iframe legend li main menu nav noscript object ol optgroup option p pre search section select summary svg table tbody td template tfoot th thead tr ul".split())
 #: An element that begins closes an open one of these kinds, up to the given parents.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "option": ({"option"}, {"select"}),
@@ -39,7 +41,7 @@ CLOSES = {
 }
 #: What element names and class words say about their content.
 ARTICLE_TAGS = {"article", "main"}
-FURNITURE_TAGS = set("nav aside footer form button select dialog menu fieldset".split())
+FURNITURE_TAGS = set("nav aside footer form button select dialog menu fieldset noscript template iframe canvas svg".split())
 ARTICLE_WORDS = set("article articlebody content entry maincontent post postcontent story".split())
 FURNITURE_WORDS = set(
     "ad ads advert advertisement adverts banner breadcrumb breadcrumbs byline comment comments consent cookie cookies copyright disclaimer disqus footer"
@@ -47,16 +49,43 @@ FURNITURE_WORDS = set(
     " sidebar signup social sponsor sponsored subscribe tags teaser toolbar widget".split()
 )
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.DOTALL)
+# A quote opens a value only after an equals sign: title=it's has none.
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:=\s*+(?:\"[^\"]*+\"|'[^']*+')|[^<>])*+)>|[^<]+|<", re.DOTALL)
 NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 WORDS = re.compile(r"[a-z0-9]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
-DEEPEST = 48  # names of a path that count, from the inside
+SHORT = 256  # names of a path that is kept as a tuple
+
+
+class Deep:
+    """A path of many names: those of its last element and the path above it, so deep pages cost one node an element."""
+
+    __slots__ = ("above", "own", "size")
+
+    def __init__(self, above: tuple[str, ...] | Deep, own: tuple[str, ...]) -> None:
+        self.above, self.own, self.size = above, own, len(above) + len(own)
+
+    def __len__(self) -> int:
+        return self.size
+
+    def __reversed__(self) -> Iterator[str]:
+        path = self
+        while isinstance(path, Deep):
+            yield from reversed(path.own)
+            path = path.above
+        yield from reversed(path)
+
+    def __iter__(self) -> Iterator[str]:
+        return reversed(list(reversed(self)))
+
+
+def below(path: tuple[str, ...] | Deep, names: tuple[str, ...]) -> tuple[str, ...] | Deep:
+    return path + names if isinstance(path, tuple) and len(path) + len(names) <= SHORT else Deep(path, names)
 
 
 @dataclass
 class Block:
-    path: tuple[str, ...]  # element names and, marked by a dot, class words; outermost first
+    path: tuple[str, ...] | Deep  # element names and, marked by a dot, class words; outermost first
     text: str
     linked: int  # characters inside links
 
@@ -70,12 +99,50 @@ def _names(attributes: str) -> tuple[str, ...]:
     return tuple("." + w for w in words)
 
 
+class _Open:
+    """Open elements of a page, found by name without a search, so that junk of any size is read in linear time."""
+
+    def __init__(self) -> None:
+        self.names: list[str] = []
+        self.paths: list[tuple[str, ...] | Deep] = [()]
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []  # places of block-level elements
+
+    def push(self, tag: str, path: tuple[str, ...] | Deep) -> None:
+        self.places.setdefault(tag, []).append(len(self.names))
+        if tag in BLOCKS:
+            self.blocks.append(len(self.names))
+        self.names.append(tag)
+        self.paths.append(path)
+
+    def close(self, depth: int) -> None:
+        """Close all elements from `depth` on."""
+        while len(self.names) > depth:
+            tag = self.names.pop()
+            self.places[tag].pop()
+            self.paths.pop()
+        while self.blocks and self.blocks[-1] >= depth:
+            self.blocks.pop()
+
+    def last(self, tag: str) -> int | None:
+        found = self.places.get(tag)
+        return found[-1] if found else None
+
+    def first_after(self, tags: set[str], place: int) -> int | None:
+        found = [x[bisect.bisect_right(x, place)] for x in map(self.places.get, tags) if x and x[-1] > place]
+        return min(found) if found else None
+
+
 def blocks_of(page: str) -> list[Block]:
-    """Leaf blocks in page order: references decoded, white space inside made one space, empty ones left out."""
+    """Leaf blocks in page order: references decoded, white space inside made one space, empty ones left out.
+
+    Text of scripts, styles, titles and text areas is none of the page's, up to their end or that of the page. All other
+    text is part of some block, whatever its element.
+    """
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    open_ = _Open()
     parts: list[str] = []
-    linked = links = at = 0
+    linked = at = 0
     last = page.rfind(">")
 
     def flush() -> None:
@@ -83,17 +150,14 @@ def blocks_of(page: str) -> list[Block]:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                out.append(Block(stack[-1][1] if stack else (), text, min(linked, len(text))))
+                out.append(Block(open_.paths[-1], text, min(linked, len(text))))
             parts.clear()
         linked = 0
 
-    def pop(depth: int) -> None:
-        """Close all elements from `depth` on."""
-        nonlocal links
-        if any(tag in BLOCKS for tag, _ in stack[depth:]):
+    def close(depth: int) -> None:
+        if open_.blocks and open_.blocks[-1] >= depth:
             flush()
-        links -= sum(tag == "a" for tag, _ in stack[depth:])
-        del stack[depth:]
+        open_.close(depth)
 
     while at < len(page):
         match = TOKEN.match(page, at)
@@ -105,14 +169,14 @@ def blocks_of(page: str) -> list[Block]:
             token = match[0]
             if token[0] != "<" or token == "<":
                 parts.append(token)
-                if links:
+                if open_.places.get("a"):
                     linked += len(token)
             continue
         tag = tag.lower()
         if match[1]:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
+            depth = open_.last(tag)
             if depth is not None:
-                pop(depth)
+                close(depth)
             elif tag in BLOCKS:
                 flush()
             continue
@@ -122,32 +186,24 @@ def blocks_of(page: str) -> list[Block]:
             elif tag == "br":
                 parts.append(" ")
             continue
+        if match[3].endswith("/") and (tag in FOREIGN or any(open_.places.get(x) for x in FOREIGN)):
+            if tag in BLOCKS:
+                flush()
+            continue
         if tag in SILENT:
             end = re.compile(f"</{tag}\\b[^>]*>", re.IGNORECASE).search(page, at)
             at = end.end() if end else len(page)
             continue
         if tag in BLOCKS:
             flush()
-            for i in range(len(stack) - 1, -1, -1):
-                name = stack[i][0]
-                if name == "p":
-                    pop(i)
-                    break
-                if name in BLOCKS:
-                    break
+            if open_.blocks and open_.names[open_.blocks[-1]] == "p":
+                close(open_.blocks[-1])
             if tag in CLOSES:
                 kinds, parents = CLOSES[tag]
-                depth = None
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] in parents:
-                        break
-                    if stack[i][0] in kinds:
-                        depth = i
+                depth = open_.first_after(kinds, max((x[-1] for x in map(open_.places.get, parents) if x), default=-1))
                 if depth is not None:
-                    pop(depth)
-        above = stack[-1][1] if stack else ()
-        stack.append((tag, (above + (tag, *_names(match[3])))[-DEEPEST:]))
-        links += tag == "a"
+                    close(depth)
+        open_.push(tag, below(open_.paths[-1], (tag, *_names(match[3]))))
     flush()
     return out
 
@@ -177,11 +233,13 @@ def _row(name: str) -> int:
     return zlib.crc32(name.encode("utf-8", "replace")) % TABLE
 
 
-def rows_of(block: Block) -> tuple[list[int], list[int], list[float]]:
+def rows_of(block: Block) -> tuple[list[int] | Deep, list[int], list[float]]:
+    """Table rows of the path's names (or the path itself, if deep) and of the words, and figures of the block's shape."""
     text, words = block.text, TEXT_WORD.findall(block.text.lower())
     stops = sum(text.count(c) for c in ".!?")
     shape = [min(np.log1p(len(text)) / 8, 2.0), min(len(words) / 100, 2.0), block.linked / len(text), stops / (len(words) + 1), float(text[-1] in ".!?"), min(len(block.path) / 10, 2.0)]
-    return [_row(n) for n in block.path if n not in ("html", "body")] or [_row("")], [_row("\t" + w) for w in words] or [_row("")], shape
+    names = block.path if isinstance(block.path, Deep) else [_row(n) for n in block.path if n not in ("html", "body")] or [_row("")]
+    return names, [_row("\t" + w) for w in words] or [_row("")], shape
 
 
 @dataclass
@@ -202,14 +260,31 @@ class Network:
 
     def inputs(self, blocks: list[tuple]) -> np.ndarray:
         x = np.empty((len(blocks), INPUT))
+        deep = [(i, b[0]) for i, b in enumerate(blocks) if isinstance(b[0], Deep)]
+        if deep:
+            blocks = [([0], *b[1:]) if isinstance(b[0], Deep) else b for b in blocks]
         for part, table, k in ((slice(0, VECTOR), self.names, 0), (slice(VECTOR, 2 * VECTOR), self.words, 1)):
             sizes = np.fromiter((len(b[k]) for b in blocks), np.int64, len(blocks))
             rows = np.fromiter((r for b in blocks for r in b[k]), np.int64, int(sizes.sum()))
             starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
             x[:, part] = np.add.reduceat(table[rows], starts, axis=0) / sizes[:, None]
         x[:, 2 * VECTOR :] = [b[2] for b in blocks]
+        sums: dict[int, np.ndarray] = {}
+        for i, path in deep:
+            x[i, :VECTOR] = self._sum(path, sums) / len(path)
         return x
 
+    def _sum(self, path: Deep, sums: dict[int, np.ndarray]) -> np.ndarray:
+        """Sum of the vectors of all names of a deep path; each element is added once for all paths through it."""
+        chain = []
+        while isinstance(path, Deep) and id(path) not in sums:
+            chain.append(path)
+            path = path.above
+        total = sums[id(path)] if isinstance(path, Deep) else self.names[[_row(n) for n in path]].sum(axis=0)
+        for node in reversed(chain):
+            total = sums[id(node)] = total + self.names[[_row(n) for n in node.own]].sum(axis=0)
+        return total
+
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
@@ -343,6 +418,7 @@ FURNITURE = [
     (("div", ".comments", "div", ".comment", "p"), [], (5, 50), False), (("section", ".comments", "h3"), ["Comments", "Leave a reply"], (1, 3), False), (("ul", ".replies", "li", ".comment"), [], (4, 40), False), (("div", ".comment", "span"), [], (1, 4), False),
     (("div", ".related", "ul", "li", "a"), [], (3, 10), True), (("div", ".share", "a"), ["Share", "Tweet", "E-mail this"], (1, 2), True), (("div", ".breadcrumb", "a"), [], (1, 3), True), (("div", ".tags", "a"), [], (1, 2), True),
     (("footer", "p"), ["© all rights reserved", "Privacy policy", "Terms of use"], (3, 12), False), (("footer", "div", "a"), [], (1, 3), True), (("div", ".footer"), ["© 2020"], (2, 10), False), (("div", ".copyright"), ["© all rights reserved"], (2, 8), False),
+    (("svg", "text"), ["Menu", "Search"], (1, 3), False), (("noscript",), ["Please enable JavaScript"], (3, 12), False), (("div", "canvas"), [], (1, 8), False),
 ]
 BODIES = [("article",), ("main", "article"), ("div", ".content"), ("div", ".post", "div", ".entry"), ("div", ".wrap", "div"), ("section",), ("div", ".story"), ("td",), ("main",), ("div",)]
 PLAIN = "the of and to a in is it that was for on are with as his they be at one have this from or had by not but what some we can out other were all there when up use".split()
@@ -393,7 +469,7 @@ def training_set(pages: list[str], seed: int = 5, composed_pages: int = 500) ->
         blocks = blocks_of(page)
         stated = [stated_label(b.path) for b in blocks]
         paragraphs += [b.text for b, s in zip(blocks, stated, strict=True) if s == 1]
-        if 1 not in stated:
+        if 1 not in stated or any(isinstance(b.path, Deep) for b in blocks):
             continue
         labels = np.array([s or 0 for s in stated], float)
         out.append(([rows_of(b) for b in blocks], labels))
@@ -409,9 +485,10 @@ def training_set(pages: list[str], seed: int = 5, composed_pages: int = 500) ->
 # ---- operator -----------------------------------------------------------------------------------------------------
 
 
-def train(pages: DataFrame, *, training_pages: int = 250) -> Network:
-    """Network trained on about `training_pages` rows of `pages` (page_id, html) at most, chosen by a hash of page_id."""
-    known = pages.where("page_id is not null and html is not null")
+def train(pages: DataFrame, *, training_pages: int = 250, longest: int = 500_000) -> Network:
+    """Network trained on about `training_pages` rows of `pages` (page_id, html) at most, chosen by a hash of page_id among
+    those of up to `longest` characters; so what the driver holds is bounded."""
+    known = pages.where("page_id is not null").where(F.length("html") <= longest)
     share = training_pages / max(known.count(), 1)
     chosen = known.where(F.pmod(F.xxhash64("page_id"), F.lit(1_000_003)) < share * 1_000_003).select(F.col("page_id").cast("string").alias("k"), "html")
     rows = sorted((r.k, r.html) for r in chosen.toLocalIterator())
