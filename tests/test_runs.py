@@ -1,11 +1,14 @@
 """Selecting the outputs of a run, item lists with a best-seller, and limits of similarity."""
 
+import random
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from fixtures import ACCOUNT, CATALOG, RETAILER
+from vitrine.functions import filters
 from vitrine.operators import collab, pairs, similarity
 from vitrine.plans import fan_out
 from vitrine.plans.strategy import AccountSettings, Strategy
@@ -35,21 +38,31 @@ def test_views_and_most_popular_share_their_start():
     assert keys[0] == keys[1]
 
 
+NONE = '{"type": "and", "filters": []}'
+SAME_GRADE = '{"type": "and", "filters": [{"type": "in", "left": {"type": "field", "field": "grade"}, "right": {"type": "function", "value": "items_from_base_recommendation_on"}}]}'
+
+
 @pytest.mark.parametrize("bucketed", [False, True])
-def test_lists_cut_early_equal_lists_cut_late(spark, bucketed):
-    """One best-seller stands in every list; many scores tie."""
-    rows = spark.range(4000).select(
-        F.concat(F.lit("K"), F.col("id") % 8).alias("lookup_key"), (F.xxhash64("id") % 40).alias("score"),
-        F.concat(F.lit("S"), F.xxhash64(F.col("id") + 1) % 500).alias("id"), F.lit("red").alias("color"),
-        F.concat(F.lit("i"), F.col("id") % 97).alias("image_link"), F.concat(F.lit("a,b"), F.col("id") % 5).alias("product_type"),
+@pytest.mark.parametrize("dynamic", [False, True])
+def test_lists_cut_early_equal_lists_cut_late(spark, monkeypatch, bucketed, dynamic):
+    """One best-seller stands in every list; many scores tie; products share looks; two accounts count the same pairs."""
+    draw = random.Random(4)
+    catalog = spark.createDataFrame(
+        [
+            (f"S{n:04}", f"P{n % 90}", draw.choice(["red", None]), draw.choice([f"i{n % 50}", f"j{n}", None]), draw.choice(["a,b", "a", "b,c", None]), draw.choice(['{"grade": "x"}', '{"grade": "y"}', "{}"]))
+            for n in range(600)
+        ],
+        "id string, item_group_id string, color string, image_link string, product_type string, custom string",
     )
-    got = collab.sku_lists(rows, bucketed, limit=7)
-    whole = collab.collapsed(rows, bucketed)
-    from vitrine.operators import ranking
-
-    place = ["lookup_key", *([ranking.BUCKET] if bucketed else [])]
-    late = ranking.ranked_pairs(ranking.exploded(whole) if bucketed else whole, place, 7).select(got.columns)
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, late.collect()))
+    pairs_ = spark.createDataFrame([(a, f"P{k}", f"P{p}", draw.randrange(4)) for a in (1, 2) for k in range(12) for p in [0, *draw.sample(range(1, 90), 45)]], "account_id bigint, lookup_key string, product_id string, score bigint")
+    fields = {"grade": "STRING"}
+    own = replace(filters.split_for_pairs(SAME_GRADE if dynamic else NONE, fields), bucketed=bucketed)
+    shared = filters.split_for_pairs(filters.no_filter(), fields)
+    early = collab.explode_pairs(pairs_, catalog, own, shared, fields, limit=7)
+    got = sorted(map(tuple, early.collect()))
+    monkeypatch.setattr(collab, "within_reach", lambda rows, *_: rows.drop("lane"))
+    assert got == sorted(map(tuple, collab.explode_pairs(pairs_, catalog, own, shared, fields, limit=7).collect()))
+    assert len(got) > 60
 
 
 def test_pairs_of_baskets_of_all_sizes(spark, monkeypatch):

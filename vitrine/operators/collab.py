@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from vitrine.functions import filters, product_types
@@ -86,20 +88,36 @@ def collapsed(sku_pairs: DataFrame, bucketed: bool, per: tuple[str, ...] = ()) -
     return sku_pairs.groupBy(*keys).agg(F.max("id").alias("id"))
 
 
-def within_reach(sku_pairs: DataFrame, bucketed: bool, per: tuple[str, ...] = (), limit: int = ranking.PAIR_LIMIT) -> DataFrame:
-    """Rows among the `limit` best scores of their lookup key (in buckets: of each product type under it).
+def attribute_sets(candidates: DataFrame, names: list[str]) -> DataFrame:
+    """(product_id, *names, top, lane) of every product and attribute set: its highest SKU, and whether it fills a place.
+
+    Highest SKUs of different looks are never collapsed into one. Of the sets whose highest SKUs share a look, one has
+    lane 0 and the others a lane of their own.
+    """
+    sets = candidates.groupBy(F.col("item_group_id").alias("product_id"), *names).agg(F.max(F.struct("id", *LOOK)).alias("top"))
+    look = [F.col(f"top.{c}").alias(f"_{c}") for c in LOOK] + ([F.col("product_type").alias("_product_type")] if "product_type" in names else [])
+    chosen = F.struct("top.id", "product_id", *names)
+    first = sets.groupBy(*look).agg(F.max(chosen).alias("chosen"))
+    alike = [F.col(c).eqNullSafe(first[f"_{c.rpartition('.')[2]}"]) for c in [*[f"top.{c}" for c in LOOK], *(["product_type"] if "product_type" in names else [])]]
+    lane = F.when(chosen.eqNullSafe(F.col("chosen")), F.lit(0).cast("long")).otherwise(F.xxhash64("product_id", "top.id", *names))
+    return sets.join(first, reduce(Column.__and__, alike)).select("product_id", *names, "top", lane.alias("lane"))
+
+
+def within_reach(set_pairs: DataFrame, bucketed: bool, per: tuple[str, ...] = (), limit: int = ranking.PAIR_LIMIT) -> DataFrame:
+    """Attribute sets under a lookup key (in buckets: of each product type) whose SKUs can be among its `limit` best.
 
-    Exact: each better score fills at least one place of every list that a row could enter. Spark prunes the window
-    inside each task, so most rows of a long list go before the first shuffle.
+    Each set in lane 0 fills a place of its own with its highest SKU, whatever ties there are, and places go by score and
+    id; so `limit` of them rule out all that come after (exact). Equal pairs of several accounts share a place. Spark
+    applies the limit inside each task before the shuffle.
     """
-    place = [*per, "lookup_key", *(["product_type"] if bucketed else [])]
-    by_score = Window.partitionBy(*place).orderBy(F.col("score").desc())
-    return sku_pairs.withColumn("nth", F.dense_rank().over(by_score)).where(F.col("nth") <= limit).drop("nth")
+    place = [*per, "lookup_key", *(["product_type"] if bucketed else []), "lane"]
+    best = Window.partitionBy(*place).orderBy(F.col("score").desc(), F.col("top.id").desc())
+    return set_pairs.withColumn("nth", F.dense_rank().over(best)).where(F.col("nth") <= limit).drop("nth", "lane")
 
 
 def sku_lists(sku_pairs: DataFrame, bucketed: bool, per: tuple[str, ...] = (), limit: int = ranking.PAIR_LIMIT) -> DataFrame:
     """Top SKUs per lookup key (and product-type bucket)."""
-    rows = collapsed(within_reach(sku_pairs, bucketed, per, limit), bucketed, per)
+    rows = collapsed(sku_pairs, bucketed, per)
     partition = [*per, "lookup_key"]
     if bucketed:
         rows, partition = ranking.exploded(rows), [*partition, ranking.BUCKET]
@@ -117,18 +135,25 @@ def explode_pairs(
 ) -> DataFrame:
     """Scored product pairs to ranked SKU lists of `limit` places, under the strategy's and the account's filters.
 
-    A best-seller stands in most lists; its pairs are dealt over SHARES keys, and its SKUs copied to each.
+    Pairs first meet the attribute sets of their products, which decide on dynamic filters and on what a list can hold;
+    only the sets that stay are exploded to SKUs. A best-seller stands in most lists; its pairs are dealt over SHARES
+    keys, and its sets and SKUs copied to each.
     """
     bucketed = strategy_filters.bucketed or global_filters.bucketed
     dynamic_fields = sorted({*strategy_filters.dynamic_fields, *global_filters.dynamic_fields})
+    names = attribute_columns(dynamic_fields) + (["product_type"] if bucketed else [])
     candidates = recommendable(static_part(catalog, strategy_filters, global_filters, fields), dynamic_fields, fields, bucketed, limit)
+    sets = _with_parsed_list(attribute_sets(candidates, names), dynamic_fields)
+    every = F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1)))
     dealt = pairs.withColumn("share", F.pmod(F.xxhash64("lookup_key"), F.lit(SHARES)).cast("int"))
-    copies = candidates.withColumnRenamed("item_group_id", "product_id").withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
-    rows = dealt.join(copies, ["product_id", "share"]).drop("share")
+    rows = dealt.join(sets.withColumn("share", every), ["product_id", "share"])
     if dynamic_fields:
         contexts = context_items(catalog, dynamic_fields, fields)
         rows = against_base_item(rows, contexts, [strategy_filters.dynamic, global_filters.dynamic])
-    return sku_lists(rows, bucketed, per, limit)
+    kept = within_reach(rows, bucketed, per, limit).select(*per, "lookup_key", "product_id", "share", "score", *names)
+    own = candidates.select(F.col("item_group_id").alias("_product"), F.col("id"), *LOOK, *[F.col(n).alias(f"_{n}") for n in names], every.alias("_share"))
+    same = [F.col("product_id") == F.col("_product"), F.col("share") == F.col("_share"), *[F.col(n).eqNullSafe(F.col(f"_{n}")) for n in names]]
+    return sku_lists(kept.join(own, reduce(Column.__and__, same)), bucketed, per, limit)
 
 
 def static_part(catalog: DataFrame, first: PairFilters, second: PairFilters, fields: Fields) -> DataFrame:

@@ -52,10 +52,18 @@ def _frequent_products(baskets: DataFrame, minimum_count: int) -> DataFrame:
 
 
 def _pairs_of_small(rows: DataFrame, key: tuple[str, ...], item: list[str], condition: Column) -> DataFrame:
-    """All fitting pairs of baskets of at most BASKET_ROWS rows: one shuffle, then pairs are formed where a basket lies."""
-    baskets = rows.groupBy(*key).agg(F.collect_list(F.struct(*item)).alias("items"))
-    left = baskets.select(F.explode("items").alias("one"), "items")
-    both = left.select("one", F.explode("items").alias("two"))
+    """All fitting pairs of baskets of at most BASKET_ROWS rows: one shuffle, then pairs are formed where a basket lies.
+
+    A basket is sorted by `item`, whose first column is the one that `condition` orders by; each item meets only those
+    after it, so no pair is formed twice and no basket is copied for each of its items.
+    """
+    baskets = rows.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct(*item))).alias("items")).where(F.size("items") > 1)
+
+    def with_later(one: Column, place: Column) -> Column:
+        later = F.slice("items", place + 2, F.size("items"))
+        return F.transform(later, lambda two: F.struct(one.alias("one"), two.alias("two")))
+
+    both = baskets.select(F.inline(F.flatten(F.transform("items", with_later))))
     named = [F.col(f"{side}.{c}").alias(f"{c}{n}") for n, side in ((1, "one"), (2, "two")) for c in item]
     return both.select(*named).where(condition)
 
@@ -88,7 +96,7 @@ def _scored(baskets: DataFrame, key: tuple[str, ...], condition: Column, timed:
     rows = baskets.dropna(subset=[*key, *what]).groupBy(*key, *owner, *what).agg(F.count(F.lit(1)).alias("times"))
     sizes = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("size"))
     large = sizes.where(F.col("size") > BASKET_ROWS).select(*key, F.ceil(F.col("size") / BASKET_ROWS).cast("int").alias("blocks"))
-    item = ["account_id", *what, "times"]
+    item = [*reversed(what), "account_id", "times"]  # time first, if it counts: see _pairs_of_small
     small = rows.join(large, list(key), "left_anti")
     renamed = {c: f"_{c}" for c in key}
 
