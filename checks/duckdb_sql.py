@@ -189,6 +189,9 @@ def baskets(name: str) -> str:
         "currency, price, max(fact_time) AS fact_time FROM lines WHERE in_store AND delivered_late GROUP BY ALL",
         "views": "SELECT account_id, account_id AS dataset_id, CAST(device AS VARCHAR) AS customer_id, product_id, "
         "min(fact_time) AS fact_time FROM views WHERE fact_time >= TIMESTAMP '2024-01-01' AND product_id LIKE 'TP-%' GROUP BY ALL",
+        "views_all": "SELECT * FROM (SELECT account_id, account_id AS dataset_id, CAST(device AS VARCHAR) AS customer_id, "
+        "product_id, min(fact_time) AS fact_time FROM views WHERE fact_time >= TIMESTAMP '2024-01-01' AND product_id LIKE 'TP-%' GROUP BY ALL) "
+        "QUALIFY count(*) OVER (PARTITION BY account_id, customer_id) < 1000",
         "views_capped": "SELECT * FROM (SELECT account_id, account_id AS dataset_id, CAST(device AS VARCHAR) AS customer_id, "
         "product_id, min(fact_time) AS fact_time FROM views WHERE fact_time >= TIMESTAMP '2024-01-01' AND product_id LIKE 'TP-%' GROUP BY ALL) "
         "QUALIFY count(*) OVER (PARTITION BY account_id, customer_id) < 14",
@@ -385,6 +388,62 @@ def _fan_out() -> str:
 FAN_OUT = _fan_out()
 
 
+def _shard_low(key: str) -> int:
+    return zlib.crc32(key.encode()) % (1 << 20) // (1 << 17) * (1 << 17)
+
+
+SHARD_LOW = "CASE account " + " ".join(f"WHEN {a} THEN {_shard_low(str(a))}" for a in range(5)) + " END"
+WRITTEN = (
+    f"SELECT *, 'recs_global' AS name, '20010802T0000' AS minute, CAST({SHARD_LOW} AS BIGINT) AS shard_low, "
+    f"CAST({SHARD_LOW} + 131072 AS BIGINT) AS shard_high, account || '_' || strategy AS output, feed_type = 'RECSET_RECS' AS unified FROM ({FAN_OUT})"
+)
+
+
+def _product_feed(algorithm: str, days: int, pairs: str) -> str:
+    return (
+        f"SELECT 'recs_global_pid_pid' AS name, '20010802T0000' AS minute, 'None_None_1_{algorithm}_{days}' AS output, FALSE AS unified, "
+        "account, n, hundredths FROM ("
+        + sql(
+            "SELECT account_id AS account, count(*) AS n, CAST(sum(hundredths) AS BIGINT) AS hundredths FROM (SELECT * FROM pairs "
+            "QUALIFY row_number() OVER (PARTITION BY account_id, lookup_key ORDER BY score DESC, product_id DESC) <= 20) GROUP BY account_id",
+            *pair_ranks(pairs),
+        )
+        + ")"
+    )
+
+
+FEEDS = " UNION ALL ".join(
+    f"(SELECT * FROM ({p}))"
+    for p in (
+        _product_feed("view_also_view", 30, VIEW_PAIRS),
+        _product_feed("purchase_also_purchase", 2405, pair_counts("online")),
+        f"SELECT name, minute, output, unified, account, count(*) AS n, CAST(sum(round(normalized_score * 100)) AS BIGINT) AS hundredths FROM ({WRITTEN}) GROUP BY ALL",
+    )
+)
+
+MANY_RANKINGS = sql(
+    "SELECT n, NULL AS lookup_key, id, rank, CAST(score AS DOUBLE) / 100.0 AS normalized_score FROM ranked WHERE rank <= 1000",
+    *scaled("view", ()),
+    "s AS (SELECT CAST(unnest(range(150)) AS INTEGER) AS n)",
+    "looks AS (SELECT n, item_group_id, image_link, color, max(id) AS id FROM fresh JOIN s ON price > 900 + 4 * n GROUP BY ALL "
+    f"HAVING n % 3 <> 0 OR bool_or(array_to_string({TRIMMED}, ',') LIKE 'ECONOMY%' OR array_to_string({TRIMMED}, ',') LIKE '%,ECONOMY%'))",
+    "skus AS (SELECT n, item_group_id, id FROM looks QUALIFY row_number() OVER (PARTITION BY n, item_group_id ORDER BY id DESC) <= 50)",
+    "ranked AS (SELECT n, id, score, row_number() OVER (PARTITION BY n ORDER BY score DESC, id) AS rank FROM scored JOIN skus ON item_group_id = product_id)",
+)
+MANY_LISTS = sql(
+    "SELECT n, lookup_key, id, rank, CAST(hundredths AS DOUBLE) / 100.0 AS normalized_score FROM ranked WHERE rank <= 50",
+    *pair_ranks(VIEW_PAIRS),
+    "s AS (SELECT CAST(unnest(range(150, 200)) AS INTEGER) AS n)",
+    "lists AS (SELECT n, lookup_key, score, hundredths, c.color, c.image_link, max(c.id) AS id FROM pairs p JOIN fresh c ON c.item_group_id = p.product_id "
+    "JOIN s ON c.price > 900 + 10 * (n - 150) WHERE n % 2 = 0 OR EXISTS (SELECT 1 FROM fresh b WHERE b.item_group_id = p.lookup_key AND c.color = b.color) GROUP BY ALL)",
+    "ranked AS (SELECT *, row_number() OVER (PARTITION BY n, lookup_key ORDER BY score DESC, id DESC) AS rank FROM lists)",
+)
+FAN_OUT_MANY = " UNION ALL ".join(
+    f"(SELECT CAST(1 + n % 4 AS BIGINT) AS account, n AS strategy, '{feed}' AS feed_type, lookup_key, id, CAST(rank AS BIGINT) AS rank, normalized_score FROM ({rows}))"
+    for feed, rows in (("RECSET_NONCOLLAB_RECS", MANY_RANKINGS), ("RECSET_COLLAB_RECS", MANY_LISTS))
+)
+
+
 def oracle_sql() -> dict[str, str]:
     found = {
         name: sql(f"SELECT id, item_group_id FROM catalog WHERE {test}") for name, test in CATALOG_FILTERS.items()
@@ -446,6 +505,10 @@ def oracle_sql() -> dict[str, str]:
             "GROUP BY account_id, device, product_id"
         ),
         "earliest_views": sql(
+            "SELECT account_id, CAST(customer_id AS BIGINT) AS mid_ts, product_id, epoch_us(fact_time) AS fact_micros "
+            f"FROM ({baskets('views_all')})"
+        ),
+        "earliest_views_capped": sql(
             "SELECT account_id, CAST(customer_id AS BIGINT) AS mid_ts, product_id, epoch_us(fact_time) AS fact_micros "
             f"FROM ({baskets('views_capped')})"
         ),
@@ -481,7 +544,10 @@ def oracle_sql() -> dict[str, str]:
         "scope_single_account": sql("SELECT account_id FROM accounts WHERE account_id = 3"),
         "output_accounts": sql("SELECT account_id, account_id % 2 = 0 AS unified FROM accounts WHERE account_id >= 1"),
         "fan_out_documents": FAN_OUT,
-        "written_documents": FAN_OUT,
+        "written_documents": WRITTEN,
+        "published_feeds": FEEDS,
+        "run_counts": "SELECT account, strategy, count(*) AS n FROM (" + FAN_OUT + ") WHERE feed_type <> 'RECSET_RECS' GROUP BY ALL",
+        "fan_out_many": FAN_OUT_MANY,
         "context_items": sql(
             "SELECT DISTINCT item_group_id, color AS attr_color, size_class AS attr_size_class FROM catalog"
         ),

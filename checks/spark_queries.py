@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vitrine.functions import filters, sharding
 from vitrine.functions.times import lookback_window, session_window
-from vitrine.operators import collab, documents, metrics, pairs, ranking, representatives, scopes, sessions
+from vitrine.operators import collab, documents, metrics, pairs, publish, ranking, representatives, scopes, sessions
 from vitrine.plans import fan_out, pairings, rankings
 from vitrine.plans.strategy import AccountSettings, Strategy
 from vitrine.sources import catalogs, facts
@@ -193,10 +193,13 @@ def _last_purchases(spark: SparkSession, folder: str) -> DataFrame:
     return last.select("account_id", "mid_ts", "product_id", F.date_format("fact_time", "yyyy-MM-dd").alias("day"))
 
 
-def _earliest_views(spark: SparkSession, folder: str) -> DataFrame:
-    views = facts.with_valid_product(StarSchema(spark, folder).product_views())
-    usual = pairs.without_outliers(pairs.earliest_views(views), VIEW_DAYS, 14)
-    return usual.select("account_id", "mid_ts", "product_id", F.unix_micros("fact_time").alias("fact_micros"))
+def _earliest_views(cap: float = 1000) -> Query:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        views = facts.with_valid_product(StarSchema(spark, folder).product_views())
+        usual = pairs.without_outliers(pairs.earliest_views(views), VIEW_DAYS, cap)
+        return usual.select("account_id", "mid_ts", "product_id", F.unix_micros("fact_time").alias("fact_micros"))
+
+    return query
 
 
 def geo_rollup(target: str) -> Query:
@@ -347,25 +350,68 @@ def _run(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _entries(docs: DataFrame) -> DataFrame:
+def _entries(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(
         F.col("account.id").alias("account"), F.col("schema.id").cast("int").alias("strategy"),
-        F.col("schema.feed_type").alias("feed_type"), F.col("document.lookup_key").alias("lookup_key"),
+        F.col("schema.feed_type").alias("feed_type"), F.col("document.lookup_key").alias("lookup_key"), *more,
         F.explode("document.data").alias("e"),
-    ).select("account", "strategy", "feed_type", "lookup_key", "e.id", F.col("e.rank").cast("long").alias("rank"), F.col("e.normalized_score").cast("double").alias("normalized_score"))
+    ).select("account", "strategy", "feed_type", "lookup_key", *more, "e.id", F.col("e.rank").cast("long").alias("rank"), F.col("e.normalized_score").cast("double").alias("normalized_score"))
 
 
 def fan_out_documents(spark: SparkSession, folder: str) -> DataFrame:
     return _entries(_run(spark, folder))
 
 
+def _output_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/documents-{uuid.uuid4().hex}"
+
+
 def written_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """The same documents written twice for one minute, and read back: the second run replaces the first."""
-    path = f"{shared_folder(spark)}/documents-{uuid.uuid4().hex}"
+    """The same documents published twice for one minute, and read back: the second run replaces the first."""
+    path = _output_folder(spark)
     docs = materialise(_run(spark, folder), "documents")
-    documents.write(docs, path, ORDERS_AS_OF)
-    documents.write(docs, path, ORDERS_AS_OF)
-    return _entries(spark.read.json(path))
+    publish.publish(docs, path, ORDERS_AS_OF)
+    publish.publish(docs, path, ORDERS_AS_OF)
+    back = publish.published(spark, path, docs.schema)
+    return _entries(back, "name", "minute", "shard_low", "shard_high", "output", "unified")
+
+
+def published_feeds(spark: SparkSession, folder: str) -> DataFrame:
+    """Two product feeds and the lists of a run, published one after the other for one minute, all read back."""
+    path = _output_folder(spark)
+    for algorithm in ("view_also_view", "purchase_also_purchase"):
+        views = algorithm == "view_also_view"
+        days, as_of = (VIEW_DAYS, EVENTS_AS_OF) if views else (ALL_ORDER_DAYS, ORDERS_AS_OF)
+        scored = pairings.product_pairs(_strategy(algorithm, days), StarSchema(spark, folder).tables(views), as_of)
+        ordinals = ranking.pair_ordinals(pairings.ranked_products(scored), limit=20)
+        publish.publish(documents.product_documents(ordinals, ORDERS_AS_OF, algorithm, days, retailer_id=RETAILER), path, ORDERS_AS_OF)
+    publish.publish(_run(spark, folder), path, ORDERS_AS_OF)
+    back = publish.published(spark, path)
+    entries = back.select("name", "minute", "output", "unified", F.col("account.id").alias("account"), F.explode("document.data").alias("e"))
+    totals = entries.groupBy("name", "minute", "output", "unified", "account").agg(F.count(F.lit(1)).alias("n"), F.sum(F.round(F.col("e.normalized_score") * 100).cast("long")).alias("hundredths"))
+    return totals
+
+
+def run_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """List entries of each account and strategy, as the write of the documents counts them."""
+    outputs = [(account, strategy) for account in range(1, 5) for strategy in range(1, 4)]
+    manifest = publish.publish(_run(spark, folder), _output_folder(spark), ORDERS_AS_OF, outputs)
+    return spark.createDataFrame(manifest["entries"], "account bigint, strategy int, n bigint")
+
+
+MANY_RANKINGS, MANY_LISTS = 150, 50
+
+
+def fan_out_many(spark: SparkSession, folder: str) -> DataFrame:
+    """200 strategies of different filters over the views, rendered by one plan of rankings and one of lists."""
+    outputs = []
+    for n in range(MANY_RANKINGS):
+        leaves = [leaf(">", "price", 900 + 4 * n)] + [leaf("startswith", "product_type", ["ECONOMY"])] * (n % 3 == 0)
+        outputs.append(fan_out.Output(Strategy(n, "most_popular", RETAILER, CATALOG, VIEW_DAYS, tree("and", *leaves), whole_retailer=True), 1 + n % 4))
+    for n in range(MANY_RANKINGS, MANY_RANKINGS + MANY_LISTS):
+        leaves = [leaf(">", "price", 900 + 10 * (n - MANY_RANKINGS))] + [leaf("in", "color", BASE, function=True)] * (n % 2)
+        outputs.append(fan_out.Output(Strategy(n, "view_also_view", RETAILER, CATALOG, VIEW_DAYS, tree("and", *leaves), whole_retailer=True), 1 + n % 4))
+    return _entries(fan_out.all_documents(outputs, StarSchema(spark, folder).tables(True), EVENTS_AS_OF, ORDERS_AS_OF))
 
 
 SIMILAR_BY_FOUR = AccountSettings(
@@ -421,7 +467,8 @@ def queries() -> dict[str, Query]:
             "view", VIEW_DAYS, tree("or", leaf("contains", "brand", ["2"]), leaf("startswith", "product_type", ["E"]))
         ),
         "last_purchases": _last_purchases,
-        "earliest_views": _earliest_views,
+        "earliest_views": _earliest_views(),
+        "earliest_views_capped": _earliest_views(14),
         "pairs_together_online": _pairs("purchase_also_purchase"),
         "pairs_together_offline": _pairs("purchase_also_purchase", "offline"),
         "pairs_together_both": _pairs("purchase_also_purchase", "online_offline"),
@@ -442,6 +489,9 @@ def queries() -> dict[str, Query]:
         "output_accounts": output_accounts,
         "fan_out_documents": fan_out_documents,
         "written_documents": written_documents,
+        "published_feeds": published_feeds,
+        "run_counts": run_counts,
+        "fan_out_many": fan_out_many,
         "context_items": context_items,
         "recommendable_items": recommendable_items,
         "collab_static": _pairing("purchase_also_purchase", STATIC, SHARED),

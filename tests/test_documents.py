@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import zlib
 from datetime import datetime
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fixtures import ACCOUNT, AS_OF, CATALOG, RETAILER, leaf, pair_tables, ranking_tables, tree
 from vitrine.functions import sharding
-from vitrine.operators import documents
+from vitrine.operators import documents, publish
 from vitrine.plans import fan_out, pairings, rankings
 from vitrine.plans.strategy import AccountSettings, Strategy
 
@@ -29,9 +30,16 @@ def test_shard_range(spark):
     key = sharding.shard_key(F.lit(123))
     row = spark.range(1).select(key, sharding.shard_low(key), sharding.shard_high(key)).first()
     assert tuple(row) == (549842, 524288, 655360)
-    assert documents.file_label(123, 7, SENT) == (
-        "recs_global/2024/03/15/recs_global-20240315T123400.000Z_PT1M-524288-655360-precompute_123_7.json.gz"
+    docs = spark.createDataFrame(
+        [((123,), ("RECSET_RECS", 7, None, None, None, None, None)), ((123,), ("RECSET_COLLAB_RECS", 7, None, None, None, None, None)), ((123,), ("RECSET_COLLAB_RECS_PID", None, 123, None, 9, "view_also_view", 30))],
+        "account struct<id: bigint>, schema struct<feed_type: string, id: int, account_id: bigint, market_id: bigint, retailer_id: bigint, algorithm: string, lookback_days: int>",
     )
+    shard = zlib.crc32(b"123None9") % (1 << 20) // 131072 * 131072
+    assert [r[0] for r in docs.select(publish.label(docs, SENT)).collect()] == [
+        "recs_global-20240315T123400.000Z_PT1M-524288-655360-precompute_123_7_new.json.gz",
+        "recs_global-20240315T123400.000Z_PT1M-524288-655360-precompute_123_7.json.gz",
+        f"recs_global_pid_pid-20240315T123400.000Z_PT1M-{shard}-{shard + 131072}-precompute_123_None_9_view_also_view_30.json.gz",
+    ]
 
 
 def test_global_document(spark):
@@ -90,17 +98,59 @@ def test_many_strategies_share_their_start(spark, tmp_path):
     ]
     assert fan_out.shared_key(outputs[0]) == fan_out.shared_key(outputs[1])
     docs = fan_out.all_documents(outputs, tables, AS_OF, SENT)
-    documents.write(docs, str(tmp_path / "out"), SENT)
-    back = spark.read.json(str(tmp_path / "out"))
-    found = {(r.strategy_id, r.schema.feed_type): r.n for r in back.groupBy("strategy_id", "schema").agg(
+    manifest = publish.publish(docs, str(tmp_path / "out"), SENT, [(ACCOUNT, 1), (ACCOUNT, 2), (ACCOUNT, 3), (99, 9)])
+    back = publish.published(spark, str(tmp_path / "out"))
+    found = {(r.output, r.unified, r.feed): r.n for r in back.groupBy("output", "unified", F.col("schema.feed_type").alias("feed")).agg(
         F.count(F.lit(1)).alias("n")).collect()}
     assert found == {
-        (1, "RECSET_COLLAB_RECS"): 5, (1, "RECSET_RECS"): 5, (2, "RECSET_COLLAB_RECS"): 5, (3, "RECSET_COLLAB_RECS"): 5,
+        (f"{ACCOUNT}_1", False, "RECSET_COLLAB_RECS"): 5, (f"{ACCOUNT}_1", True, "RECSET_RECS"): 5, (f"{ACCOUNT}_2", False, "RECSET_COLLAB_RECS"): 5, (f"{ACCOUNT}_3", False, "RECSET_COLLAB_RECS"): 5,
     }
-    bought = back.where("strategy_id = 2 AND document.lookup_key = 'TP-00002'").first()
+    bought = back.where(f"output = '{ACCOUNT}_2' AND document.lookup_key = 'TP-00002'").first()
     assert [e.id for e in bought.document.data] == ["SKU-00001", "SKU-00005"]
     files = list((tmp_path / "out").rglob("*.json.gz"))
-    assert files and all("date=2024-03-15/minute=1234" in str(f) and "shard_low=" in str(f) for f in files)
+    assert files and all("recs_global-20240315T123400.000Z_PT1M-" in str(f) for f in files)
+    entries = back.where("not unified").groupBy("output").agg(F.sum(F.size("document.data")).alias("n")).collect()
+    assert {f"{e['account']}_{e['strategy']}": e["n"] for e in manifest["entries"]} == {r.output: r.n for r in entries} | {"99_9": 0}
+
+
+def _docs(spark, strategy, value, algorithm=None):
+    schema = ("RECSET_COLLAB_RECS_PID", None, None, None, RETAILER, algorithm, 30) if algorithm else ("RECSET_COLLAB_RECS", strategy, None, None, None, None, None)
+    return spark.createDataFrame(
+        [((ACCOUNT,), schema, ("TP", [(value,)]))],
+        "account struct<id: bigint>, schema struct<feed_type: string, id: int, account_id: bigint, market_id: bigint, retailer_id: bigint, algorithm: string, lookback_days: int>, document struct<lookup_key: string, data: array<struct<id: string>>>",
+    )
+
+
+def test_runs_of_one_minute_replace_their_own_labels_only(spark, tmp_path):
+    path = str(tmp_path / "out")
+    with pytest.raises(ValueError):
+        publish.published(spark, path)
+    publish.publish(_docs(spark, 1, "old").unionByName(_docs(spark, 2, "two")), path, SENT)
+    publish.publish(_docs(spark, None, "views", "view_also_view"), path, SENT)
+    publish.publish(_docs(spark, None, "bought", "purchase_also_purchase"), path, SENT)
+    publish.publish(_docs(spark, 1, "new"), path, SENT)
+    publish.publish(_docs(spark, 1, "later"), path, datetime(2024, 3, 15, 12, 35))
+
+    def seen(**some):
+        return sorted((r.minute[-4:], r.output, r.document.data[0].id) for r in publish.published(spark, path, **some).collect())
+
+    first = [
+        ("1234", f"{ACCOUNT}_1", "new"), ("1234", f"{ACCOUNT}_2", "two"),
+        ("1234", f"None_None_{RETAILER}_purchase_also_purchase_30", "bought"), ("1234", f"None_None_{RETAILER}_view_also_view_30", "views"),
+    ]
+    assert seen() == sorted([*first, ("1235", f"{ACCOUNT}_1", "later")])
+    assert seen(minutes=[SENT]) == first
+
+    def broken(x):
+        raise RuntimeError("executor lost")
+
+    half = _docs(spark, 2, "half").unionByName(_docs(spark, 1, "half")).withColumn("sent_time", F.udf(broken)(F.lit(1)))
+    with pytest.raises(Exception, match="executor lost"):
+        publish.publish(half, path, SENT)
+    _docs(spark, 1, "orphan").withColumn("label", publish.label(_docs(spark, 1, ""), SENT)).write.partitionBy("label").json(f"{path}/runs/run=killed")
+    assert seen(minutes=[SENT]) == first
+    assert publish.sweep(spark, path) >= 1
+    assert seen(minutes=[SENT]) == first
 
 
 def test_nothing_to_render(spark):

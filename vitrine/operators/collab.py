@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -41,10 +42,17 @@ def context_items(catalog: DataFrame, dynamic_fields: list[str], fields: Fields)
 
 
 def recommendable(
-    catalog: DataFrame, dynamic_fields: list[str], fields: Fields, bucketed: bool, cap: int = ranking.PAIR_LIMIT
+    catalog: DataFrame,
+    dynamic_fields: list[str],
+    fields: Fields,
+    bucketed: bool,
+    cap: int = ranking.PAIR_LIMIT,
+    of: tuple[str, ...] = (),
 ) -> DataFrame:
     """Highest SKU per look and attribute set, at most `cap`, the length of the lists, of each item group and attribute set.
 
+    `of` are further key columns of the catalog's rows, such as the rendering that admits them.
+
     SKUs of one group with equal attributes share score and filter outcome, so
     those beyond the cap rank behind `cap` others in any list they could enter.
     """
@@ -52,11 +60,11 @@ def recommendable(
     names = attribute_columns(dynamic_fields) + (["product_type"] if bucketed else [])
     product_type = [F.col("product_type")] if bucketed else []
     looks = (
-        catalog.select("item_group_id", *LOOK, "id", *product_type, *attributes)
-        .groupBy("item_group_id", *LOOK, *names)
+        catalog.select(*of, "item_group_id", *LOOK, "id", *product_type, *attributes)
+        .groupBy(*of, "item_group_id", *LOOK, *names)
         .agg(F.max("id").alias("id"))
     )
-    order = Window.partitionBy("item_group_id", *names).orderBy(F.col("id").desc())
+    order = Window.partitionBy(*of, "item_group_id", *names).orderBy(F.col("id").desc())
     kept = looks.withColumn("n", F.row_number().over(order)).where(F.col("n") <= cap).drop("n")
     return _with_parsed_list(kept, dynamic_fields)
 
@@ -88,19 +96,19 @@ def collapsed(sku_pairs: DataFrame, bucketed: bool, per: tuple[str, ...] = ()) -
     return sku_pairs.groupBy(*keys).agg(F.max("id").alias("id"))
 
 
-def attribute_sets(candidates: DataFrame, names: list[str]) -> DataFrame:
+def attribute_sets(candidates: DataFrame, names: list[str], of: tuple[str, ...] = ()) -> DataFrame:
     """(product_id, *names, top, lane) of every product and attribute set: its highest SKU, and whether it fills a place.
 
     Highest SKUs of different looks are never collapsed into one. Of the sets whose highest SKUs share a look, one has
-    lane 0 and the others a lane of their own.
+    lane 0 and the others a lane of their own. `of` are further key columns of the candidates.
     """
-    sets = candidates.groupBy(F.col("item_group_id").alias("product_id"), *names).agg(F.max(F.struct("id", *LOOK)).alias("top"))
-    look = [F.col(f"top.{c}").alias(f"_{c}") for c in LOOK] + ([F.col("product_type").alias("_product_type")] if "product_type" in names else [])
+    sets = candidates.groupBy(*of, F.col("item_group_id").alias("product_id"), *names).agg(F.max(F.struct("id", *LOOK)).alias("top"))
+    look = [*of, *[f"top.{c}" for c in LOOK], *(["product_type"] if "product_type" in names else [])]
     chosen = F.struct("top.id", "product_id", *names)
-    first = sets.groupBy(*look).agg(F.max(chosen).alias("chosen"))
-    alike = [F.col(c).eqNullSafe(first[f"_{c.rpartition('.')[2]}"]) for c in [*[f"top.{c}" for c in LOOK], *(["product_type"] if "product_type" in names else [])]]
+    first = sets.groupBy(*[F.col(c).alias(f"_{n}") for n, c in enumerate(look)]).agg(F.max(chosen).alias("chosen"))
+    alike = [F.col(c).eqNullSafe(F.col(f"_{n}")) for n, c in enumerate(look)]
     lane = F.when(chosen.eqNullSafe(F.col("chosen")), F.lit(0).cast("long")).otherwise(F.xxhash64("product_id", "top.id", *names))
-    return sets.join(first, reduce(Column.__and__, alike)).select("product_id", *names, "top", lane.alias("lane"))
+    return sets.join(first, reduce(Column.__and__, alike)).select(*of, "product_id", *names, "top", lane.alias("lane"))
 
 
 def within_reach(set_pairs: DataFrame, bucketed: bool, per: tuple[str, ...] = (), limit: int = ranking.PAIR_LIMIT) -> DataFrame:
@@ -133,27 +141,85 @@ def explode_pairs(
     per: tuple[str, ...] = (),
     limit: int = ranking.PAIR_LIMIT,
 ) -> DataFrame:
-    """Scored product pairs to ranked SKU lists of `limit` places, under the strategy's and the account's filters.
+    """Scored product pairs to ranked SKU lists of `limit` places, under the strategy's and the account's filters."""
+    both = (strategy_filters, global_filters)
+    bucketed, dynamic_fields = any(f.bucketed for f in both), _dynamic_fields([both])
 
-    Pairs first meet the attribute sets of their products, which decide on dynamic filters and on what a list can hold;
-    only the sets that stay are exploded to SKUs. A best-seller stands in most lists; its pairs are dealt over SHARES
-    keys, and its sets and SKUs copied to each.
+    def passing(rows: DataFrame) -> DataFrame:
+        if not dynamic_fields:
+            return rows
+        return against_base_item(rows, context_items(catalog, dynamic_fields, fields), [f.dynamic for f in both])
+
+    return _lists(pairs, static_part(catalog, *both, fields), dynamic_fields, fields, bucketed, passing, per, (), limit)
+
+
+Renderings = list[tuple[PairFilters, PairFilters]]
+
+
+def explode_pairs_for_many(
+    pairs: DataFrame, catalog: DataFrame, renderings: Renderings, fields: Fields, bucketed: bool, limit: int = ranking.PAIR_LIMIT
+) -> DataFrame:
+    """The lists of every rendering (strategy's and account's filters) at once, with its number in column `rendering`.
+
+    Renderings are rows, not plans: each SKU is copied to those that admit it, and all that follows has the number in its
+    keys. All must be with buckets, or all without.
     """
-    bucketed = strategy_filters.bucketed or global_filters.bucketed
-    dynamic_fields = sorted({*strategy_filters.dynamic_fields, *global_filters.dynamic_fields})
+    dynamic_fields = _dynamic_fields(renderings)
+
+    def passing(rows: DataFrame) -> DataFrame:
+        return against_base_item_for_many(rows, context_items(catalog, dynamic_fields, fields), renderings) if dynamic_fields else rows
+
+    return _lists(pairs, admitted(catalog, renderings, fields), dynamic_fields, fields, bucketed, passing, (), ("rendering",), limit)
+
+
+def _dynamic_fields(renderings: Renderings) -> list[str]:
+    return sorted({field for both in renderings for part in both for field in part.dynamic_fields})
+
+
+def admitted(catalog: DataFrame, renderings: Renderings, fields: Fields) -> DataFrame:
+    """Catalog rows once for each rendering whose static filters they pass, with its number in column `rendering`."""
+    tests = [[part.static for part in both if part.static["filters"]] for both in renderings]
+    numbers = filters.passing(tests, lambda f: filters.field_column(catalog, f, fields))
+    return catalog.withColumn("rendering", F.explode(numbers))
+
+
+def against_base_item_for_many(sku_pairs: DataFrame, contexts: DataFrame, renderings: Renderings) -> DataFrame:
+    """`against_base_item` under the dynamic filters of each row's rendering; those without any pass."""
+    trees = {n: [part.dynamic for part in both] for n, both in enumerate(renderings) if any(part.dynamic["filters"] for part in both)}
+    own = F.col("pair.rendering")
+    chosen = reduce(lambda c, n: c.when(own == n, dynamic_condition(trees[n])), trees, F.when(F.lit(False), F.lit(True)))
+    condition = (F.col("pair.lookup_key") == F.col("base.item_group_id")) & chosen
+    tested = F.col("rendering").isin(list(trees))
+    kept = sku_pairs.where(tested).alias("pair").join(contexts.alias("base"), condition, "left_semi")
+    return kept.unionByName(sku_pairs.where(~tested)) if len(trees) < len(renderings) else kept
+
+
+def _lists(
+    pairs: DataFrame,
+    allowed: DataFrame,
+    dynamic_fields: list[str],
+    fields: Fields,
+    bucketed: bool,
+    passing: Callable[[DataFrame], DataFrame],
+    per: tuple[str, ...],
+    of: tuple[str, ...],
+    limit: int,
+) -> DataFrame:
+    """Pairs first meet the attribute sets of their products, which decide on dynamic filters and on what a list can hold;
+    only the sets that stay are exploded to SKUs. A best-seller stands in most lists; its pairs are dealt over SHARES
+    keys, and its sets and SKUs copied to each."""
     names = attribute_columns(dynamic_fields) + (["product_type"] if bucketed else [])
-    candidates = recommendable(static_part(catalog, strategy_filters, global_filters, fields), dynamic_fields, fields, bucketed, limit)
-    sets = _with_parsed_list(attribute_sets(candidates, names), dynamic_fields)
+    candidates = recommendable(allowed, dynamic_fields, fields, bucketed, limit, of)
+    sets = _with_parsed_list(attribute_sets(candidates, names, of), dynamic_fields)
     every = F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1)))
     dealt = pairs.withColumn("share", F.pmod(F.xxhash64("lookup_key"), F.lit(SHARES)).cast("int"))
-    rows = dealt.join(sets.withColumn("share", every), ["product_id", "share"])
-    if dynamic_fields:
-        contexts = context_items(catalog, dynamic_fields, fields)
-        rows = against_base_item(rows, contexts, [strategy_filters.dynamic, global_filters.dynamic])
-    kept = within_reach(rows, bucketed, per, limit).select(*per, "lookup_key", "product_id", "share", "score", *names)
-    own = candidates.select(F.col("item_group_id").alias("_product"), F.col("id"), *LOOK, *[F.col(n).alias(f"_{n}") for n in names], every.alias("_share"))
-    same = [F.col("product_id") == F.col("_product"), F.col("share") == F.col("_share"), *[F.col(n).eqNullSafe(F.col(f"_{n}")) for n in names]]
-    return sku_lists(kept.join(own, reduce(Column.__and__, same)), bucketed, per, limit)
+    rows = passing(dealt.join(sets.withColumn("share", every), ["product_id", "share"]))
+    keys = (*per, *of)
+    kept = within_reach(rows, bucketed, keys, limit).select(*keys, "lookup_key", "product_id", "share", "score", *names)
+    shared = [*of, *names]
+    own = candidates.select(F.col("item_group_id").alias("_product"), F.col("id"), *LOOK, *[F.col(n).alias(f"_{n}") for n in shared], every.alias("_share"))
+    same = [F.col("product_id") == F.col("_product"), F.col("share") == F.col("_share"), *[F.col(n).eqNullSafe(F.col(f"_{n}")) for n in shared]]
+    return sku_lists(kept.join(own, reduce(Column.__and__, same)), bucketed, keys, limit)
 
 
 def static_part(catalog: DataFrame, first: PairFilters, second: PairFilters, fields: Fields) -> DataFrame:

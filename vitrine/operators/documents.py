@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -28,36 +27,40 @@ def _bucket(ranks: DataFrame) -> Column:
     return F.col(BUCKET) if BUCKET in ranks.columns else F.lit("")
 
 
-def _envelope(document: Column, account: Column, strategy_id: int, feed: str, sent: datetime) -> list[Column]:
+def _envelope(document: Column, account: Column, strategy_id: int | Column, feed: str, sent: datetime) -> list[Column]:
     return [
         sharding.shard_key(account).alias("shard_key"),
         document.alias("document"),
         F.date_format(sharding.minute_bucket(stamp(sent)), "yyyy-MM-dd HH:mm:ss").alias("sent_time"),
         F.struct(account.alias("id")).alias("account"),
-        F.struct(F.lit(feed).alias("feed_type"), F.lit(strategy_id).alias("id")).alias("schema"),
+        F.struct(F.lit(feed).alias("feed_type"), (F.lit(strategy_id) if isinstance(strategy_id, int) else strategy_id).alias("id")).alias("schema"),
     ]
 
 
-Accounts = int | tuple[int, ...] | None
+#: Who gets the lists: one account, several, the account that rows name (None), or a table of renderings with the
+#: accounts and strategies they answer (rendering, account_id, strategy_id).
+Accounts = int | tuple[int, ...] | None | DataFrame
 
 
 def _account(account_id: Accounts) -> list[str]:
-    """Grouping column of a run whose rows name their account."""
-    return ["account_id"] if account_id is None else []
+    """Grouping column of a run whose rows name their account or rendering."""
+    return ["account_id"] if account_id is None else ["rendering"] if isinstance(account_id, DataFrame) else []
 
 
-def _addressed(lists: DataFrame, account_id: Accounts) -> tuple[DataFrame, Column]:
-    """Finished lists with the account each goes to: the rows' own, a fixed one, or every one of several."""
+def _addressed(lists: DataFrame, account_id: Accounts, strategy_id: int | None) -> tuple[DataFrame, Column, int | Column]:
+    """Finished lists with the account and strategy each goes to."""
     if account_id is None:
-        return lists, F.col("account_id")
+        return lists, F.col("account_id"), strategy_id
     if isinstance(account_id, int):
-        return lists, F.lit(account_id).cast("bigint")
+        return lists, F.lit(account_id).cast("bigint"), strategy_id
+    if isinstance(account_id, DataFrame):
+        return lists.join(account_id, "rendering"), F.col("account_id"), F.col("strategy_id")
     each = F.explode(F.array(*[F.lit(a).cast("bigint") for a in account_id]))
-    return lists.withColumn("account_id", each), F.col("account_id")
+    return lists.withColumn("account_id", each), F.col("account_id"), strategy_id
 
 
 def global_documents(
-    ranks: DataFrame, geo: tuple[str, ...], account_id: Accounts, strategy_id: int, sent: datetime
+    ranks: DataFrame, geo: tuple[str, ...], account_id: Accounts, strategy_id: int | None, sent: datetime
 ) -> DataFrame:
     """Older feed of a global ranking: buckets are named by a hash alone."""
     keys = _account(account_id) + [*geo, *([BUCKET] if BUCKET in ranks.columns else [])]
@@ -66,12 +69,12 @@ def global_documents(
     document = F.struct(
         F.sha1(sharding.slash_filter_text(_bucket(ranks), geo)).alias("pushdown_filter_hash"), F.col("data")
     )
-    lists, account = _addressed(lists.where(F.size("data") > 0), account_id)
-    return lists.select(*_envelope(document, account, strategy_id, GLOBAL_FEED, sent))
+    lists, account, strategy = _addressed(lists.where(F.size("data") > 0), account_id, strategy_id)
+    return lists.select(*_envelope(document, account, strategy, GLOBAL_FEED, sent))
 
 
 def unified_documents(
-    ranks: DataFrame, geo: tuple[str, ...], account_id: Accounts, strategy_id: int, sent: datetime
+    ranks: DataFrame, geo: tuple[str, ...], account_id: Accounts, strategy_id: int | None, sent: datetime
 ) -> DataFrame:
     """Unified feed, for global rankings (lookup key '') and item-to-item lists alike."""
     paired = "lookup_key" in ranks.columns
@@ -85,17 +88,17 @@ def unified_documents(
         text.alias("pushdown_filter_json"),
         F.col("data"),
     )
-    lists, account = _addressed(lists.where(F.size("data") > 0), account_id)
-    return lists.select(*_envelope(document, account, strategy_id, UNIFIED_FEED, sent))
+    lists, account, strategy = _addressed(lists.where(F.size("data") > 0), account_id, strategy_id)
+    return lists.select(*_envelope(document, account, strategy, UNIFIED_FEED, sent))
 
 
-def pair_documents(ranks: DataFrame, account_id: Accounts, strategy_id: int, sent: datetime) -> DataFrame:
+def pair_documents(ranks: DataFrame, account_id: Accounts, strategy_id: int | None, sent: datetime) -> DataFrame:
     """Older feed of an item-to-item list: one document per lookup key (and bucket, so that no array grows with their number)."""
     keys = _account(account_id) + ["lookup_key", *([BUCKET] if BUCKET in ranks.columns else [])]
     lists = ranks.groupBy(*keys).agg(_list("rank", ["id", "normalized_score", "rank"]).alias("data"))
     document = F.struct("lookup_key", "data")
-    lists, account = _addressed(lists, account_id)
-    return lists.select(*_envelope(document, account, strategy_id, PAIR_FEED, sent))
+    lists, account, strategy = _addressed(lists, account_id, strategy_id)
+    return lists.select(*_envelope(document, account, strategy, PAIR_FEED, sent))
 
 
 def product_documents(
@@ -129,40 +132,3 @@ def product_documents(
         F.date_format(sharding.minute_bucket(stamp(sent)), "yyyy-MM-dd HH:mm:ss").alias("sent_time"),
         schema.alias("schema"),
     )
-
-
-LAYOUT = ("feed", "date", "minute", "shard_low", "account_id", "strategy_id")
-
-
-def write(documents: DataFrame, path: str, sent: datetime) -> None:
-    """Gzip JSON below LAYOUT, one job for all accounts and strategies.
-
-    A run replaces what an earlier one wrote for the same feed, minute, account and strategy, so it can be repeated.
-    Rows are gathered by folder; AQE splits a folder with many rows over several tasks and joins small ones.
-    """
-    laid_out = documents.withColumns(
-        {
-            "feed": F.col("schema.feed_type"),
-            "date": F.lit(sent.strftime("%Y-%m-%d")),
-            "minute": F.lit(sent.strftime("%H%M")),
-            "shard_low": sharding.shard_low(F.col("shard_key")),
-            "account_id": F.col("account.id"),
-            "strategy_id": F.coalesce("schema.id", F.lit(0)),
-        }
-    )
-    spread = laid_out.hint("rebalance", *LAYOUT)
-    writer = spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*LAYOUT)
-    writer.option("compression", "gzip").json(path)
-
-
-def file_label(account_id: int, strategy_id: int, sent: datetime, unified: bool = False) -> str:
-    """Name under which one account's documents of one strategy are known downstream."""
-    shard = zlib.crc32(str(account_id).encode()) % sharding.SHARD_SPACE
-    width = sharding.SHARD_SPACE // sharding.SHARD_RANGES
-    low = shard // width * width
-    minute = sent.replace(second=0, microsecond=0)
-    suffix = "_new" if unified else ""
-    return (
-        f"recs_global/{minute:%Y/%m/%d}/recs_global-{minute:%Y%m%dT%H%M%S.000Z}_PT1M-{low}-{low + width}"
-        f"-precompute_{account_id}_{strategy_id}{suffix}.json.gz"
-    )

@@ -232,22 +232,28 @@ def similar_skus(
     `stock` are the in-stock SKUs that are compared, `fresh` the catalog the
     recommended SKUs and filters are taken from.
     """
+    bucketed = strategy_filters.bucketed or global_filters.bucketed
+    lists = similar_skus_for_many(stock, fresh, weights, [(strategy_filters, global_filters)], fields, bucketed, limit)
+    return lists.drop("rendering")
+
+
+def similar_skus_for_many(
+    stock: DataFrame, fresh: DataFrame, weights: Weights, renderings: collab.Renderings, fields: Fields, bucketed: bool, limit: int = ranking.PAIR_LIMIT
+) -> DataFrame:
+    """The lists of every rendering (see `collab.explode_pairs_for_many`) from one comparison of the stock."""
     weights = usable_weights(weights, fields)
     names = _names(weights)
-    bucketed = strategy_filters.bucketed or global_filters.bucketed
-    dynamic_fields = sorted({*strategy_filters.dynamic_fields, *global_filters.dynamic_fields})
-    side = collab.attribute_columns(dynamic_fields) + (["product_type"] if bucketed else [])
+    dynamic_fields = sorted({f for both in renderings for part in both for f in part.dynamic_fields})
+    side = ["rendering", *collab.attribute_columns(dynamic_fields), *(["product_type"] if bucketed else [])]
 
     sets = attribute_sets(stock, weights, fields)
     tuples = weighted_tuples(sets, weights)
-    allowed = collab.static_part(fresh, strategy_filters, global_filters, fields)
-    looks = collab.recommendable(allowed, dynamic_fields, fields, bucketed, limit)
+    looks = collab.recommendable(collab.admitted(fresh, renderings, fields), dynamic_fields, fields, bucketed, limit, ("rendering",))
     lists = candidates(sets.drop("skus"), looks, side, names, limit)
     best = _best_per_tuple(tuples, lists, side, names, limit)
 
     lookups = sets.select(F.col("item_group_id").alias("lookup_key"), _tuple_key(names))
     rows = best.join(lookups, "tuple_key").where(F.col("lookup_key") != F.col("item_group_id"))
     if dynamic_fields:
-        contexts = collab.context_items(fresh, dynamic_fields, fields)
-        rows = collab.against_base_item(rows, contexts, [strategy_filters.dynamic, global_filters.dynamic])
-    return ranking.normalised(collab.sku_lists(rows, bucketed), score_range(sets, tuples, weights))
+        rows = collab.against_base_item_for_many(rows, collab.context_items(fresh, dynamic_fields, fields), renderings)
+    return ranking.normalised(collab.sku_lists(rows, bucketed, ("rendering",)), score_range(sets, tuples, weights))

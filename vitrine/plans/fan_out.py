@@ -9,10 +9,12 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 
+from vitrine.functions import filters
 from vitrine.functions.sharding import geo_columns
-from vitrine.operators import documents, scopes
+from vitrine.operators import collab, documents, pairs, ranking, representatives, scopes, similarity
 from vitrine.plans import pairings, rankings
 from vitrine.plans.strategy import RANKINGS, AccountSettings, Strategy, Tables
+from vitrine.sources import catalogs
 from vitrine.storage import materialise
 
 # Algorithms that start from the same pairs (and differ by a filter) or from the same metric.
@@ -91,48 +93,83 @@ def _start(output: Output, tables: Tables, as_of: datetime) -> DataFrame | None:
     return pairings.product_pairs(strategy, tables, as_of, output.settings)
 
 
-def ranks(output: Output, tables: Tables, start: DataFrame | None) -> DataFrame:
-    strategy, settings = output.strategy, output.settings
-    if strategy.algorithm in RANKINGS:
-        return rankings.rank(strategy, tables, settings, start)
-    if start is None:
-        return pairings.similar_products(strategy, tables, settings)
-    return pairings.sku_lists(strategy, tables, start, settings)
+@dataclass(frozen=True)
+class _Family:
+    """Outputs that one plan renders: they start from the same metric or pairs and rank over the same keys."""
 
+    start: tuple
+    retailer_id: int
+    catalog_id: int
+    geo_target: str
+    bucketed: bool
+    merged_text: bool
+    weights: tuple | None
 
-def _render(strategy: Strategy, rows: DataFrame, accounts: tuple[int, ...], unified: tuple[int, ...], sent: datetime) -> list[DataFrame]:
-    geo = geo_columns(strategy.geo_target) if strategy.algorithm in RANKINGS else ()
-    if strategy.algorithm in RANKINGS:
-        rendered = [documents.global_documents(rows, geo, accounts, strategy.id, sent)]
+
+Filters = tuple[filters.RankingFilters, filters.RankingFilters] | tuple[filters.PairFilters, filters.PairFilters]
+
+
+def _rendering(output: Output, tables: Tables) -> tuple[_Family, Filters]:
+    """The family of an output, and its own and its account's filters."""
+    s, fields = output.strategy, tables.catalog_fields
+    if s.algorithm in RANKINGS:
+        both = (filters.split_for_ranking(s.filter_json, fields), filters.split_for_ranking(output.settings.filter_json, fields))
+        shape = s.geo_target, any(f.bucketed for f in both), any(representatives.needs_text([f.late]) for f in both), None
     else:
-        rendered = [documents.pair_documents(rows, accounts, strategy.id, sent)]
-    if unified:
-        rendered.append(documents.unified_documents(rows, geo, unified, strategy.id, sent))
-    return rendered
+        own = filters.with_algorithm_filter(s.filter_json, s.algorithm)
+        both = (filters.split_for_pairs(own, fields), filters.split_for_pairs(output.settings.filter_json, fields))
+        weights = output.settings.similarity_weights if s.algorithm == "similar_products_v2" else None
+        if s.algorithm == "similar_products_v2" and weights is None:
+            raise ValueError(f"strategy {s.id} needs similarity weights")
+        shape = "none", any(f.bucketed for f in both), False, weights
+    return _Family(shared_key(output), s.retailer_id, s.catalog_id, *shape), both
+
+
+def ranks(family: _Family, algorithm: str, renderings: list[Filters], tables: Tables, start: DataFrame | None) -> DataFrame:
+    """Ranked lists of all renderings of a family, numbered in column `rendering`."""
+    if algorithm in RANKINGS:
+        return rankings.rank_for_many(start, tables, family.retailer_id, family.catalog_id, geo_columns(family.geo_target), renderings, family.bucketed)
+    stock = catalogs.dataset(tables.catalog, family.retailer_id, family.catalog_id)
+    fresh = catalogs.latest(stock, tables.expiration)
+    if start is None:
+        return similarity.similar_skus_for_many(catalogs.in_stock(stock), fresh, family.weights, renderings, tables.catalog_fields, family.bucketed)
+    lists = collab.explode_pairs_for_many(pairs.as_lookup(start), fresh, renderings, tables.catalog_fields, family.bucketed)
+    return ranking.normalised(lists, ranking.score_ends(start))
 
 
 def all_documents(outputs: Iterable[Output], tables: Tables, as_of: datetime, sent: datetime) -> DataFrame:
     """Documents of all outputs as one DataFrame, ready for `documents.write`.
 
-    Outputs that start from the same metric or pairs share them; accounts under the same strategy and settings share
-    one ranking and one set of lists, which are addressed to each at the end. What is used more than once is written to
-    the shared folder.
+    Strategies are rows: outputs that start from the same metric or pairs and rank over the same keys (geo target, with
+    or without buckets) are one plan, however many they are. Equal filters are one rendering, which is addressed to its
+    strategies and accounts at the end. What several plans start from is written to the shared folder.
     """
-    groups: dict[tuple, dict[tuple, list[Output]]] = {}
+    families: dict[_Family, list[tuple[Filters, list[Output]]]] = {}
     for output in outputs:
-        groups.setdefault(shared_key(output), {}).setdefault((output.strategy, output.settings), []).append(output)
+        family, both = _rendering(output, tables)
+        members = families.setdefault(family, [])
+        known = next((group for other, group in members if other == both), None)
+        if known is None:
+            members.append((both, [output]))
+        else:
+            known.append(output)
     rendered: list[DataFrame] = []
-    for number, lists in enumerate(groups.values()):
-        first = next(iter(lists.values()))[0]
-        start = _start(first, tables, as_of)
-        if start is not None and len(lists) > 1 and first.strategy.algorithm in RANKINGS:
-            start = materialise(start, f"start-{number}")
-        for (strategy, _), members in lists.items():
-            rows = ranks(members[0], tables, start)
-            unified = tuple(o.account_id for o in members if o.unified)
-            if unified:
-                rows = materialise(rows, f"ranks-{strategy.id}")
-            rendered += _render(strategy, rows, tuple(o.account_id for o in members), unified, sent)
+    starts: dict[tuple, DataFrame | None] = {}
+    for number, (family, members) in enumerate(families.items()):
+        first = members[0][1][0]
+        if family.start not in starts:
+            start = _start(first, tables, as_of)
+            shared = sum(f.start == family.start for f in families) > 1
+            starts[family.start] = materialise(start, f"start-{number}") if start is not None and shared and first.strategy.algorithm in RANKINGS else start
+        rows = ranks(family, first.strategy.algorithm, [both for both, _ in members], tables, starts[family.start])
+        everyone = [(n, o.account_id, o.strategy.id, o.unified) for n, (_, group) in enumerate(members) for o in group]
+        addresses = tables.accounts.sparkSession.createDataFrame(everyone, "rendering int, account_id bigint, strategy_id int, unified boolean")
+        geo, unified = geo_columns(family.geo_target), addresses.where("unified").drop("unified")
+        if any(row[-1] for row in everyone):
+            rows = materialise(rows, f"ranks-{number}")
+            rendered.append(documents.unified_documents(rows, geo, unified, None, sent))
+        older = documents.global_documents(rows, geo, addresses.drop("unified"), None, sent) if first.strategy.algorithm in RANKINGS else documents.pair_documents(rows, addresses.drop("unified"), None, sent)
+        rendered.append(older)
     if not rendered:
         raise ValueError("nothing to render")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rendered)

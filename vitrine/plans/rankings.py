@@ -105,6 +105,34 @@ def rank(
     return ranking.ranked(rows, partition).select(*partition, "id", "rank", "score")
 
 
+def rank_for_many(
+    metric_table: DataFrame,
+    tables: Tables,
+    retailer_id: int,
+    catalog_id: int,
+    geo: tuple[str, ...],
+    renderings: list[tuple[filters.RankingFilters, filters.RankingFilters]],
+    bucketed: bool,
+) -> DataFrame:
+    """`rank` for many filters (strategy's and account's) over one metric and catalog, all in one plan.
+
+    The number of the rendering is a column and in all keys. All must be with buckets, or all without.
+    """
+    fields = tables.catalog_fields
+    stock = catalogs.dataset(tables.catalog, retailer_id, catalog_id)
+    fresh = catalogs.latest(stock, tables.expiration)
+    early = [[part.early for part in both if part.early["filters"]] for both in renderings]
+    late = [[part.late for part in both] for both in renderings]
+    variants = representatives.variants_for_many(fresh, early, late, lambda f: filters.field_column(fresh, f, fields))
+    skus = representatives.capped(variants, ("rendering",))
+    scores = ranking.scaled(metrics.rolled_up(metric_table, geo))
+    rows = ranking.with_product_type(ranking.to_skus(scores, skus), stock)
+    partition = ["rendering", *geo]
+    if bucketed:
+        rows, partition = ranking.exploded(rows), [*partition, ranking.BUCKET]
+    return ranking.ranked(rows, partition).select(*partition, "id", "rank", "score")
+
+
 def recommend(
     strategy: Strategy,
     tables: Tables,
