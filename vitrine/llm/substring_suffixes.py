@@ -12,8 +12,8 @@
 4. Hot anchors. A very common line has its anchor in as many windows as there are texts with that line. A repeated
    string holds a run of whole blocks at a fixed distance from the anchor, so windows of such anchors meet by (anchor,
    hash of a run) instead, each with only the few bytes around the run: windows that share nothing but the line never
-   meet. Beyond `GIANT` windows of an anchor nothing is gathered at all: runs, and then the strings around runs that
-   occur twice, are counted by hash with partial sums before the shuffle.
+   meet. Beyond `GIANT` windows of an anchor nothing is gathered at all: rows stream past, and the strings around runs
+   that occur twice are counted by hash with partial sums before the shuffle.
 5. Spans. What repeats goes back to all places with that window, spans are joined by text and cut out of it.
 
 Places are named by a 97-bit hash of the whole text, so equal texts do all of this once, and texts travel compressed. A
@@ -183,7 +183,7 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-WINDOW = "anchor long, key long, window long, many boolean, before int, size int, at int, low int, high int, content binary"
+WINDOW = "anchor long, key long, window long, many boolean, before int, size int, at int, low int, high int, content binary, giant boolean"
 KINDS = tuple({"long": pa.int64(), "boolean": pa.bool_(), "int": pa.int32(), "binary": pa.binary()}[f.split()[1]] for f in WINDOW.split(", "))
 
 
@@ -201,9 +201,9 @@ def _cut(length: int):
                     at = x["place"]
                     before, content = min(at, left), text[max(at - left, 0) : at + length]
                     if x["hot"]:
-                        rows += [(x["anchor"], key, x["window"], x["many"], before, len(content), *rest) for key, *rest in runs_around(content, before, length)]
+                        rows += [(x["anchor"], key, x["window"], x["many"], before, len(content), *rest, x["giant"]) for key, *rest in runs_around(content, before, length)]
                     else:
-                        rows.append((x["anchor"], 0, x["window"], x["many"], before, len(content), 0, 0, 0, content))
+                        rows.append((x["anchor"], 0, x["window"], x["many"], before, len(content), 0, 0, 0, content, False))
                     if len(rows) > 20_000:
                         yield _window_batch(rows)
                         rows = []
@@ -334,7 +334,8 @@ def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-FOUND = "anchor long, window long, low int, high int"
+#: Spans of a window, or with `string` a string of a giant anchor by its hash, which begins at `low`.
+FOUND = "anchor long, window long, low int, high int, string long"
 
 
 def shared_strings(rows: list[tuple[int, int, int, int, bytes]], length: int) -> list[tuple[int, int, int]]:
@@ -352,63 +353,57 @@ def shared_strings(rows: list[tuple[int, int, int, int, bytes]], length: int) ->
 
 
 def _judge(length: int):
-    """Windows in order of anchor and key: spans of each, group by group."""
+    """Windows in order of anchor and key: spans of each, group by group; strings of giant anchors whose run occurs again."""
+    rest = length - (length - BLOCK + 1) // BLOCK * BLOCK
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, out = (None, 0), {}, []
+        key, held, out, waiting = (None, 0), {}, [], []
 
         def close() -> None:
             if held and not key[1]:
                 for window, spans in zip(held, repeats([(x[-1], x[1], x[0]) for x in held.values()], length), strict=True):
-                    out.extend((key[0], window, low, high) for low, high in joined(spans))
+                    out.extend((key[0], window, low, high, None) for low, high in joined(spans))
             elif held:
-                out.extend((key[0], w, -x[1], x[2] - x[1]) for w, x in held.items() if x[0])
+                out.extend((key[0], w, -x[1], x[2] - x[1], None) for w, x in held.items() if x[0])
                 if len(held) > 1:
-                    out.extend((key[0], *found) for found in shared_strings([(w, *x[3:]) for w, x in held.items()], length))
+                    out.extend((key[0], *found, None) for found in shared_strings([(w, *x[3:]) for w, x in held.items()], length))
             held.clear()
+            waiting.clear()
+
+        def stream(window: int, many: bool, before: int, size: int, *row) -> None:
+            """Nothing is kept but the first row of a key, until a second one comes."""
+            if many:
+                out.append((key[0], window, -before, size - before, None))
+            if waiting:
+                for w, (at, low, high, around) in [x for x in waiting if x] + [(window, row)]:
+                    out.extend((key[0], w, at - back, None, xxhash.xxh3_64_intdigest(string, seed=key[1] & 0xFFFFFFFFFFFFFFFF) - (1 << 63)) for back, string in strings_around(low, high, around, rest))
+                waiting[:] = [None]
+            else:
+                waiting.append((window, row))
 
         for batch in batches:
-            x = batch.to_pydict()
-            for anchor, part, window, *rest in zip(*x.values(), strict=True):
-                if (anchor, part) != key:
-                    close()
-                    key = anchor, part
-                held[window] = rest
-            if len(out) > 20_000:
-                yield _found_batch(out)
-                out.clear()
+            for low in range(0, batch.num_rows, 2000):
+                x = batch.slice(low, 2000).to_pydict()
+                for anchor, part, window, *row, giant in zip(*x.values(), strict=True):
+                    if (anchor, part) != key:
+                        close()
+                        key = anchor, part
+                    if giant:
+                        stream(window, *row)
+                    else:
+                        held[window] = row
+                if len(out) > 20_000:
+                    yield _found_batch(out)
+                    out.clear()
         close()
         yield _found_batch(out)
 
     return run
 
 
-STRING = "anchor long, window long, start int, string long"
-
-
-def _strings(length: int):
-    """Every string around the runs of giant anchors, by hash."""
-    rest = length - (length - BLOCK + 1) // BLOCK * BLOCK
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for low in range(0, batch.num_rows, 2000):
-                some = batch.slice(low, 2000).to_pydict()
-                rows = [
-                    (anchor, window, at - back, xxhash.xxh3_64_intdigest(string, seed=key & 0xFFFFFFFFFFFFFFFF) - (1 << 63))
-                    for anchor, key, window, at, a, b, around in zip(*(some[c] for c in ("anchor", "key", "window", "at", "low", "high", "content")), strict=True)
-                    for back, string in strings_around(a, b, around, rest)
-                ]
-                columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
-                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[f.split()[0] for f in STRING.split(", ")])
-
-    return run
-
-
 def _found_batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+    columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[f.split()[0] for f in FOUND.split(", ")])
 
 
@@ -434,19 +429,15 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "spans"])
 
 
-def _of_giants(windows: DataFrame, length: int) -> DataFrame:
-    """Spans of windows of giant anchors: runs that occur twice, then strings around them that do, all by counts."""
-    runs = materialise(windows, "giant-runs")
-    twice = runs.groupBy("anchor", "key").count().where("count > 1").select("anchor", "key")
-    strings = materialise(runs.join(twice, ["anchor", "key"]).mapInArrow(_strings(length), STRING), "giant-strings")
-    again = strings.groupBy("anchor", "start", "string").count().where("count > 1").select("anchor", "start", "string")
+def _repeated_strings(strings: DataFrame, length: int) -> DataFrame:
+    """Spans (anchor, window, low, high) of strings that occur twice, by counts; rows are as in `FOUND`."""
+    again = strings.groupBy("anchor", "low", "string").count().where("count > 1").select("anchor", "low", "string")
+    starts = strings.join(again, ["anchor", "low", "string"]).groupBy("anchor", "window").agg(F.array_sort(F.collect_set("low")).alias("starts"))  # `length` at most
     # Starts next to each other are one span.
-    starts = strings.join(again, ["anchor", "start", "string"]).groupBy("anchor", "window").agg(F.array_sort(F.collect_set("start")).alias("starts"))
-    breaks = F.filter("starts", lambda x, i: (i == 0) | (F.element_at("starts", F.greatest(i, F.lit(1))) < x - 1))
-    ends = F.filter("starts", lambda x, i: (i == F.size("starts") - 1) | (F.element_at("starts", F.least(i + 2, F.size("starts"))) > x + 1))
-    spans = starts.select("anchor", "window", F.inline(F.arrays_zip(breaks.alias("low"), ends.alias("end")))).select("anchor", "window", "low", (F.col("end") + length).alias("high"))
-    whole = runs.where("many").select("anchor", "window", (-F.col("before")).alias("low"), (F.col("size") - F.col("before")).alias("high")).distinct()
-    return spans.unionByName(whole)
+    first = F.filter("starts", lambda x, i: (i == 0) | (F.element_at("starts", F.greatest(i, F.lit(1))) < x - 1))
+    last = F.filter("starts", lambda x, i: (i == F.size("starts") - 1) | (F.element_at("starts", F.least(i + 2, F.size("starts"))) > x + 1))
+    spans = starts.select("anchor", "window", F.inline(F.arrays_zip(first.alias("low"), last.alias("end"))))
+    return spans.select("anchor", "window", "low", (F.col("end") + length).alias("high"))
 
 
 def remove_repeats(documents: DataFrame, *, length: int = 200) -> DataFrame:
@@ -473,15 +464,13 @@ def remove_repeats(documents: DataFrame, *, length: int = 200) -> DataFrame:
     hot, giant = crowds.agg(F.count("*"), F.count(F.when(F.col("count") > GIANT, 1))).first()
     marked = first.join(crowds, "anchor", "left") if hot else first.withColumn("count", F.lit(None).cast("long"))
 
-    def windows(asked: DataFrame) -> DataFrame:
-        x = F.struct("anchor", "window", "many", "place", F.col("count").isNotNull().alias("hot"))
-        listed = asked.groupBy("text_a", "text_c").agg(F.collect_list(x).alias("places"))
-        return one.join(listed, ["text_a", "text_c"]).select("packed", "places").mapInArrow(_cut(length), WINDOW)
-
-    met = windows(marked.where(F.coalesce("count", F.lit(0)) <= GIANT)).repartition("anchor", "key").sortWithinPartitions("anchor", "key")
-    found = met.mapInArrow(_judge(length), FOUND)
+    x = F.struct("anchor", "window", "many", "place", F.col("count").isNotNull().alias("hot"), (F.coalesce("count", F.lit(0)) > GIANT).alias("giant"))
+    asked = marked.groupBy("text_a", "text_c").agg(F.collect_list(x).alias("places"))
+    windows = one.join(asked, ["text_a", "text_c"]).select("packed", "places").mapInArrow(_cut(length), WINDOW)
+    found = windows.repartition("anchor", "key").sortWithinPartitions("anchor", "key").mapInArrow(_judge(length), FOUND)
     if giant:
-        found = found.unionByName(_of_giants(windows(marked.where(F.col("count") > GIANT)), length))
+        found = materialise(found, "repeats")
+        found = found.where("string is null").select("anchor", "window", "low", "high").unionByName(_repeated_strings(found.where("string is not null"), length))
     spans = places.join(found, ["anchor", "window"]).select("text_a", name.alias("text_c"), F.struct((place + F.col("low")).cast("long").alias("start"), (place + F.col("reach") + F.col("high")).cast("long").alias("end")).alias("s"))
     by_text = spans.groupBy("text_a", "text_c").agg(F.collect_list("s").alias("found"))
     return packed.join(by_text, ["text_a", "text_c"], "left").select("doc_id", "packed", "found").mapInArrow(_remove, RESULT)
