@@ -156,3 +156,65 @@ def test_runs_of_one_minute_replace_their_own_labels_only(spark, tmp_path):
 def test_nothing_to_render(spark):
     with pytest.raises(ValueError):
         fan_out.all_documents([], ranking_tables(spark), AS_OF, SENT)
+
+
+def _many(n):
+    """Strategies of all shapes: with and without buckets, tests on merged texts, geo targets, dynamic filters."""
+    cart = leaf("startswith", "product_type", "any_item_in_cart", function=True)
+    base = "items_from_base_recommendation_on"
+    shapes = [
+        ("view", tree("and", leaf(">", "price", 2)), "none"), ("view", tree("or", leaf("not contains", "product_type", ["jeans"])), "none"),
+        ("most_popular", tree("and", cart), "none"), ("view", tree("and", leaf("startswith", "product_type", ["Clothing > %,"])), "none"), ("view", tree("and"), "country"),
+    ]
+    lists = [
+        ("view_also_view", tree("and", leaf("in", "color", base, function=True)), "none"), ("view_also_view", tree("and", leaf("not startswith", "product_type", base, function=True)), "none"),
+        ("view_also_view", tree("and", cart), "none"), ("view_also_view", tree("and", leaf("<", "price", 6)), "none"), ("similar_products_v2", tree("and", leaf("in", "color", base, function=True)), "none"),
+    ]
+    for family in (shapes, lists):
+        yield [Strategy(k, a, RETAILER, CATALOG, 30, f, geo_target=g, account_id=ACCOUNT) for k, (a, f, g) in zip(range(n), family * n)]
+
+
+WEIGHTS = AccountSettings(similarity_weights=(("color", 0.5), ("brand", 0.25)))
+
+
+def test_strategies_rendered_together_equal_each_alone(spark):
+    for strategies, tables in zip(_many(5), (ranking_tables(spark), pair_tables(spark))):
+        outputs = [fan_out.Output(s, ACCOUNT, WEIGHTS) for s in strategies]
+        got = {}
+        for d in as_json(fan_out.all_documents(outputs, tables, AS_OF, SENT)):
+            got.setdefault(d["schema"]["id"], []).append(json.dumps(d, sort_keys=True))
+        for s in strategies:
+            geo = sharding.geo_columns(s.geo_target)
+            if s.algorithm in ("view", "most_popular"):
+                alone = documents.global_documents(rankings.recommend(s, tables, AS_OF, WEIGHTS), geo, ACCOUNT, s.id, SENT)
+            else:
+                alone = documents.pair_documents(pairings.recommend(s, tables, AS_OF, WEIGHTS), ACCOUNT, s.id, SENT)
+            assert sorted(got.get(s.id, [])) == sorted(json.dumps(d, sort_keys=True) for d in as_json(alone)), s
+
+
+def _nodes(df):
+    return str(df._jdf.queryExecution().optimizedPlan().toString()).count("\n")
+
+
+def test_plan_does_not_grow_with_strategies(spark):
+    tables = ranking_tables(spark)
+
+    def plan(n):
+        outputs = [
+            fan_out.Output(Strategy(k, "view", RETAILER, CATALOG, 30, tree("and", leaf(">", "price", k / 50), leaf("contains", "product_type", [f"t{k}", "Pants"])), account_id=ACCOUNT), ACCOUNT)
+            for k in range(n)
+        ]
+        return fan_out.all_documents(outputs, tables, AS_OF, SENT)
+
+    few, many = plan(3), plan(200)
+    assert _nodes(many) == _nodes(few)
+    found = {d["schema"]["id"]: [e["id"] for e in d["document"]["data"]] for d in as_json(many)}
+    assert len(found) > 100
+    for k in (0, 99, 149):
+        (alone,) = as_json(plan_of_one(tables, k))
+        assert found[k] == [e["id"] for e in alone["document"]["data"]]
+
+
+def plan_of_one(tables, k):
+    s = Strategy(k, "view", RETAILER, CATALOG, 30, tree("and", leaf(">", "price", k / 50), leaf("contains", "product_type", [f"t{k}", "Pants"])), account_id=ACCOUNT)
+    return documents.global_documents(rankings.recommend(s, tables, AS_OF), (), ACCOUNT, k, SENT)
