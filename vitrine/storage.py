@@ -30,11 +30,23 @@ def _own_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/shared/{spark.sparkContext.applicationId}"
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` to the shared folder and return a scan of it."""
+    """Write `df` to the shared folder and return a scan of it.
+
+    Shuffle files behind it are deleted with the end of the write: nothing reads them any more, and a chain of steps
+    needs no more local disk than its largest one.
+    """
     spark = df.sparkSession
     path = f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
