@@ -270,11 +270,11 @@ def _verify(threshold: float):
     return run
 
 
-def near_units(read: DataFrame, *, shingle: int, threshold: float, miss: float, least_words: int, tile_rows: int) -> DataFrame:
+def near_units(read: DataFrame, *, shingle: int, threshold: float, miss: float, most_bands: int, least_words: int, tile_rows: int) -> DataFrame:
     """(part, number, removed, first_docs) of each row of `read` (`ROWS`; a unit a line) with a unit that occurs again:
     the places to remove, and the first documents of its clusters. Of a cluster the first unit stays, in order of
     doc_id (rows without come last), row and place."""
-    bands, rows = tuned(threshold, miss)
+    bands, rows = tuned(threshold, miss, most_bands)
     keyed = read.select("packed").mapInArrow(_bands(shingle, bands, rows, least_words), "key long, name long")
     members = keyed.repartition("key").sortWithinPartitions("key", "name").mapInArrow(_buckets(tile_rows), MEMBER)
     members = materialise(members.distinct(), "unit-buckets")
@@ -396,7 +396,7 @@ def remove_near(
     """
     options = {"shingle": shingle, "threshold": threshold, "tile_rows": tile_rows}
     read = materialise(documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_read(least_words), ROWS), "paragraph-names")
-    decided = near_units(read, miss=miss, least_words=least_words, **options)
+    decided = near_units(read, miss=miss, most_bands=10, least_words=least_words, **options)
     columns = ["part", "number", "doc_id", F.size("names").cast("long").alias("n_paragraphs")] + ["packed"] * with_text
     none = lambda kind: F.expr(f"cast(array() as array<{kind}>)")
     removed = F.coalesce("removed", none("int"))
@@ -405,7 +405,7 @@ def remove_near(
         decided = materialise(decided, "paragraphs-removed")
         left = read.join(decided, ["part", "number"], "left").select("part", "number", "doc_id", "packed", "removed")
         cut = materialise(left.mapInArrow(_read_pieces(passage_reach), ROWS), "pieces")
-        chosen = near_units(cut, miss=passage_miss, least_words=passage_reach + 1, **options).where("size(removed) > 0").select("part", "number", F.col("removed").alias("chosen"))
+        chosen = near_units(cut, miss=passage_miss, most_bands=4, least_words=passage_reach + 1, **options).where("size(removed) > 0").select("part", "number", F.col("removed").alias("chosen"))
         spans = left.join(chosen, ["part", "number"]).select("part", "number", "packed", "removed", "chosen").mapInArrow(_spans(passage_reach), "part string, number long, spans array<struct<start: int, end: int>>")
         passages = [F.coalesce("spans", none("struct<start: int, end: int>")).alias("spans")]
     rows = read.select(*columns).join(decided, ["part", "number"], "left")
