@@ -54,16 +54,13 @@ def _frequent_products(baskets: DataFrame, minimum_count: int) -> DataFrame:
 def _pairs_of_small(rows: DataFrame, key: tuple[str, ...], item: list[str], condition: Column) -> DataFrame:
     """All fitting pairs of baskets of at most BASKET_ROWS rows: one shuffle, then pairs are formed where a basket lies.
 
-    A basket is sorted by `item`, whose first column is the one that `condition` orders by; each item meets only those
-    after it, so no pair is formed twice and no basket is copied for each of its items.
+    A basket is sorted by `item`, whose first column is the one that `condition` orders by; each item carries only those
+    after it, so no pair is formed twice.
     """
     baskets = rows.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct(*item))).alias("items")).where(F.size("items") > 1)
-
-    def with_later(one: Column, place: Column) -> Column:
-        later = F.slice("items", place + 2, F.size("items"))
-        return F.transform(later, lambda two: F.struct(one.alias("one"), two.alias("two")))
-
-    both = baskets.select(F.inline(F.flatten(F.transform("items", with_later))))
+    left = baskets.select(F.posexplode("items").alias("place", "one"), "items")
+    later = left.select("one", F.slice("items", F.col("place") + 2, F.size("items")).alias("later"))
+    both = later.select("one", F.explode("later").alias("two"))
     named = [F.col(f"{side}.{c}").alias(f"{c}{n}") for n, side in ((1, "one"), (2, "two")) for c in item]
     return both.select(*named).where(condition)
 
@@ -83,8 +80,8 @@ def _pairs_of_large(rows: DataFrame, key: tuple[str, ...], item: list[str], cond
     return side(1, own, every).join(side(2, every, own), [*key, "i", "j"]).where(condition)
 
 
-def _scored(baskets: DataFrame, key: tuple[str, ...], condition: Column, timed: bool, minimum_count: int) -> DataFrame:
-    """Pairs of the rows of each basket, counted per account and directed pair.
+def _pair_rows(baskets: DataFrame, key: tuple[str, ...], condition: Column, timed: bool) -> DataFrame:
+    """(account_id, pid1, pid2, n): pairs of the rows of each basket, not yet added up.
 
     Equal rows of a basket are folded into one with their number first; a pair
     of folded rows stands for the product of the two numbers. Basket sizes come
@@ -104,17 +101,17 @@ def _scored(baskets: DataFrame, key: tuple[str, ...], condition: Column, timed:
         return df.withColumns({new: F.col(old) for old, new in renamed.items()})
 
     keys = tuple(renamed.values())
-    found = _pairs_of_small(keyed(small), keys, item, condition).select("account_id1", "product_id1", "product_id2", "times1", "times2")
-    big = _pairs_of_large(keyed(rows.join(large, list(key))), keys, item, condition).select(found.columns)
-    counted = (
-        found.unionByName(big)
-        .groupBy(F.col("account_id1").alias("account_id"), F.col("product_id1").alias("pid1"), F.col("product_id2").alias("pid2"))
-        .agg(F.sum(F.col("times1") * F.col("times2")).alias("score"))
-    )
+    pair = [F.col("account_id1").alias("account_id"), F.col("product_id1").alias("pid1"), F.col("product_id2").alias("pid2"), (F.col("times1") * F.col("times2")).alias("n")]
+    found = _pairs_of_small(keyed(small), keys, item, condition).select(*pair)
+    return found.unionByName(_pairs_of_large(keyed(rows.join(large, list(key))), keys, item, condition).select(*pair))
+
+
+def _counted(pair_rows: DataFrame, minimum_count: int = 1) -> DataFrame:
+    counted = pair_rows.groupBy("account_id", "pid1", "pid2").agg(F.sum("n").alias("score"))
     return counted.where(F.col("score") >= minimum_count)
 
 
-def _mirrored(half: DataFrame) -> DataFrame:
+def mirrored(half: DataFrame) -> DataFrame:
     """Both directions of every unordered pair, from a single pass over them."""
     both = F.array(
         F.struct(F.col("pid1"), F.col("pid2")), F.struct(F.col("pid2").alias("pid1"), F.col("pid1").alias("pid2"))
@@ -124,21 +121,36 @@ def _mirrored(half: DataFrame) -> DataFrame:
     )
 
 
-def together(baskets: DataFrame, key: tuple[str, ...], minimum_count: int = 1) -> DataFrame:
-    """Directed pairs of different products in one basket, with the number of row pairs.
+def _frequent(baskets: DataFrame, key: tuple[str, ...], minimum_count: int) -> DataFrame:
+    return _frequent_products(baskets, minimum_count) if key == DEVICE else baskets
+
 
-    The count is symmetric, so only the half with pid1 < pid2 is joined and then mirrored.
+def unordered(baskets: DataFrame, key: tuple[str, ...], minimum_count: int = 1) -> DataFrame:
+    """Pairs of different products in one basket (pid1 < pid2), with the number of row pairs.
+
+    The count is symmetric: `mirrored` gives the other half.
     """
-    frequent = _frequent_products(baskets, minimum_count) if key == DEVICE else baskets
     ordered = F.col("product_id1") < F.col("product_id2")
-    return _mirrored(_scored(frequent, key, ordered, False, minimum_count))
+    return _counted(_pair_rows(_frequent(baskets, key, minimum_count), key, ordered, False), minimum_count)
+
+
+def unordered_of_both(online: DataFrame, pos: DataFrame, minimum_count: int = 1) -> DataFrame:
+    """`unordered` of devices and customers with their scores added up; without a threshold, in one aggregation."""
+    if minimum_count > 1:
+        return merged(unordered(online, DEVICE, minimum_count), unordered(pos, CUSTOMER, minimum_count))
+    ordered = F.col("product_id1") < F.col("product_id2")
+    return _counted(_pair_rows(online, DEVICE, ordered, False).unionByName(_pair_rows(pos, CUSTOMER, ordered, False)))
+
+
+def together(baskets: DataFrame, key: tuple[str, ...], minimum_count: int = 1) -> DataFrame:
+    """Directed pairs of different products in one basket, with the number of row pairs."""
+    return mirrored(unordered(baskets, key, minimum_count))
 
 
 def in_sequence(baskets: DataFrame, key: tuple[str, ...], minimum_count: int = 1) -> DataFrame:
     """Directed pairs where the second product came strictly later."""
-    frequent = _frequent_products(baskets, minimum_count) if key == DEVICE else baskets
     later = (F.col("product_id1") != F.col("product_id2")) & (F.col("fact_time1") < F.col("fact_time2"))
-    return _scored(frequent, key, later, True, minimum_count)
+    return _counted(_pair_rows(_frequent(baskets, key, minimum_count), key, later, True), minimum_count)
 
 
 def merged(online: DataFrame, pos: DataFrame, by: str = "sum") -> DataFrame:

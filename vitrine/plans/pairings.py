@@ -36,7 +36,7 @@ def product_pairs(
     """Scored product pairs (account_id, pid1, pid2, score) of a purchase or view algorithm.
 
     Baskets and scored pairs are written to the shared folder: facts are read once, and the range of scores and the
-    lists start from the same pairs.
+    lists start from the same pairs. Of symmetric pairs one half is counted and written, and mirrored when read.
     """
     accounts = scope_of(strategy, tables)
     begin, _ = lookback_window(as_of, strategy.lookback_days)
@@ -45,24 +45,26 @@ def product_pairs(
         views = facts.with_valid_product(facts.facts_since(tables.product_views, accounts, begin, until))
         first = materialise(pairs.earliest_views(views), "first-views")
         usual = pairs.without_outliers(first, strategy.lookback_days, monthly_view_cap)
-        return materialise(pairs.together(usual, pairs.DEVICE, MINIMUM_VIEWS), "pairs")
+        return pairs.mirrored(materialise(pairs.unordered(usual, pairs.DEVICE, MINIMUM_VIEWS), "pairs"))
 
-    form = pairs.in_sequence if strategy.algorithm == "subsequently_purchased" else pairs.together
-    merge = sequence_merge if strategy.algorithm == "subsequently_purchased" else "sum"
+    minimum = settings.minimum_purchases
     datasets = facts.account_datasets(tables.settings, accounts) if tables.settings is not None else None
     source = effective_source(strategy.source, settings.has_point_of_sale and datasets is not None)
 
     online = bought = None
     if source != "offline":
         lines = facts.with_valid_product(facts.facts_since(tables.purchase_lines, accounts, begin, until))
-        last = materialise(pairs.last_purchases(lines), "last-purchases")
-        online = form(last, pairs.DEVICE, settings.minimum_purchases)
+        online = materialise(pairs.last_purchases(lines), "last-purchases")
     if source != "online":
-        pos = materialise(facts.point_of_sale(tables.pos_lines, datasets, tables.expiration, begin, until), "pos-purchases")
-        bought = form(pos, pairs.CUSTOMER, settings.minimum_purchases)
-    if online is not None and bought is not None:
-        return materialise(pairs.merged(online, bought, merge), "pairs")
-    return materialise(bought if online is None else online, "pairs")
+        bought = materialise(facts.point_of_sale(tables.pos_lines, datasets, tables.expiration, begin, until), "pos-purchases")
+    if strategy.algorithm != "subsequently_purchased":
+        if online is not None and bought is not None:
+            half = pairs.unordered_of_both(online, bought, minimum)
+        else:
+            half = pairs.unordered(bought, pairs.CUSTOMER, minimum) if online is None else pairs.unordered(online, pairs.DEVICE, minimum)
+        return pairs.mirrored(materialise(half, "pairs"))
+    found = [pairs.in_sequence(baskets, key, minimum) for baskets, key in ((online, pairs.DEVICE), (bought, pairs.CUSTOMER)) if baskets is not None]
+    return materialise(pairs.merged(*found, sequence_merge) if len(found) == 2 else found[0], "pairs")
 
 
 def ranked_products(scored_pairs: DataFrame, per: tuple[str, ...] = ()) -> DataFrame:
