@@ -58,9 +58,11 @@ def test_lists_cut_early_equal_lists_cut_late(spark, monkeypatch, bucketed, dyna
     fields = {"grade": "STRING"}
     own = replace(filters.split_for_pairs(SAME_GRADE if dynamic else NONE, fields), bucketed=bucketed)
     shared = filters.split_for_pairs(filters.no_filter(), fields)
+    monkeypatch.setattr(collab, "FIRST_LOOK", 1)  # some lists are full after the first look, others not
     early = collab.explode_pairs(pairs_, catalog, own, shared, fields, limit=7)
     got = sorted(map(tuple, early.collect()))
     monkeypatch.setattr(collab, "within_reach", lambda rows, *_: rows.drop("lane"))
+    monkeypatch.setattr(collab, "_passing_from_the_top", lambda rows, sets, passing, *_: passing(rows.join(sets, ["product_id", "share"])))
     assert got == sorted(map(tuple, collab.explode_pairs(pairs_, catalog, own, shared, fields, limit=7).collect()))
     assert len(got) > 60
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from vitrine.functions import filters, product_types
 from vitrine.functions.filters import Fields, PairFilters
 from vitrine.operators import ranking
+from vitrine.storage import materialise
 
 LOOK = ("color", "image_link")
 SHARES = 8
@@ -213,8 +214,12 @@ def _lists(
     sets = _with_parsed_list(attribute_sets(candidates, names, of), dynamic_fields)
     every = F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1)))
     dealt = pairs.withColumn("share", F.pmod(F.xxhash64("lookup_key"), F.lit(SHARES)).cast("int"))
-    rows = passing(dealt.join(sets.withColumn("share", every), ["product_id", "share"]))
+    spread = sets.withColumn("share", every)
     keys = (*per, *of)
+    if dynamic_fields and not bucketed and not of:
+        rows = _passing_from_the_top(dealt, spread, passing, per, limit)
+    else:
+        rows = passing(dealt.join(spread, ["product_id", "share"]))
     kept = within_reach(rows, bucketed, keys, limit).select(*keys, "lookup_key", "product_id", "share", "score", *names)
     shared = [*of, *names]
     own = candidates.select(F.col("item_group_id").alias("_product"), F.col("id"), *LOOK, *[F.col(n).alias(f"_{n}") for n in shared], every.alias("_share"))
@@ -222,6 +227,32 @@ def _lists(
     return sku_lists(kept.join(own, reduce(Column.__and__, same)), bucketed, keys, limit)
 
 
+FIRST_LOOK = 4  # how many times the length of a list is tested against the base item first
+
+
+def _passing_from_the_top(pairs: DataFrame, sets: DataFrame, passing: Callable[[DataFrame], DataFrame], per: tuple[str, ...], limit: int) -> DataFrame:
+    """Attribute sets that pass the dynamic filters, without testing those of products far down a list that is full above.
+
+    The best FIRST_LOOK * limit products of each lookup key are tested first. A product's best set has its score and
+    highest SKU, and products go by these, so all sets of the products left out come after `bound`, the last product
+    tested. Where `limit` sets in lane 0 pass that do not come after the bound, the list is full (see `within_reach`);
+    the others, among them short lists whose products were all tested, are tested on.
+    """
+    key, size = [*per, "lookup_key"], FIRST_LOOK * limit
+    tops = sets.groupBy("product_id", "share").agg(F.max("top.id").alias("top_id"))
+    order = Window.partitionBy(*key).orderBy(F.col("score").desc(), F.col("top_id").desc())
+    known = pairs.join(tops, ["product_id", "share"])
+    first = materialise(known.withColumn("nth", F.dense_rank().over(order)).where(F.col("nth") <= size), "first-look")
+    passed = materialise(passing(first.drop("top_id", "nth").join(sets, ["product_id", "share"])), "first-passed")
+    bounds = first.groupBy(*key).agg(F.min(F.struct("score", "top_id")).alias("bound"), F.max("nth").alias("tested"))
+    above = F.struct("score", F.col("top.id").alias("top_id")) >= F.col("bound")
+    places = passed.where("lane = 0").join(bounds, key).where(above).groupBy(*key).agg(F.countDistinct("score", "top").alias("n"))
+    short = bounds.where(F.col("tested") < size).select(*key)
+    done = places.where(F.col("n") >= limit).select(*key).unionByName(short).distinct()
+    rest = known.join(done, key, "left_anti").join(bounds.select(*key, "bound"), key).where(F.struct("score", "top_id") < F.col("bound"))
+    return passed.unionByName(passing(rest.drop("top_id", "bound").join(sets, ["product_id", "share"])))
+
+
 def static_part(catalog: DataFrame, first: PairFilters, second: PairFilters, fields: Fields) -> DataFrame:
     """Catalog rows that pass both static filters."""
     for part in (first, second):
