@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from vitrine.llm.common import as_bytes
 from vitrine.llm.components import components
-from vitrine.llm.substring_suffixes import MIX, joined
+from vitrine.llm.substring_suffixes import MIX, _sliding, joined
 from vitrine.storage import discard, materialise
 
 TILE_ROWS = 5000
@@ -116,19 +116,19 @@ def _read(least_words: int):
     return run
 
 
-def _bands(size: int, bands: int, rows: int, least_words: int):
+def _bands(size: int, bands: int, rows: int):
+    """Band keys of the named units of each text; a name that a task has met before is not worked again."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         expand, seen = zstandard.ZstdDecompressor(), set()
         for batch in batches:
             fresh: dict[int, list[bytes]] = {}
             held = 0
-            for packed in batch.column(0).to_pylist():
-                for words in paragraphs_of(expand.decompress(packed)):
-                    if len(words) >= least_words:
-                        name = _name(words)
-                        if name not in seen and name not in fresh:
-                            fresh[name] = words
-                            held += len(words)
+            for packed, names in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for name, line in zip(names, expand.decompress(packed).lower().split(b"\n"), strict=True):
+                    if name is not None and name not in seen and name not in fresh:
+                        words = fresh[name] = line.split()
+                        held += len(words)
                 if held > 150_000:
                     yield _keys(fresh, size, bands, rows)
                     seen.update(fresh)
@@ -270,12 +270,12 @@ def _verify(threshold: float):
     return run
 
 
-def near_units(read: DataFrame, *, shingle: int, threshold: float, miss: float, most_bands: int, least_words: int, tile_rows: int) -> DataFrame:
+def near_units(read: DataFrame, *, shingle: int, threshold: float, miss: float, most_bands: int, tile_rows: int) -> DataFrame:
     """(part, number, removed, first_docs) of each row of `read` (`ROWS`; a unit a line) with a unit that occurs again:
     the places to remove, and the first documents of its clusters. Of a cluster the first unit stays, in order of
     doc_id (rows without come last), row and place."""
     bands, rows = tuned(threshold, miss, most_bands)
-    keyed = read.select("packed").mapInArrow(_bands(shingle, bands, rows, least_words), "key long, name long")
+    keyed = read.select("packed", "names").mapInArrow(_bands(shingle, bands, rows), "key long, name long")
     members = keyed.repartition("key").sortWithinPartitions("key", "name").mapInArrow(_buckets(tile_rows), MEMBER)
     members = materialise(members.distinct(), "unit-buckets")
 
@@ -314,9 +314,9 @@ def pieces(words: list[bytes], reach: int) -> list[tuple[int, int]]:
     h ^= h >> np.uint64(29)
     h *= MIX[2]
     h ^= h >> np.uint64(32)
-    padded = np.concatenate([np.full(reach, np.iinfo(np.uint64).max), h, np.full(reach, np.iinfo(np.uint64).max)])
-    around = np.lib.stride_tricks.sliding_window_view(padded, reach)
-    least = (h < around[:n].min(axis=1)) & (h <= around[reach + 1 : reach + 1 + n].min(axis=1))
+    ends = np.full(reach, np.iinfo(np.uint64).max)
+    around = _sliding(np.concatenate([ends, h, ends]), reach, np.minimum)
+    least = (h < around[:n]) & (h <= around[reach + 1 : reach + 1 + n])
     cuts = np.flatnonzero(least)
     out, start = [], 0
     for cut in [*cuts[cuts > 0].tolist(), n]:
@@ -396,7 +396,7 @@ def remove_near(
     """
     options = {"shingle": shingle, "threshold": threshold, "tile_rows": tile_rows}
     read = materialise(documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_read(least_words), ROWS), "paragraph-names")
-    decided = near_units(read, miss=miss, most_bands=10, least_words=least_words, **options)
+    decided = near_units(read, miss=miss, most_bands=10, **options)
     columns = ["part", "number", "doc_id", F.size("names").cast("long").alias("n_paragraphs")] + ["packed"] * with_text
     none = lambda kind: F.expr(f"cast(array() as array<{kind}>)")
     removed = F.coalesce("removed", none("int"))
@@ -405,7 +405,7 @@ def remove_near(
         decided = materialise(decided, "paragraphs-removed")
         left = read.join(decided, ["part", "number"], "left").select("part", "number", "doc_id", "packed", "removed")
         cut = materialise(left.mapInArrow(_read_pieces(passage_reach), ROWS), "pieces")
-        chosen = near_units(cut, miss=passage_miss, most_bands=4, least_words=passage_reach + 1, **options).where("size(removed) > 0").select("part", "number", F.col("removed").alias("chosen"))
+        chosen = near_units(cut, miss=passage_miss, most_bands=4, **options).where("size(removed) > 0").select("part", "number", F.col("removed").alias("chosen"))
         spans = left.join(chosen, ["part", "number"]).select("part", "number", "packed", "removed", "chosen").mapInArrow(_spans(passage_reach), "part string, number long, spans array<struct<start: int, end: int>>")
         passages = [F.coalesce("spans", none("struct<start: int, end: int>")).alias("spans")]
     rows = read.select(*columns).join(decided, ["part", "number"], "left")
