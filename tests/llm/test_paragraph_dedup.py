@@ -183,3 +183,12 @@ def test_one_line_and_one_passage_in_every_text(spark):
     got = {r.doc_id: r for r in remove_near(frame(spark, rows).repartition(3), passage_reach=6, tile_rows=40).collect()}
     assert [got[i].removed for i in range(150)] == [[]] + [[1]] * 149
     assert [bool(got[i].spans) for i in range(150)] == [False] + [True] * 149
+
+
+def test_passages_of_texts_that_are_empty_or_lose_all(spark):
+    line = "one two three four five six seven eight nine"
+    rows = [(1, line, "en", "s", 1), (2, line, "en", "s", 1), (3, "", "en", "s", 1), (4, None, "en", "s", 1), (5, " \n ", "en", "s", 1)]
+    got = {r.doc_id: r for r in remove_near(frame(spark, rows).repartition(2), passage_reach=6, with_text=True).collect()}
+    assert {i: (r.n_paragraphs, r.removed, r.spans, r.kept) for i, r in got.items()} == {
+        1: (1, [], [], line), 2: (1, [0], [], ""), 3: (1, [], [], ""), 4: (1, [], [], ""), 5: (2, [], [], " \n ")
+    }

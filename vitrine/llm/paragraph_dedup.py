@@ -348,7 +348,8 @@ def _read_pieces(reach: int):
             for text, removed in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
                 words, _, ranges = pieces_left(expand.decompress(text), removed or [], reach)
                 cut = [b" ".join(words[a:b]) for a, b in ranges]
-                names.append([xxhash.xxh3_64_intdigest(c) - (1 << 63) if b - a > reach else None for c, (a, b) in zip(cut, ranges, strict=True)])
+                found = [xxhash.xxh3_64_intdigest(c) - (1 << 63) if b - a > reach else None for c, (a, b) in zip(cut, ranges, strict=True)]
+                names.append(found or [None])  # nothing left: one empty line, as of an empty text
                 packed.append(press.compress(b"\n".join(cut)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(packed, pa.binary()), pa.array(names, pa.list_(pa.int64()))], names=[f.split()[0] for f in ROWS.split(", ")])
 
