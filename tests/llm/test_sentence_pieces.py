@@ -6,6 +6,7 @@ import pytest
 from helpers import AWKWARD, frame, with_extras
 from sentencepiece import SentencePieceProcessor
 
+from vitrine.llm import sentence_pieces
 from vitrine.llm.sentence_pieces import Codec, Pieces, encode
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -62,3 +63,21 @@ def test_query_rows(spark, library):
         expected.append((i is None, i or 0, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((library.decode(ids) if ids else "").encode()).hexdigest(), tuple(ids)))
     assert got == sorted(expected)
     assert encode(frame(spark, []), PATH).count() == 0
+
+
+def test_runs_of_spaces_go_through_the_backtracking(library, codec, monkeypatch):
+    merges = []
+    monkeypatch.setattr(sentence_pieces, "merged", lambda text, scores, plain=sentence_pieces.merged: merges.append(text) or plain(text, scores))
+    for n in range(2, 150):
+        for tail in ("", "word", "the", "漢", "ꙮ", "9", ".x", "unbelievably", "\n"):
+            text = " " * n + tail
+            codec.known.clear(), codec.odd.clear()
+            assert codec.both(text) == (len(ids := library.encode(text)), ",".join(map(str, ids)), library.decode(ids)), (n, tail)
+    assert max(map(len, merges)) <= 2 * max(map(len, codec.pieces.ids))  # only pairs of neighbours
+
+
+def test_text_is_decoded_from_the_ids():
+    pieces = Pieces.read(PATH)
+    own = Codec(pieces)
+    own.by_decimal[str(pieces.ids["▁the"])] = "▁THE"
+    assert own.both("of the day")[2] == "of THE day"

@@ -6,8 +6,9 @@ there, checks it against its left neighbour by re-merging (results are remembere
 do not fit, and steps back where none fits; a bitfield marks positions from which no way on was found.
 
 Text is cut into units first: at a space sign after another character, and around line ends. `Pieces` proves from
-the vocabulary that no piece spans such a cut. Pieces of nothing but space signs share one score, so their order depends
-on the position and not on the pair alone: a unit with several leading signs is merged directly.
+the vocabulary that no piece spans such a cut. Pieces of nothing but space signs share one score, the lowest, and have no
+other signs beside them: the leftmost grows as far as there is a piece for it, after all other merges, so the sequence
+of a run depends on its length alone, and neighbours merged afresh tell it as they do any other.
 """
 
 from __future__ import annotations
@@ -85,16 +86,15 @@ class Codec:
         self.by_id = {i: p for p, i in pieces.ids.items()}
         self.byte_of = {i: b for b, i in enumerate(pieces.byte_ids)}
         self.decimal = {p: str(i) for p, i in pieces.ids.items()}
+        self.by_decimal = {str(i): p for i, p in self.by_id.items()}
         self.known: dict[str, str] = {}  # ids of units, in decimal
-        self.odd: dict[str, str] = {}  # decoded text of the units that do not decode to themselves
+        self.odd: dict[str, str] = {}  # those of them whose ids decode to another text, with that text
 
     def _fits(self, a: str, b: str) -> bool:
         return merged(a + b, self.pieces.scores) == [a, b]
 
     def split(self, text: str) -> list[str]:
         """The pieces (or single unknown characters) of a unit."""
-        if text.startswith(SPACE * 2):
-            return merged(text, self.pieces.scores)
         if len(text) < 2:
             return [text] if text else []
         n = len(text)
@@ -139,32 +139,39 @@ class Codec:
                 out.append(i)
         return out
 
-    def _unit(self, unit: str) -> str:
+    def _unit(self, unit: str) -> tuple[str, str]:
+        """Ids of a unit, in decimal, and the text that they decode to."""
         found = list(map(self.decimal.get, self.split(unit)))
         if None in found:
             ids = self.encode_unit(unit)
-            found = list(map(str, ids))
-            decoded = self._joined(ids)
-            if decoded != unit.replace(SPACE, " "):
-                self.odd[unit] = decoded
+            found, decoded = list(map(str, ids)), self._joined(ids)
+        else:
+            decoded = "".join(map(self.by_decimal.get, found))
         joined = ",".join(found)
         if len(unit) <= 40:
             if len(self.known) >= REMEMBERED:
-                self.known.clear()
+                self.known.clear(), self.odd.clear()
             self.known[unit] = joined
-        return joined
+            if decoded != unit and decoded != unit.replace(SPACE, " "):
+                self.odd[unit] = decoded
+        return joined, decoded
 
     def _parts(self, text: str) -> tuple[list[str], list[str]]:
+        """Ids of each unit, and the text that they decode to (its space signs may still be such)."""
         units = self.units(SPACE + text.replace(" ", SPACE)) if text else []
         found = list(map(self.known.get, units))
+        told = list(map(self.odd.get, units, units)) if self.odd else units
         if None in found:
+            told = list(told)
             for i, ids in enumerate(found):
                 if ids is None:
-                    found[i] = self.known.get(units[i]) or self._unit(units[i])
-        return units, found
+                    unit = units[i]
+                    ids = self.known.get(unit)
+                    found[i], told[i] = self._unit(unit) if ids is None else (ids, self.odd.get(unit, unit))
+        return found, told
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for ids in self._parts(text)[1] for i in ids.split(",")]
+        return [int(i) for ids in self._parts(text)[0] for i in ids.split(",")]
 
     def _joined(self, ids: list[int]) -> str:
         out, run = [], bytearray()
@@ -186,13 +193,11 @@ class Codec:
     def both(self, text: str) -> tuple[int, str, str]:
         """Number of ids, the ids in decimal joined by commas, and the text decoded from them.
 
-        Pieces decode to themselves, so a unit made of them decodes to itself; one with bytes is decoded and compared
-        when it is met. Units end at whole characters, so decoding them apart gives what decoding all ids gives.
+        Units end at whole characters, so decoding them apart gives what decoding all ids gives.
         """
-        units, found = self._parts(text)
+        found, told = self._parts(text)
         joined = ",".join(found)
-        decoded = "".join([self.odd.get(u, u) for u in units]) if self.odd else SPACE * bool(text) + text
-        return (joined.count(",") + 1 if joined else 0), joined, decoded.replace(SPACE, " ").removeprefix(" ")
+        return (joined.count(",") + 1 if joined else 0), joined, "".join(told).replace(SPACE, " ").removeprefix(" ")
 
 
 def _utf8(run: bytearray) -> str:
