@@ -88,3 +88,33 @@ def test_nothing_to_learn(spark):
     assert toxicity.toxicity(frame(spark, []), labels).count() == 0
     one_kind = spark.createDataFrame([(1, 1, 0), (2, 1, 0)], "doc_id long, quality int, toxic int")
     assert not train(frame(spark), one_kind).ready
+
+
+def test_all_labelled_rows_teach_in_shards(spark, monkeypatch):
+    rows, labels = _rows(900, 4)
+    documents = frame(spark, rows)
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    taught = {i for i, *_ in labels if zlib.crc32(str(i).encode()) % 4 != 2}
+    assert {r._id for r in toxicity._labelled(documents, table, 4).collect()} == taught
+    monkeypatch.setattr(toxicity, "SHARD_TEXTS", 120)
+    monkeypatch.setattr(toxicity, "STEPS", 300)
+    model, other = train(documents, table), train(documents.repartition(5), table.repartition(3))
+    for one, two in zip([model.first, model.second, model.thresholds, model.offset, *model.dense()], [other.first, other.second, other.thresholds, other.offset, *other.dense()], strict=True):
+        assert np.array_equal(one, two)
+    held = [(r, t) for r, (i, _, t) in zip(rows, labels, strict=True) if i not in taught]
+    hashes = [word_hashes(r[1].encode()) for r, _ in held]
+    found = model.bend(probabilities(model, hashes), np.array([language(h) for h in hashes])) >= toxicity.CUT
+    assert sum(int(f) == t for f, (_, t) in zip(found, held, strict=True)) >= 0.95 * len(held)
+    assert not np.array_equal(model.first, toxicity.Model.new().first)
+
+
+def test_changes_add_up_to_the_model_learned():
+    rows, labels = _rows(60, 5)
+    was = toxicity.Model.new(), toxicity.Squares.new(toxicity.Model.new())
+    model, squares = toxicity.copy.deepcopy(was)
+    toxicity.learn(model, squares, [word_hashes(r[1].encode()) for r in rows], np.array([x[2] for x in labels]), 1.5, 2, np.random.default_rng(1))
+    table = toxicity._changes(model, squares, *was)
+    step = np.column_stack([table[f"v{k}"].to_numpy() for k in range(toxicity.WIDE)]) / toxicity.EXACT
+    toxicity._follow(*was, table["part"].to_numpy(), table["at"].to_numpy(), step)
+    for one, two in zip([*was[0].dense(), was[0].first, was[0].second, was[0].offset, *was[1].dense, was[1].tables, was[1].offset], [*model.dense(), model.first, model.second, model.offset, *squares.dense, squares.tables, squares.offset], strict=True):
+        assert np.allclose(one, two, atol=1e-5)

@@ -4,14 +4,16 @@ A word's vector is the sum of two rows of hashed embedding tables, so two words
 Filters of several widths run over the whole text, each keeps its maximum, and a logistic layer turns the maxima into a
 probability. Training needs gradients at the maxima only.
 
-`train` fits on a sample of labelled documents: at most about `per_class` of either label, chosen by a hash of the id
-over all labelled rows outside the held-out part. Part of it is kept from training to choose, for each language (told
-from the text's own function words), the threshold of the best F0.5; probabilities are then bent so that this threshold
-becomes 0.3 in every language. Scoring reads whole texts where they lie, with no shuffle; the model has a fixed size.
+`train` fits on every labelled document outside the held-out part. They are dealt out in shards; in each round every shard
+goes once through its texts from the model all share, and the changes are averaged, each row of a table over the shards
+that changed it. A fifth of the documents is kept from training to choose, for each language (told from the text's own
+function words), the threshold of the best F0.5; probabilities are then bent so that this threshold becomes 0.3 in every
+language. Scoring reads whole texts where they lie, with no shuffle; the model has a fixed size.
 """
 
 from __future__ import annotations
 
+import copy
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -23,13 +25,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.llm.common import as_bytes, held_out, per_worker
+from vitrine.storage import discard, materialise
 
 ROWS = 1 << 17  # of each embedding table; one more, of zeros, is the empty word
 SIZE = 8
 WIDTHS = (1, 2, 3)
 FILTERS = 8  # of each width
 CUT = 0.3
-PER_CLASS = 2500
+STEPS, BATCH = 900, 32  # steps at least, of so many texts
+SHARD_TEXTS, SHARD_WORDS = 8000, 4_000_000  # about, so that a task holds no more
+EXACT = 1 << 30  # changes are added up as whole multiples of 1 / EXACT, in any order alike
+BINS = 1 << 14  # of probabilities, when a threshold is chosen
 BLOCK = 1 << 16  # words convolved at once
 LETTERS = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 
@@ -103,6 +109,9 @@ class Model:
         z = np.maximum(maxima + self.bias, 0) @ self.weights + self.offset
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
+    def dense(self) -> list[np.ndarray]:
+        return [*self.filters, self.bias, self.weights]
+
     def bend(self, p: np.ndarray, languages: np.ndarray) -> np.ndarray:
         t = self.thresholds[languages]
         return np.where(p < t, CUT * p / t, CUT + (1 - CUT) * (p - t) / (1 - t))
@@ -152,24 +161,26 @@ def probabilities(model: Model, texts: list[np.ndarray]) -> np.ndarray:
     return model.probability(best)
 
 
-def fit(texts: list[np.ndarray], labels: np.ndarray, *, steps: int = 900, rate: float = 0.1, batch: int = 32, seed: int = 7) -> Model:
-    """Train on four fifths of the texts, choose thresholds on the fifth left aside."""
-    model = Model.new(seed)
+@dataclass
+class Squares:
+    """Sums of squared gradients, by which steps get shorter."""
+
+    dense: list[np.ndarray]
+    tables: np.ndarray
+    offset: float = 1e-3
+
+    @classmethod
+    def new(cls, model: Model) -> Squares:
+        return cls([np.full(p.shape, 1e-3, np.float32) for p in model.dense()], np.full((2, ROWS), 1e-3, np.float32))
+
+
+def learn(model: Model, squares: Squares, texts: list[np.ndarray], labels: np.ndarray, heavier: float, epochs: int, draw: np.random.Generator, *, rate: float = 0.1, batch: int = BATCH) -> None:
+    """Go through the texts `epochs` times, changing `model` and `squares`; toxic ones weigh `heavier`."""
     labels = np.asarray(labels, np.float32)
-    if not len(labels) or labels.min() == labels.max():
-        model.ready = False
-        return model
-    draw = np.random.default_rng(seed)
-    aside = np.zeros(len(texts), bool)
-    aside[draw.permutation(len(texts))[: len(texts) // 5]] = True
-    train = np.flatnonzero(~aside)
-    weight = np.where(labels > 0, max(1.0, ((labels == 0).sum() / (labels > 0).sum()) ** 0.5), 1.0)
-    dense = [*model.filters, model.bias, model.weights]
-    squares = [np.full(p.shape, 1e-3, np.float32) for p in dense]
-    table_squares = np.full((2, ROWS), 1e-3, np.float32)
-    offset_square = 1e-3
-    for _ in range(max(4, -(-steps * batch // len(train)))):
-        order = draw.permutation(train)
+    weight = np.where(labels > 0, heavier, 1.0)
+    dense = model.dense()
+    for _ in range(epochs):
+        order = draw.permutation(len(texts))
         for low in range(0, len(order), batch):
             some = order[low : low + batch]
             a, b, edges = lay_out([texts[i] for i in some])
@@ -193,38 +204,64 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, *, steps: int = 900, rate:
                     rows_a.append(a[place][live])
                     rows_b.append(b[place][live])
                     changes.append((g[:, :, None] * filters[j].T[None])[live])
-            for p, g, s in zip(dense, [*grads, back.sum(axis=0), hidden.T @ error], squares, strict=True):
+            for p, g, s in zip(dense, [*grads, back.sum(axis=0), hidden.T @ error], squares.dense, strict=True):
                 s += g * g
                 p -= (rate * g / np.sqrt(s)).astype(np.float32)
             g = float(error.sum())
-            offset_square += g * g
-            model.offset -= rate * g / offset_square**0.5
+            squares.offset += g * g
+            model.offset -= rate * g / squares.offset**0.5
             change = np.concatenate(changes)
             for t, (table, rows) in enumerate(((model.first, np.concatenate(rows_a)), (model.second, np.concatenate(rows_b)))):
                 found, inverse = np.unique(rows, return_inverse=True)
                 g = np.zeros((len(found), SIZE), np.float32)
                 np.add.at(g, inverse, change)
-                table_squares[t, found] += (g * g).mean(axis=1)
-                table[found] -= rate * g / np.sqrt(table_squares[t, found])[:, None]
+                squares.tables[t, found] += (g * g).mean(axis=1)
+                table[found] -= rate * g / np.sqrt(squares.tables[t, found])[:, None]
+
+
+def _heavier(clean: int, toxic: int) -> float:
+    return max(1.0, (clean / toxic) ** 0.5)
+
+
+def _epochs(texts: int, steps: int, batch: int) -> int:
+    return max(4, -(-steps * batch // max(texts, 1)))
+
+
+def fit(texts: list[np.ndarray], labels: np.ndarray, *, steps: int = STEPS, rate: float = 0.1, batch: int = BATCH, seed: int = 7) -> Model:
+    """`train` in one process, for texts that are all at hand: four fifths train, thresholds come from the others."""
+    model = Model.new(seed)
+    labels = np.asarray(labels, np.float32)
+    if not len(labels) or labels.min() == labels.max():
+        model.ready = False
+        return model
+    draw = np.random.default_rng(seed)
+    aside = np.zeros(len(texts), bool)
+    aside[draw.permutation(len(texts))[: len(texts) // 5]] = True
+    chosen = np.flatnonzero(~aside)
+    heavier = _heavier((labels == 0).sum(), (labels > 0).sum())
+    learn(model, Squares.new(model), [texts[i] for i in chosen], labels[chosen], heavier, _epochs(len(chosen), steps, batch), draw, rate=rate, batch=batch)
     texts, labels = [texts[i] for i in np.flatnonzero(aside)], labels[aside]
-    p = probabilities(model, texts)
-    languages = np.array([language(t) for t in texts])
-    model.thresholds[:] = best_threshold(p, labels) if (labels > 0).sum() >= ENOUGH else 0.5
+    set_thresholds(model, np.array([language(t) for t in texts]), probabilities(model, texts), labels, np.ones(len(texts), np.int64))
+    return model
+
+
+def set_thresholds(model: Model, languages: np.ndarray, p: np.ndarray, labels: np.ndarray, n: np.ndarray) -> None:
+    """Thresholds from rows that stand for `n` texts each."""
+    model.thresholds[:] = best_threshold(p, labels, n) if n[labels > 0].sum() >= ENOUGH else 0.5
     for k in range(OTHER):
         own = languages == k
-        if (labels[own] > 0).sum() >= ENOUGH:
-            model.thresholds[k] = best_threshold(p[own], labels[own])
-    return model
+        if n[own & (labels > 0)].sum() >= ENOUGH:
+            model.thresholds[k] = best_threshold(p[own], labels[own], n[own])
 
 
 ENOUGH = 20  # toxic texts that a threshold is chosen by
 
 
-def best_threshold(p: np.ndarray, labels: np.ndarray) -> float:
+def best_threshold(p: np.ndarray, labels: np.ndarray, n: np.ndarray) -> float:
     """Middle of the gap below the best F0.5 (precision counts double); the higher of equals, so doubtful texts pass."""
     order = np.argsort(-p, kind="stable")
-    p, good = p[order], labels[order] > 0
-    hit, said = np.cumsum(good), np.arange(1, len(p) + 1)
+    p, n, good = p[order], n[order], n[order] * (labels[order] > 0)
+    hit, said = np.cumsum(good), np.cumsum(n)
     score = 1.25 * hit / (said + 0.25 * good.sum())
     score[:-1][p[:-1] == p[1:]] = -1  # a threshold can't part equal probabilities
     at = int(score.argmax())
@@ -232,33 +269,129 @@ def best_threshold(p: np.ndarray, labels: np.ndarray) -> float:
     return float(np.clip((p[at] + below) / 2, 0.1, 0.9))
 
 
-def _sample(documents: DataFrame, labels: DataFrame, modulus: int, per_class: int) -> DataFrame:
-    """word hashes and label of the chosen documents."""
+WIDE = SIZE + 1  # numbers in a row of changes: those of a table's row and its square
+CHANGES = "part int, at int, " + ", ".join(f"v{k} long" for k in range(WIDE))
+
+
+def _vector(model: Model, squares: Squares) -> np.ndarray:
+    """All but the tables, in rows of WIDE."""
+    parts = [*model.dense(), [model.offset], *squares.dense, [squares.offset]]
+    flat = np.concatenate([np.ravel(p).astype(np.float64) for p in parts])
+    return np.concatenate([flat, np.zeros(-len(flat) % WIDE)]).reshape(-1, WIDE)
+
+
+def _changes(model: Model, squares: Squares, was: Model, squares_was: Squares) -> pa.Table:
+    """What has changed: rows of the tables (parts 0 and 1) and all else (part 2)."""
+    blocks = []
+    for t, (new, old) in enumerate(((model.first, was.first), (model.second, was.second))):
+        at = np.flatnonzero(squares.tables[t] != squares_was.tables[t])
+        step = np.column_stack([new[at].astype(np.float64) - old[at], squares.tables[t, at].astype(np.float64) - squares_was.tables[t, at]])
+        blocks.append((t, at, step))
+    step = _vector(model, squares) - _vector(was, squares_was)
+    blocks.append((2, np.arange(len(step)), step))
+    whole = np.rint(np.concatenate([step for *_, step in blocks]) * EXACT).astype(np.int64)
+    part = np.concatenate([np.full(len(at), k, np.int32) for k, at, _ in blocks])
+    place = np.concatenate([at for _, at, _ in blocks]).astype(np.int32)
+    return pa.table([pa.array(part), pa.array(place), *(pa.array(np.ascontiguousarray(c)) for c in whole.T)], names=["part", "at", *(f"v{k}" for k in range(WIDE))])
+
+
+def _follow(model: Model, squares: Squares, part: np.ndarray, at: np.ndarray, step: np.ndarray) -> None:
+    """Apply averaged changes."""
+    for t, table in enumerate((model.first, model.second)):
+        own = part == t
+        table[at[own]] += step[own, :SIZE].astype(np.float32)
+        squares.tables[t, at[own]] += step[own, SIZE].astype(np.float32)
+    flat = _vector(model, squares)
+    own = part == 2
+    flat[at[own]] += step[own]
+    flat, low = flat.ravel(), 0
+    for owner, pieces in ((model, model.dense()), (squares, squares.dense)):
+        for piece in pieces:
+            piece[...] = flat[low : low + piece.size].reshape(piece.shape)
+            low += piece.size
+        owner.offset = float(flat[low])
+        low += 1
+
+
+def _labelled(documents: DataFrame, labels: DataFrame, modulus: int) -> DataFrame:
+    """Word hashes and label of every labelled document outside the held-out part, and whether it is kept from training."""
     usable = labels.where("toxic is not null and doc_id is not null").where(~held_out("doc_id", modulus)).select(F.col("doc_id").cast("long").alias("_id"), (F.col("toxic") > 0).alias("_toxic"))
     usable = usable.groupBy("_id").agg(F.max("_toxic").alias("_toxic"))
-    sizes = {r["_toxic"]: r["count"] for r in usable.groupBy("_toxic").count().collect()}
-    share = F.when(F.col("_toxic"), F.lit(per_class / max(sizes.get(True, 0), 1))).otherwise(F.lit(per_class / max(sizes.get(False, 0), 1)))
-    chosen = usable.where(F.pmod(F.xxhash64("_id"), F.lit(1_000_003)) < share * 1_000_003)
-    texts = documents.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"))
-    # About 2 x per_class ids, whatever the size of the tables.
-    found = texts.join(F.broadcast(chosen), "_id")
+    texts = documents.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text")).where("_id is not null")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hashes = [word_hashes(t).tobytes() for t in as_bytes(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hashes, pa.binary()), batch.column(2)], names=["_id", "hashes", "toxic"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hashes, pa.binary())], names=["_id", "hashes"])
+
+    # Labels grow with the documents, so both are shuffled at any size; hashes are smaller than texts.
+    found = texts.mapInArrow(run, "_id long, hashes binary").join(usable.hint("shuffle_hash"), "_id")
+    aside = F.pmod(F.xxhash64(F.lit("aside"), "_id"), F.lit(5)) == 0
+    return found.select("_id", "hashes", F.col("_toxic").alias("toxic"), aside.alias("aside"))
 
-    return found.select("_id", "text", "_toxic").mapInArrow(run, "_id long, hashes binary, toxic boolean")
 
+def _round(rows: DataFrame, shards: int, model: Model, squares: Squares, heavier: float, epochs: int, seed: int) -> None:
+    """Every shard learns from the same start, and the model takes the average of the changes."""
+    spark = rows.sparkSession
+    shared = spark.sparkContext.broadcast((model, squares))
 
-def train(documents: DataFrame, labels: DataFrame, *, modulus: int = 4, per_class: int = PER_CLASS) -> Model:
-    """Model fitted on a bounded sample of labelled rows whose crc32(doc_id as text) mod `modulus` is not 2.
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        was = shared.value
+        model, squares = copy.deepcopy(was)
+        found = sorted(zip(table["_id"].to_pylist(), table["hashes"].to_pylist(), table["toxic"].to_pylist(), strict=True))
+        texts = [np.frombuffer(h, np.uint32) for _, h, _ in found]
+        learn(model, squares, texts, np.array([t for *_, t in found]), heavier, epochs, np.random.default_rng([seed, key[0].as_py()]))
+        return _changes(model, squares, *was)
+
+    shard = F.pmod(F.xxhash64("_id", "hashes"), F.lit(shards)).cast("int").alias("shard")
+    changes = rows.select(shard, "_id", "hashes", "toxic").groupBy("shard").applyInArrow(run, CHANGES)
+    sums = materialise(changes.groupBy("part", "at").agg(F.count("*").alias("n"), *[F.sum(f"v{k}").alias(f"v{k}") for k in range(WIDE)]), "toxicity-round")
+    got = sums.toArrow()  # rows of the model at most
+    discard(sums)
+    shared.destroy()
+    step = np.column_stack([got[f"v{k}"].to_numpy() for k in range(WIDE)]) / EXACT / got["n"].to_numpy()[:, None]
+    _follow(model, squares, got["part"].to_numpy(), got["at"].to_numpy(), step)
+
+
+def _calibrate(rows: DataFrame, model: Model) -> None:
+    """Thresholds from all rows, counted by language, label and BINS of the probability."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [np.frombuffer(h, np.uint32) for h in batch.column(0).to_pylist()]
+            if texts:
+                bins = np.rint(np.concatenate([probabilities(shared.value, texts[i : i + 256]) for i in range(0, len(texts), 256)]) * BINS)
+                yield pa.RecordBatch.from_arrays([pa.array([language(t) for t in texts], pa.int32()), pa.array(bins.astype(np.int32)), batch.column(1)], names=["language", "bin", "toxic"])
+
+    counted = rows.select("hashes", "toxic").mapInArrow(run, "language int, bin int, toxic boolean").groupBy("language", "bin", "toxic").count().orderBy("language", "bin", "toxic").toArrow()
+    if counted.num_rows:
+        set_thresholds(model, counted["language"].to_numpy(), counted["bin"].to_numpy() / BINS, counted["toxic"].to_numpy(), counted["count"].to_numpy())
+
+
+def train(documents: DataFrame, labels: DataFrame, *, modulus: int = 4, seed: int = 7) -> Model:
+    """Model fitted on all labelled rows whose crc32(doc_id as text) mod `modulus` is not 2.
 
     Labels that are null or have no document teach nothing; an id with several labels counts as toxic if one says so.
     With fewer than two different labels nothing is told apart and every score is 0.
     """
-    rows = sorted(_sample(documents, labels, modulus, per_class).toLocalIterator(), key=lambda r: (r["_id"], r["hashes"]))
-    return fit([np.frombuffer(r["hashes"], np.uint32) for r in rows], np.array([r["toxic"] for r in rows], np.float32))
+    model = Model.new(seed)
+    rows = materialise(_labelled(documents, labels, modulus), "toxicity-labelled")
+    size = (F.octet_length("hashes") / 4).cast("long")
+    counts = {(r["toxic"], r["aside"]): r for r in rows.groupBy("toxic", "aside").agg(F.count("*").alias("n"), F.sum(size).alias("words")).collect()}
+    taught = {t: counts[t, False]["n"] if (t, False) in counts else 0 for t in (False, True)}
+    model.ready = all(taught.values())
+    if model.ready:
+        n, words = sum(taught.values()), sum(r["words"] for (_, aside), r in counts.items() if not aside)
+        shards = max(1, -(-n // SHARD_TEXTS), -(-words // SHARD_WORDS))
+        every = _epochs(n, STEPS, BATCH)
+        rounds, epochs = (1, every) if shards == 1 else (every, 1)  # one shard has nobody to meet
+        squares = Squares.new(model)
+        for k in range(rounds):
+            _round(rows.where("not aside"), shards, model, squares, _heavier(taught[False], taught[True]), epochs, seed + k)
+        _calibrate(rows.where("aside"), model)
+    discard(rows)
+    return model
 
 
 def with_scores(documents: DataFrame, model: Model) -> DataFrame:
@@ -279,16 +412,16 @@ def with_scores(documents: DataFrame, model: Model) -> DataFrame:
     return documents.mapInArrow(run, ", ".join([f"`{c}` {kind}" for c, kind in documents.dtypes] + ["_score double"]))
 
 
-def toxicity(documents: DataFrame, labels: DataFrame, *, modulus: int = 4, per_class: int = PER_CLASS) -> DataFrame:
+def toxicity(documents: DataFrame, labels: DataFrame, *, modulus: int = 4) -> DataFrame:
     """One row per row of `documents` (doc_id, text): doc_id, held_out, score, predicted (1 if score >= 0.3).
 
     See `train` for labels and `with_scores` for nulls. No rows, no result.
     """
     rows = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    scored = with_scores(rows, train(rows, labels, modulus=modulus, per_class=per_class))
+    scored = with_scores(rows, train(rows, labels, modulus=modulus))
     return scored.select("doc_id", held_out("doc_id", modulus).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= CUT).cast("int").alias("predicted"))
 
 
-def clean(documents: DataFrame, labels: DataFrame, *, modulus: int = 4, per_class: int = PER_CLASS) -> DataFrame:
+def clean(documents: DataFrame, labels: DataFrame, *, modulus: int = 4) -> DataFrame:
     """`documents` without the rows that the classifier rejects; all columns as they were."""
-    return with_scores(documents, train(documents, labels, modulus=modulus, per_class=per_class)).where(F.col("_score") < CUT).select(*documents.columns)
+    return with_scores(documents, train(documents, labels, modulus=modulus)).where(F.col("_score") < CUT).select(*documents.columns)
