@@ -81,6 +81,31 @@ def test_pairs_of_baskets_of_all_sizes(spark, monkeypatch):
         assert {(r.pid1, r.pid2): r.score for r in form(last, pairs.DEVICE).collect()} == truth
 
 
+def test_hot_products_are_dealt_out_and_sources_counted_at_once(spark, monkeypatch):
+    monkeypatch.setattr(pairs, "BASKET_ROWS", 6)
+    monkeypatch.setattr(pairs, "HOT_ROWS", 2)
+    monkeypatch.setattr(pairs, "PAIRS_A_TASK", 20)
+    rows = [(1, 0, d, 0, f"p{(d * 5 + n) % 11 * (n % 3 > 0)}", datetime(2024, 1, 1 + n % 20)) for d in range(9) for n in range(d)]
+    last = pairs.last_purchases(spark.createDataFrame(rows, "account_id bigint, mid_epoch bigint, mid_ts bigint, mid_rnd bigint, product_id string, fact_time timestamp"))
+    sold = [(7, f"c{c}", 1, f"p{(c + n) % 5}", datetime(2024, 1, 1 + n)) for c in range(4) for n in range(c + 2)]
+    sold += sold[:7]
+    pos = spark.createDataFrame(sold, "dataset_id bigint, customer_id string, account_id bigint, product_id string, fact_time timestamp")
+    truth = []
+    for found in ([((r.mid_ts,), r.product_id, r.fact_time) for r in last.collect()], [((d, c), p, t) for d, c, _, p, t in sold]):
+        n = {}
+        for x, a, s in found:
+            for y, b, t in found:
+                if x == y and a != b and s < t:
+                    n[a, b] = n.get((a, b), 0) + 1
+        truth.append(n)
+    both = set(truth[0]) | set(truth[1])
+    for by, score in (("sum", lambda k: sum(n.get(k, 0) for n in truth)), ("source_count", lambda k: sum(k in n for n in truth))):
+        assert {(r.pid1, r.pid2): r.score for r in pairs.in_sequence_of_both(last, pos, by).collect()} == {k: score(k) for k in both}
+    rows, most = pairs._folded(last, pairs.DEVICE, False)
+    lists = pairs._partner_lists(pairs._with_shares([rows])[0], pairs.DEVICE, False)
+    assert lists.agg({"share": "max"}).first()[0] > 0 and most >= lists.selectExpr("sum(size(pids))").first()[0]
+
+
 def test_too_many_similarity_attributes_are_refused():
     fields = {f"f{n}": "STRING" for n in range(6)}
     with pytest.raises(ValueError, match="4 attributes at most"):
