@@ -162,3 +162,30 @@ def test_buckets_against_all_pairs(spark):
     assert {k: [(s, i) for _, s, i in sorted(v)] for k, v in found.items()} == {
         k: sorted(((key[0], i) for key, i in best.items()), reverse=True)[:limit] for k, best in expected.items()
     }
+
+
+def test_lists_meet_no_more_rows_than_places(spark):
+    """A group that stands in no row of its tuple meets one row a place, and only the places of a list; another meets all."""
+    rows = [("t", "0.5", f"look {p}", f"g{p}{n}", f"SKU-{9 - p}{2 - n}", p, n) for p in (1, 2, 3, 4) for n in (1, 2)]
+    best = spark.createDataFrame(rows, "tuple_key string, score string, color string, item_group_id string, id string, place int, nth int")
+    lookups = spark.createDataFrame([("other", "t"), ("g11", "t")], "lookup_key string, tuple_key string")
+    met = {(r.lookup_key, r.id) for r in similarity._met(best, lookups, 2).collect()}
+    assert met == {("other", "SKU-81"), ("other", "SKU-71")} | {("g11", r[4]) for r in rows if r[3] != "g11"}
+
+
+@pytest.mark.parametrize(
+    "rows, expected",
+    [
+        # red agrees with red of the same group alone: that is no pair
+        ([("g1", "red", "S"), ("g1", "red", "M"), ("g2", "blue", "L")], ("0.000000", "0.000000")),
+        ([("g1", "red", "S"), ("g1", "red", "M"), ("g2", "blue", "L"), ("g3", "red", "X")], ("0.000000", "0.500000")),
+        ([("g1", "red", "S"), ("g2", "red", "S"), ("g3", "red", "S")], ("0.750000", "0.750000")),
+        ([("g1", "red", "S"), ("g1", "blue", "M")], (None, None)),
+        ([("g1", None, "S"), ("g2", None, "S")], ("0.250000", "0.250000")),
+    ],
+)
+def test_score_range_leaves_out_the_own_group(spark, rows, expected):
+    weights = (("color", 0.5), ("size", 0.25))
+    sets = spark.createDataFrame([(*r, 1) for r in rows], "item_group_id string, a0 string, a1 string, skus long")
+    found = similarity.score_range(sets, similarity.weighted_tuples(sets, weights), weights).first()
+    assert tuple(None if x is None else str(x) for x in (found.low, found.high)) == expected
