@@ -123,14 +123,21 @@ class Level:
     """Contexts of one length: strings with counts; per context total, number of successors, and what it excludes below."""
 
     def __init__(self, keys: np.ndarray, counts: np.ndarray, below: Level | None):
-        self.keys, self.counts = keys, counts
-        self.contexts, starts = np.unique(keys >> EIGHT, return_index=True)
-        self.total = np.add.reduceat(counts, starts) if len(keys) else counts
-        self.kinds = np.diff(np.append(starts, len(keys)))
+        self.keys, self.counts = keys, _narrow(counts)
+        before = keys >> EIGHT  # in order, as the keys are
+        starts = np.flatnonzero(np.concatenate(([True], before[1:] != before[:-1]))) if len(keys) else np.zeros(0, np.int64)
+        self.contexts = before[starts]
+        del before
+        self.total = _narrow(np.add.reduceat(counts, starts, dtype=np.int64)) if len(keys) else counts
+        self.kinds = np.diff(np.append(starts, len(keys))).astype(np.uint16)
         self.excluded = np.zeros(len(self.contexts), np.int64)
         if below is not None and len(keys):
-            at, found = _search(below.keys, keys & np.uint64((1 << (8 * below.width)) - 1))
-            self.excluded = np.add.reduceat(np.where(found, below.counts[at], 0), starts)
+            mask = np.uint64((1 << (8 * below.width)) - 1)
+            gone = np.zeros(len(keys), below.counts.dtype)
+            for low in range(0, len(keys), CHUNK):
+                at, found = _search(below.keys, keys[low : low + CHUNK] & mask)
+                gone[low : low + CHUNK] = np.where(found, below.counts[at], 0)
+            self.excluded = _narrow(np.add.reduceat(gone, starts, dtype=np.int64))
 
     width = 1
 
@@ -143,20 +150,36 @@ def _search(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _sums(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    found, inverse = np.unique(keys, return_inverse=True)
-    return found, np.bincount(inverse, counts, len(found)).astype(np.int64)
+    """Different keys in order with their counts added up; what is so already is not copied."""
+    if bool(np.all(keys[1:] > keys[:-1])):
+        return keys, counts
+    order = np.argsort(keys)
+    keys, counts = keys[order], counts[order]
+    del order
+    starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    return keys[starts], np.add.reduceat(counts, starts)
+
+
+def _narrow(numbers: np.ndarray) -> np.ndarray:
+    """The numbers (none negative) in four bytes if they fit; sums of them are taken in eight."""
+    return numbers.astype(np.uint32) if len(numbers) and int(numbers.max()) < 1 << 32 else numbers
 
 
 class Trie:
     """One portion of the context trie. keys, counts: deepest level; shallow: (keys, counts) of contexts of one byte."""
 
     def __init__(self, keys: np.ndarray, counts: np.ndarray, shallow: tuple[np.ndarray, np.ndarray]):
+        sums, source = {}, _sums(keys, counts)
+        for order in range(ORDER, -1, -1):  # each level from the next deeper one, whose strings are fewer than all
+            if order < ORDER:
+                mask = np.uint64((1 << (8 * (order + 1))) - 1)
+                source = shallow if order == 1 else source
+                source = _sums(source[0] & mask, source[1])
+            sums[order] = source
+        del source
         self.levels: list[Level] = []
         for order in range(ORDER + 1):
-            mask = np.uint64((1 << (8 * (order + 1))) - 1)
-            source = shallow if order <= 1 else (keys, counts)
-            found = _sums(source[0] & mask, source[1])
-            level = Level(*found, self.levels[-1] if self.levels else None)
+            level = Level(*sums.pop(order), self.levels[-1] if self.levels else None)
             level.width = order + 1
             self.levels.append(level)
         top = self.levels[-1]
@@ -164,8 +187,12 @@ class Trie:
         self.shift, self.mask = np.uint64(64 - bits), np.int64((1 << bits) - 1)
         self.slots = np.full(1 << bits, EMPTY)
         self.logs = np.zeros(1 << bits, np.float32)
-        value = np.log10(top.counts / np.repeat(top.total + top.kinds, top.kinds))
-        self._fill(top.keys, value.astype(np.float32))
+        ends = np.cumsum(top.kinds, dtype=np.int64)
+        for high in range(0, len(ends), CHUNK):  # runs of contexts, so that little is held beside the table
+            kinds = top.kinds[high : high + CHUNK]
+            run = slice(int(ends[high]) - int(kinds[0]), int(ends[min(high + CHUNK, len(ends)) - 1]))
+            both = top.total[high : high + CHUNK].astype(np.int64) + kinds
+            self._fill(top.keys[run], np.log10(top.counts[run] / np.repeat(both, kinds)).astype(np.float32))
 
     def _home(self, keys: np.ndarray) -> np.ndarray:
         return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
@@ -213,8 +240,8 @@ class Trie:
             at, known = _search(level.contexts, key >> EIGHT)
             if not len(level.contexts):
                 continue
-            total = np.where(known, level.total[at] - gone_total, 0)
-            kinds = np.where(known, level.kinds[at] - gone_kinds, 0)
+            total = np.where(known, level.total[at].astype(np.int64) - gone_total, 0)
+            kinds = np.where(known, level.kinds[at].astype(np.int64) - gone_kinds, 0)
             where, found = _search(level.keys, key)
             found &= open_ & known
             out[found] += np.log10(level.counts[where[found]] / (total + kinds)[found])
