@@ -122,3 +122,14 @@ def test_nothing_to_learn_from_and_nothing_to_score(spark):
     assert [(r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in got] == [(True, 2, 0, 0, 0.0)] * 2
     assert all(math.isclose(r.score, -3 * math.log10(256)) for r in got)
     assert scores(frame(spark, [])).count() == 0
+
+
+def test_a_trie_holds_its_deepest_strings_once():
+    grams, _ = lm_scoring.context_strings([b"a man a plan a canal", b"panama"])
+    keys, counts = np.unique(grams, return_counts=True)
+    shallow = np.unique(grams & np.uint64(0xFFFF), return_counts=True)
+    trie = lm_scoring.Trie(keys, counts, shallow)
+    assert np.shares_memory(trie.levels[-1].keys, keys)
+    assert all(level.counts.itemsize == level.total.itemsize == level.excluded.itemsize == 4 for level in trie.levels[1:])
+    for level in trie.levels:
+        assert int(level.counts.sum()) == int(level.total.sum()) == len(grams)
