@@ -189,3 +189,21 @@ def test_score_range_leaves_out_the_own_group(spark, rows, expected):
     sets = spark.createDataFrame([(*r, 1) for r in rows], "item_group_id string, a0 string, a1 string, skus long")
     found = similarity.score_range(sets, similarity.weighted_tuples(sets, weights), weights).first()
     assert tuple(None if x is None else str(x) for x in (found.low, found.high)) == expected
+
+
+def test_tuples_and_candidates_meet_in_many_tasks(spark, monkeypatch):
+    """Few bytes on both sides, but many rows: the join is dealt out by the rows it forms, with the same lists."""
+    weights = (("color", 0.5), ("product_type", 0.1))
+    whole = sorted(run(spark, weights).collect())
+    parts, join = [], similarity._join_by_mask
+
+    def recorded(many, spread_by, few, names, *more):
+        rows = join(many, spread_by, few, names, *more)
+        if "id" in few.columns:
+            parts.append(rows.rdd.getNumPartitions())
+        return rows
+
+    monkeypatch.setattr(similarity, "_join_by_mask", recorded)
+    monkeypatch.setattr(similarity, "ROWS_A_TASK", 5)
+    assert sorted(run(spark, weights).collect()) == whole
+    assert len(parts) == 1 and parts[0] > 4  # the session's shuffles have 4
