@@ -2,8 +2,9 @@
 
 import pytest
 
-from fixtures import ACCOUNT, AS_OF, CATALOG, RETAILER, leaf, pair_tables, tree
-from vitrine.operators import pairs, ranking
+from fixtures import ACCOUNT, AS_OF, CATALOG, CATALOG_FIELDS, RETAILER, catalog, leaf, pair_tables, sku, tree
+from vitrine.functions import filters
+from vitrine.operators import collab, pairs, ranking
 from vitrine.plans import pairings
 from vitrine.plans.strategy import AccountSettings, Strategy
 
@@ -140,3 +141,22 @@ def test_normalised_scores_and_ordinals(spark):
     assert {float(r.normalized_score) for r in rows if r.score == 2} == {0.01}
     first = sorted((r.ordinal, r.product_id[-1]) for r in rows if r.lookup_key == "TP-00001")
     assert first == [(1, "3"), (2, "2"), (3, "5"), (4, "4")]
+
+
+@pytest.mark.parametrize("algorithm", ["view_also_view", "bought_together"])
+def test_lists_of_few_looks_are_not_tested_to_the_end(spark, monkeypatch, algorithm):
+    """Three looks over 60 products: the lists are full after the best of them, the highest SKU of a look among them or not."""
+    rows = [sku(f"S-{n:03}", f"TP-{n:03}", color=f"c{n % 3}", image_link="i", product_type=f"t{n}") for n in range(60)]
+    scored = spark.createDataFrame([(1, "TP-000", f"TP-{n:03}", 100 - n) for n in range(1, 60)], "account_id bigint, lookup_key string, product_id string, score bigint")
+    own = filters.split_for_pairs(filters.with_algorithm_filter(tree("and"), algorithm), CATALOG_FIELDS)
+    none = filters.split_for_pairs(filters.no_filter(), CATALOG_FIELDS)
+    exploded, test = [], collab.sku_lists
+
+    def recorded(sku_pairs, *more):
+        exploded.append(sku_pairs.count())
+        return test(sku_pairs, *more)
+
+    monkeypatch.setattr(collab, "sku_lists", recorded)
+    got = collab.explode_pairs(scored, catalog(spark, rows), own, none, CATALOG_FIELDS, limit=3).collect()
+    assert sorted((r["rank"], r["id"]) for r in got) == [(1, "S-001"), (2, "S-002"), (3, "S-003")]
+    assert exploded == [collab.FIRST_LOOK * 3]
