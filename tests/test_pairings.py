@@ -160,3 +160,12 @@ def test_lists_of_few_looks_are_not_tested_to_the_end(spark, monkeypatch, algori
     got = collab.explode_pairs(scored, catalog(spark, rows), own, none, CATALOG_FIELDS, limit=3).collect()
     assert sorted((r["rank"], r["id"]) for r in got) == [(1, "S-001"), (2, "S-002"), (3, "S-003")]
     assert exploded == [collab.FIRST_LOOK * 3]
+
+
+def test_short_feeds_take_one_shuffle(spark):
+    rows = [(1, "a", f"p{n:03}", n % 7) for n in range(100)] + [(1, "b", "p1", 1), (2, "a", "p1", 1)]
+    scored = spark.createDataFrame(rows, "account_id bigint, lookup_key string, product_id string, score int")
+    short = ranking.pair_ordinals(scored, limit=5)
+    assert short._jdf.queryExecution().sparkPlan().toString().count("WindowGroupLimit") == 2  # in the task, then after the shuffle
+    expected = sorted(r for r in ranking.pair_ordinals(scored).collect() if r.ordinal <= 5)
+    assert sorted(short.collect()) == expected
