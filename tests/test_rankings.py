@@ -191,3 +191,11 @@ def test_accounts_ranked_side_by_side(spark):
 def test_missing_pos_data_is_an_error(spark):
     with pytest.raises(ValueError):
         rankings.recommend(strategy("purchase", 7, source="offline"), ranking_tables(spark, settings=None), AS_OF)
+
+
+@pytest.mark.parametrize("filter_json", [tree("and"), tree("and", leaf("startswith", "product_type", "any_item_in_cart", function=True))])
+def test_facts_are_read_once(spark, filter_json):
+    """The highest score and the rows both start from the written scores."""
+    df = rankings.recommend(strategy("purchase", 30, filter_json, geo_target="country"), ranking_tables(spark), AS_OF)
+    assert any("/scores-" in file for file in df.inputFiles())
+    assert "start_time" not in df._jdf.queryExecution().optimizedPlan().toString()
