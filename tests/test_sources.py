@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 import fixtures as fx
 from fixtures import ACCOUNT, AS_OF, CATALOG, D6, D29, POS_ACCOUNT, RETAILER, sku
-from vitrine.functions import product_types
+from vitrine.functions import filters, product_types
 from vitrine.functions.times import lookback_window, session_window
-from vitrine.operators import pairs, ranking, representatives, scopes, sessions
+from vitrine.operators import collab, pairs, ranking, representatives, scopes, sessions, spread
 from vitrine.sources import catalogs, facts
+from vitrine.sources.star_schema import StarSchema
 
 
 def test_windows():
@@ -163,3 +164,59 @@ def test_date_partitions_are_pruned(spark, tmp_path):
         plan = found._jdf.queryExecution().toString()
         assert re.search(rf"PartitionFilters: \[[^\]]*{day}", plan)
         assert found.count() == 2
+
+
+def plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_purchase_sessions_start_from_orders(spark, tmp_path):
+    """Orders with several lines, without any, of a customer that comes twice, of low priority, and without a time."""
+    tables = dict(
+        region=("r_regionkey int, r_name string", [(0, "R")]),
+        nation=("n_nationkey int, n_name string, n_regionkey int", [(3, "N", 0)]),
+        customer=("c_custkey bigint, c_nationkey int", [(1, 3), (1, 3), (2, 3), (None, 3)]),
+        orders=("o_orderkey bigint, o_custkey bigint, o_orderdate timestamp, o_orderpriority string", [
+            (10, 1, AS_OF, "1-URGENT"), (11, 1, AS_OF + timedelta(hours=2), "2-HIGH"), (11, 1, AS_OF, "2-HIGH"), (12, 2, AS_OF, "5-LOW"),
+            (13, 2, AS_OF, "1-URGENT"), (14, 2, None, "1-URGENT"), (15, None, AS_OF, "1-URGENT"), (None, 1, AS_OF, "1-URGENT"),
+        ]),
+        lineitem=("l_orderkey bigint, l_linenumber int, l_partkey bigint, l_quantity double, l_extendedprice double, l_suppkey bigint", [
+            (n, i, 8, 1.0, 2.0, 1) for n in (10, 11, 12, 14, 15, None) for i in (1, 2)
+        ]),
+    )
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    star = StarSchema(spark, str(tmp_path))
+    got = star.purchase_sessions()
+    assert sorted(map(str, got.collect())) == sorted(map(str, star._sessions(star.purchase_lines()).collect()))
+    assert got.select("mid_ts", "start_time", "end_time").distinct().count() == 2
+    assert "LeftSemi" in plan(got)
+
+
+def test_rows_are_dealt_out_by_their_number(spark, monkeypatch):
+    """The file of a catalog is one task, and ids compress well: neither may decide how many rows one task sorts."""
+    monkeypatch.setattr(spread, "ROWS_A_TASK", 10)
+    assert spread.spread(spark.range(95), "id").rdd.getNumPartitions() == 10
+    assert spread.spread(spark.range(95), "id", copies=3).rdd.getNumPartitions() == 29
+    catalog = spark.range(95).selectExpr(
+        "concat('S', id) AS id", "concat('G', id DIV 4) AS item_group_id", "concat('i', id DIV 4) AS image_link", "concat('c', id DIV 4) AS color", "'a' AS product_type", "'{}' AS custom"
+    )
+    variants = representatives.variants_for_many(catalog, [[], []], [[], []], lambda f: catalog[f])
+    assert variants.rdd.getNumPartitions() == 19 and variants.count() == 48
+    none = filters.split_for_pairs(filters.no_filter(), {})
+    copied = collab.admitted(catalog, [(none, none)] * 3, {})
+    assert copied.rdd.getNumPartitions() == 29 and copied.count() == 285
+
+
+def test_strategies_in_use_are_dealt_out_by_rows(spark):
+    ids = "id bigint, {} bigint"
+    inputs = spark.createDataFrame([(1, 1, 100, None, "x"), (1, 2, 3, 7, "recset_id")], "action_id bigint, lft int, rgt int, int_value bigint, name string")
+    used = scopes.active_strategies(
+        spark.createDataFrame([(7, False, None), (8, False, None)], "id bigint, is_component boolean, updated timestamp"), inputs,
+        spark.createDataFrame([(1, 2)], ids.format("where_id")), spark.createDataFrame([(2, 3)], ids.format("campaign_id")),
+        spark.createDataFrame([(3, 4)], ids.format("campaign_group_id")),
+        spark.createDataFrame([(4, 0, AS_OF, 1, None, "page")], "id bigint, archived int, last_modified_time timestamp, active int, end_time timestamp, campaign_type string"),
+        AS_OF,
+    )
+    assert [r.id for r in used.collect()] == [7]
+    assert plan(used).count("RepartitionByExpression") >= 3
