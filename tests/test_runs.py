@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from fixtures import ACCOUNT, CATALOG, RETAILER
 from vitrine.functions import filters
-from vitrine.operators import collab, pairs, similarity
+from vitrine.operators import collab, neighbours, numbers, pairs, ranking, similarity
 from vitrine.plans import fan_out
 from vitrine.plans.strategy import AccountSettings, Strategy
+from vitrine.storage import materialise
 
 SENT = datetime(2024, 3, 15, 12, 34, 56)
 
@@ -106,6 +107,57 @@ def test_hot_products_are_dealt_out_and_sources_counted_at_once(spark, monkeypat
     assert lists.agg({"share": "max"}).first()[0] > 0 and most >= lists.selectExpr("sum(size(pids))").first()[0]
 
 
+@pytest.mark.parametrize("timed", [False, True])
+@pytest.mark.parametrize("kind", ["plain", "split", "threshold"])
+def test_lists_straight_from_baskets(spark, monkeypatch, timed, kind):
+    """Lists and range of scores are those of all pairs, of which no table is written; keys go through in rounds."""
+    draw = random.Random(7)
+    key = "account_id bigint, mid_epoch bigint, mid_ts bigint, mid_rnd bigint, product_id string, fact_time timestamp"
+    lines = [(1 + d % 2, 0, d, 0, f"P{min(draw.randrange(40), draw.randrange(40))}", datetime(2024, 1, 1 + draw.randrange(5))) for d in range(24) for _ in range(d % 9)]
+    online = pairs.last_purchases(spark.createDataFrame(lines, key))
+    sold = [(7, f"c{c}", 1 + (kind == "split") * (n % 2), f"P{draw.randrange(12)}", datetime(2024, 1, 1 + n)) for c in range(9) for n in range(c)]
+    pos = spark.createDataFrame(sold + sold[:9], "dataset_id bigint, customer_id string, account_id bigint, product_id string, fact_time timestamp")
+    catalog = spark.createDataFrame(
+        [(f"S{n:03}", f"P{n % 35}", f"c{n % 3}", f"i{n % 5}", "a", ['{"grade": "x"}', '{"grade": "y"}', "{}"][n % 7 % 3], n % 4 > 0) for n in range(90)],
+        "id string, item_group_id string, color string, image_link string, product_type string, custom string, is_bundle boolean",
+    )
+    fields = {"grade": "STRING", "is_bundle": "BOOLEAN"}
+    own = filters.split_for_pairs(SAME_GRADE if kind == "plain" else NONE, fields)
+    shared = filters.split_for_pairs('{"type": "and", "filters": [{"type": "==", "left": {"type": "field", "field": "is_bundle"}, "right": {"type": "value", "value": true}}]}', fields)
+    least = 2 if kind == "threshold" else 1
+    both = pairs.in_sequence_of_both(online, pos, "sum", least) if timed else pairs.mirrored(pairs.unordered_of_both(online, pos, least))
+    truth = collab.explode_pairs(pairs.as_lookup(both), catalog, own, shared, fields, limit=5)
+    monkeypatch.setattr(neighbours, "ROUND_PAIRS", 300)
+    monkeypatch.setattr(collab, "FIRST_LOOK", 1)
+    if kind == "split":
+        monkeypatch.setattr(pairs, "BASKET_ROWS", 6)
+        monkeypatch.setattr(pairs, "HOT_ROWS", 5)
+    written = []
+    for module in (collab, neighbours, numbers):
+        monkeypatch.setattr(module, "materialise", lambda df, name: written.append(name) or materialise(df, name))
+    lists, ends = collab.lists_of_baskets([(online, pairs.DEVICE), (pos, pairs.CUSTOMER)], timed, catalog, own, shared, fields, least, limit=5)
+    assert sorted(lists.select("lookup_key", "id", "rank", "score").collect()) == sorted(truth.select("lookup_key", "id", "rank", "score").collect())
+    assert truth.count() > 20
+    assert tuple(ends.first()) == tuple(both.agg(F.min("score"), F.max("score")).first())
+    assert written.count("first-look") > 1 and not {"pairs", "known-pairs"} & set(written)
+
+
+@pytest.mark.parametrize("form", ["together", "in_sequence"])
+def test_pairs_and_feeds_in_rounds(spark, monkeypatch, form):
+    """Lists of products are shuffled for some products after others; rows are as those of one round."""
+    rows = [(1 + d % 2, 0, d, 0, f"p{(d * 5 + n) % 13}", datetime(2024, 1, 1 + n)) for d in range(9) for n in range(d)]
+    last = pairs.last_purchases(spark.createDataFrame(rows, "account_id bigint, mid_epoch bigint, mid_ts bigint, mid_rnd bigint, product_id string, fact_time timestamp"))
+    whole = getattr(pairs, form)(last, pairs.DEVICE)
+    feed = ranking.pair_ordinals(pairs.as_lookup(whole), limit=2)
+    monkeypatch.setattr(pairs, "ROUND_PAIRS", 20)
+    monkeypatch.setattr(ranking, "ROUND_ROWS", 40)
+    turns = getattr(pairs, form)(last, pairs.DEVICE)
+    folders = lambda df: {file.rpartition("/")[0] for file in df.inputFiles()}
+    assert sorted(turns.collect()) == sorted(whole.collect()) and len(folders(turns)) > 2
+    short = ranking.pair_ordinals(pairs.as_lookup(turns), limit=2)
+    assert sorted(short.collect()) == sorted(feed.collect()) and len(folders(short)) > 1
+
+
 def test_too_many_similarity_attributes_are_refused():
     fields = {f"f{n}": "STRING" for n in range(6)}
     with pytest.raises(ValueError, match="4 attributes at most"):
